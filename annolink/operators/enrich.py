@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from annolink import config, schema
 from annolink.functions.text import java_trim, utf16_length
-from annolink.operators.codec import decode_posts, post_json
+from annolink.operators.codec import _bind_once, decode_posts, post_json
 from annolink.operators.guard import is_json_object
 from annolink.operators.link import entities_with_links
 
@@ -31,33 +31,49 @@ def _post_value(p: Column) -> Column:
 
 
 def decode_route(envelopes: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    r = envelopes.withColumn("_obj", is_json_object(value))
-    d = decode_posts(r, value, require_user=True, strict=False)
-    d = d.withColumn("reason", F.when(F.col("_obj"), F.col("reason")))
-    if strict:
-        d = d.withColumn("reason", F.when(F.col("reason").isNotNull(), F.raise_error(
-            F.concat(F.lit("post rejected: "), F.col("reason")))).otherwise(F.col("reason")))
-    return d.withColumn("route", F.when(~F.col("_obj"), F.lit("passthrough"))
-                        .when(F.col("reason").isNotNull(), F.lit("quarantine"))
-                        .otherwise(F.lit("enriched"))).drop("_obj")
+    """Adds ``route``, ``reason`` and ``post`` (route/reason computed once per
+    row from the decode result, see ``codec._bind_once``)."""
+    d = decode_posts(envelopes.withColumn("_obj", is_json_object(value)), value, require_user=True)
 
+    def body(x):
+        reason = F.when(x["_obj"], x["reason"])
+        if strict:
+            reason = F.when(reason.isNotNull(), F.raise_error(
+                F.concat(F.lit("post rejected: "), reason))).otherwise(reason)
+        route = (F.when(~x["_obj"], F.lit("passthrough")).when(reason.isNotNull(), F.lit("quarantine"))
+                 .otherwise(F.lit("enriched")))
+        return F.struct(route.alias("route"), reason.alias("reason"))
 
-def _finish(d: DataFrame, new_value: Column, carry: list[str], value: str) -> DataFrame:
-    out_value = F.when(F.col("route") == "enriched", new_value).otherwise(F.col(value))
-    return d.select(*carry, out_value.alias(value), "route", "reason")
+    r = _bind_once(F.struct("_obj", "reason"), body)
+    return (d.withColumn("_r", r).withColumn("route", F.col("_r.route"))
+            .withColumn("reason", F.col("_r.reason")).drop("_r", "_obj"))
+
+
+def _finish(d: DataFrame, new_post: Column, extra: Column | None, carry: list[str], value: str) -> DataFrame:
+    """Final route/reason/value, computed once per row from attribute inputs."""
+    d = d.withColumn("_np", new_post).withColumn("_x", extra if extra is not None else F.lit(None).cast("string"))
+
+    def body(x):
+        enriched = x["route"] == "enriched"
+        reason = F.when(enriched & x["_x"].isNotNull(), x["_x"]).otherwise(x["reason"])
+        route = F.when(enriched & x["_x"].isNotNull(), F.lit("quarantine")).otherwise(x["route"])
+        out = F.when(route == "enriched", _post_value(x["_np"])).otherwise(x["value"])
+        return F.struct(out.alias("value"), route.alias("route"), reason.alias("reason"))
+
+    f = _bind_once(F.struct(F.col(value).alias("value"), "route", "reason", "_np", "_x"), body)
+    d = d.withColumn("_f", f)
+    return d.select(*carry, F.col("_f.value").alias(value), F.col("_f.route").alias("route"),
+                    F.col("_f.reason").alias("reason"))
 
 
 def enrich_rowwise(envelopes: DataFrame, fn: Callable[[Column], tuple[Column, Column | None]],
                    value: str = "value", strict: bool = False) -> DataFrame:
-    """``fn(post) -> (new_post, reason_or_None)`` applied to each decoded post."""
+    """``fn(post) -> (new_post, reason_or_None)`` applied to each decoded post
+    (``fn`` may use any column expression, Pandas UDFs included)."""
     carry = [c for c in envelopes.columns if c != value]
     d = decode_route(envelopes, value, strict)
     new_post, extra = fn(F.col("post"))
-    if extra is not None:
-        d = d.withColumn("reason", F.when(F.col("route") == "enriched", extra).otherwise(F.col("reason")))
-        d = d.withColumn("route", F.when((F.col("route") == "enriched") & F.col("reason").isNotNull(),
-                                         F.lit("quarantine")).otherwise(F.col("route")))
-    return _finish(d, _post_value(new_post), carry, value)
+    return _finish(d, new_post, extra, carry, value)
 
 
 def enrich_with_links(envelopes: DataFrame, links: DataFrame, link_key: Callable[[Column], Column],
@@ -74,7 +90,7 @@ def enrich_with_links(envelopes: DataFrame, links: DataFrame, link_key: Callable
     l = links.select(F.struct(F.lit(1).alias("k"), F.col("jkey").alias("h")).alias("_jk"), "urls")
     j = d.join(l, "_jk", "left")
     new_post = F.col("post").withField("entities", entities_with_links(F.col("urls")))
-    return _finish(j, _post_value(new_post), carry, value)
+    return _finish(j, new_post, None, carry, value)
 
 
 def _key_type(links: DataFrame) -> str:

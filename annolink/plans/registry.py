@@ -79,7 +79,11 @@ def _suffix_frame(spark, sf):
 
 
 def _rich_topic(spark, sf):
-    out = _suffix_frame(spark, sf).where("route != 'quarantine'")
+    """The rich topic as the topology has it: the enrichment's output written
+    once (all routes, partitioned by route) and read back by consumers."""
+    path = _stream_dir(spark, "rich-topic")
+    topics.write_routes(_suffix_frame(spark, sf), path)
+    out = topics.read_routes(spark, path)
     return out.select(F.lit(config.RICH_TOPIC).alias("topic"), "key", "value", "offset")
 
 
@@ -319,12 +323,11 @@ def q_stream_report(spark, sf):
     from annolink.streaming import jobs
     base = _stream_dir(spark, "stream-report")
     src = os.path.join(base, "in")
-    enriched = _enrich_stored_frame(spark, sf).where("route != 'quarantine'").select("key", "value", "offset")
-    enriched.write.mode("overwrite").parquet(src)
+    topics.write_routes(_enrich_stored_frame(spark, sf), src)
     out = jobs.run_consume_stream(
         spark, src, os.path.join(base, "out"),
         lambda posts: posts.select("id", report.annotation_report().alias("report")),
-        checkpoint=os.path.join(base, "ckpt"))
+        checkpoint=os.path.join(base, "ckpt"), routes=("enriched", "passthrough"))
     return out
 
 

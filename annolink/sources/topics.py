@@ -60,6 +60,16 @@ def write_topics(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).partitionBy("topic").parquet(path)
 
 
+def write_routes(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One write for every route of an enrichment (enriched, passthrough and
+    quarantine land in their own folders); readers prune by ``route``."""
+    df.write.mode(mode).partitionBy("route").parquet(path)
+
+
+def read_routes(spark: SparkSession, path: str, routes=("enriched", "passthrough")) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("route").isin(list(routes)))
+
+
 # ------------------------------------------------------------------ shapes
 
 def fan_out(df: DataFrame, topics) -> DataFrame:

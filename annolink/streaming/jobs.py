@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from annolink.operators.codec import decode_posts, valid_posts
 from annolink.operators.guard import json_guard_drop
@@ -56,8 +56,10 @@ def run_enrich_stream(spark: SparkSession, src: str, out: str,
 
 def run_consume_stream(spark: SparkSession, src: str, out: str,
                        consume: Callable[[DataFrame], DataFrame], checkpoint: str,
-                       keep: list[str] | None = None) -> DataFrame:
+                       keep: list[str] | None = None, routes=None) -> DataFrame:
     stream = file_stream(spark, src)
+    if routes:  # a route-partitioned topic folder: prune to the wanted routes
+        stream = stream.where(F.col("route").isin(list(routes)))
     posts = valid_posts(decode_posts(json_guard_drop(stream)), keep or [])
     q = start(consume(posts), out, checkpoint)
     q.awaitTermination()
