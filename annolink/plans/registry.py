@@ -9,6 +9,7 @@ value by value; every computed column is aliased to the same name on both sides.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from typing import Callable
 
@@ -24,6 +25,12 @@ from annolink.sources import derived, dumps, topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:  # the demo client below runs on executors: ship it by value
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover
+    pass
+
 SUFFIX = "___TEST___"
 TRACK_TERMS = "that, with, released, mit license"
 
