@@ -222,6 +222,11 @@ FROM consumed GROUP BY id""",
 SELECT count(*) AS n_results, count(*) FILTER (WHERE id NOT IN (SELECT doc_id FROM documents)) AS n_unknown
 FROM consumed""",
 
+    "delivery_total": "WITH " + CONSUMED + """
+SELECT (SELECT count(*) FROM documents) AS n_inputs, count(*) AS n_delivered,
+       count(*) FILTER (WHERE enriched = 1) AS n_rich, 2 * (SELECT count(*) FROM documents) AS n_expected
+FROM consumed""",
+
     "positional_link_diff": "WITH " + GATED + """
 SELECT d.doc_id AS id, CAST(coalesce(k.n, 0) AS INTEGER) AS n_actual,
        CAST(coalesce(k.n, 0) AS INTEGER) AS n_expected, 0 AS n_mismatch

@@ -241,6 +241,17 @@ def q_unknown_ids(spark, sf):
     return j.agg(F.count(F.lit(1)).alias("n_results"), F.count_if(F.col("_known").isNull()).alias("n_unknown"))
 
 
+def q_delivery_total(spark, sf):
+    """Total delivered copies against inputs x topics (all aggregates in one pass)."""
+    res = _consumed(spark, sf)
+    n_in = derived.posts_from_documents(spark, sf).agg(F.count(F.lit(1)).alias("n_inputs"),
+                                                        F.lit(1).alias("_k"))
+    n_out = res.agg(F.count(F.lit(1)).alias("n_delivered"), F.count_if(F.col("topic") == config.RICH_TOPIC)
+                    .alias("n_rich"), F.lit(1).alias("_k"))
+    return n_in.join(n_out, "_k").select("n_inputs", "n_delivered", "n_rich",
+                                         (F.col("n_inputs") * 2).alias("n_expected"))
+
+
 def q_positional_link_diff(spark, sf):
     d = codec.decode_annotation_response(derived.annotation_responses(spark, sf))
     actual = d.select("id", link.links_from_array(F.col("annotations.resources")).alias("urls"))
@@ -363,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "bounded_collect": q_bounded_collect,
     "delivery_audit": q_delivery_audit,
     "unknown_ids": q_unknown_ids,
+    "delivery_total": q_delivery_total,
     "positional_link_diff": q_positional_link_diff,
     "track_terms": q_track_terms,
     "message_dump_ingest": q_message_dump_ingest,

@@ -36,6 +36,16 @@ def kafka_reader(spark: SparkSession, servers: str, topics, streaming: bool = Tr
     return r
 
 
+def kafka_writer(df: DataFrame, servers: str, checkpoint: str | None = None):
+    """Configured writer of envelopes to the broker (topic taken per row), batch
+    or streaming depending on ``df``."""
+    rec = to_kafka_records(df)
+    if df.isStreaming:
+        w = rec.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+        return w.option("checkpointLocation", checkpoint) if checkpoint else w
+    return rec.write.format("kafka").option("kafka.bootstrap.servers", servers)
+
+
 def from_kafka_records(df: DataFrame) -> DataFrame:
     """Broker records -> envelope ``(topic, key, value, partition, offset)``."""
     return df.select("topic", key_bytes_to_long("key").alias("key"),
