@@ -55,12 +55,9 @@ def _spans_udf(pattern: str):
                 words.append(None)
                 starts.append(None)
                 continue
-            ws, ss = [], []
-            for m in rx.finditer(t):
-                ws.append(m.group())
-                ss.append(m.start())
-            words.append(ws)
-            starts.append(_utf16_starts(t, ss))
+            ms = list(rx.finditer(t))
+            words.append([m.group() for m in ms])
+            starts.append(_utf16_starts(t, [m.start() for m in ms]))
         return pd.DataFrame({"words": words, "starts": starts})
 
     return spans

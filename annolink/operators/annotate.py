@@ -96,6 +96,14 @@ def prepare_gazetteer(gazetteer: DataFrame, pattern: str = WORD_PATTERN) -> tupl
     return g.drop("_nw"), int(max_words)
 
 
+def distinct_texts(posts: DataFrame, text: str = "text") -> DataFrame:
+    """One row per distinct text with its 128-bit key.  Copies collapse in the
+    map-side partial aggregation, so a text repeated in a third of all rows
+    costs one row per map task before the shuffle."""
+    keyed = posts.where(F.col(text).isNotNull()).select(text_key(text).alias("tkey"), F.col(text).alias("text"))
+    return keyed.groupBy("tkey").agg(F.any_value("text").alias("text"))
+
+
 def dictionary_annotations_by_text(texts: DataFrame, gazetteer: DataFrame, text: str = "text",
                                    pattern: str = WORD_PATTERN,
                                    broadcast_rows: int = 2_000_000) -> DataFrame:
@@ -112,11 +120,13 @@ def dictionary_annotations_by_text(texts: DataFrame, gazetteer: DataFrame, text:
     gaz = bounded_broadcast(gaz, broadcast_rows)
     # one row per distinct text, hash-partitioned on tkey: later windows and
     # groupings on tkey need no further exchange
-    uniq = (texts.where(F.col(text).isNotNull()).groupBy(text_key(text).alias("tkey"))
-            .agg(F.any_value(text).alias("text")))
+    uniq = distinct_texts(texts, text)
     g = uniq.select("tkey", _grams_udf(pattern, max_words)("text").alias("g"))
     g = g.select("tkey", F.inline(F.arrays_zip("g.k", "g.n", "g.gram", "g.start")))
-    cand = g.join(gaz, g["gram"] == gaz["surface_form"]).drop("gram")
+    # candidates are few: cluster them once by text (the Arrow UDF above does
+    # not keep the dedupe's partitioning) so both windows and the grouping per
+    # text below reuse one exchange
+    cand = g.join(gaz, g["gram"] == gaz["surface_form"]).drop("gram").repartition("tkey")
     score = F.struct(F.length("surface_form").alias("len"), (-F.col("start")).alias("early"))
     cand = cand.withColumn("_score", score)
     covered = cand.withColumn("_w", F.explode(F.sequence(F.col("k"), F.col("k") + F.col("n") - 1)))
@@ -174,9 +184,7 @@ def _call_client(make_client: Callable[[], Callable[[str], tuple[int, str]]]):
 def client_responses(posts: DataFrame, make_client, text: str = "text") -> DataFrame:
     """``(tkey, response, error)`` once per distinct text.  ``make_client()`` is
     called once per partition and returns ``text -> (status, body)``."""
-    uniq = (posts.where(F.col(text).isNotNull()).groupBy(text_key(text).alias("tkey"))
-            .agg(F.any_value(text).alias("text")))
-    return uniq.mapInPandas(_call_client(make_client), CLIENT_OUT)
+    return distinct_texts(posts, text).mapInPandas(_call_client(make_client), CLIENT_OUT)
 
 
 def client_annotations(posts: DataFrame, make_client, key: str = "id", text: str = "text") -> tuple[DataFrame, DataFrame]:
