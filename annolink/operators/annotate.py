@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from annolink import schema
 from annolink.functions.tokens import WORD_PATTERN, _utf16_starts, word_spans
 from annolink.operators.codec import decode_annotation_response, response_to_rows
-from annolink.operators.joins import bounded_broadcast, text_key
+from annolink.operators.joins import bounded_broadcast, hot_keys, salted_join, text_key
 from annolink.operators.link import entities_with_links, group_links, kept_links
 
 try:  # ship the per-partition helpers by value (no installed package needed)
@@ -101,12 +101,12 @@ def distinct_texts(posts: DataFrame, text: str = "text") -> DataFrame:
     map-side partial aggregation, so a text repeated in a third of all rows
     costs one row per map task before the shuffle."""
     keyed = posts.where(F.col(text).isNotNull()).select(text_key(text).alias("tkey"), F.col(text).alias("text"))
-    return keyed.groupBy("tkey").agg(F.any_value("text").alias("text"))
+    return keyed.groupBy("tkey").agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("copies"))
 
 
 def dictionary_annotations_by_text(texts: DataFrame, gazetteer: DataFrame, text: str = "text",
                                    pattern: str = WORD_PATTERN,
-                                   broadcast_rows: int = 2_000_000) -> DataFrame:
+                                   broadcast_rows: int = 2_000_000, uniq: DataFrame | None = None) -> DataFrame:
     """Distinct texts -> ``(tkey, pos, annotation...)``.
 
     Recognition: every run of 1..N words (N = longest surface form, exact) whose
@@ -120,7 +120,7 @@ def dictionary_annotations_by_text(texts: DataFrame, gazetteer: DataFrame, text:
     gaz = bounded_broadcast(gaz, broadcast_rows)
     # one row per distinct text, hash-partitioned on tkey: later windows and
     # groupings on tkey need no further exchange
-    uniq = distinct_texts(texts, text)
+    uniq = uniq if uniq is not None else distinct_texts(texts, text)
     g = uniq.select("tkey", _grams_udf(pattern, max_words)("text").alias("g"))
     g = g.select("tkey", F.inline(F.arrays_zip("g.k", "g.n", "g.gram", "g.start")))
     # candidates are few: cluster them once by text (the Arrow UDF above does
@@ -137,23 +137,32 @@ def dictionary_annotations_by_text(texts: DataFrame, gazetteer: DataFrame, text:
                        F.col("start").alias("offset"), "similarity_score", "percentage_of_second_rank")
 
 
+def _join_back(posts: DataFrame, per_text: DataFrame, uniq: DataFrame, key: str, text: str,
+               how: str) -> DataFrame:
+    """Per-text results back to every post; texts with very many copies are
+    split over several tasks (``salted_join``)."""
+    p = posts.withColumn("tkey", text_key(text))
+    return salted_join(p, per_text, "tkey", hot_keys(uniq), [key], how).drop("tkey")
+
+
 def dictionary_annotations(posts: DataFrame, gazetteer: DataFrame, key: str = "id",
                            text: str = "text", **kw) -> DataFrame:
     """Posts -> stored-shape annotations ``(key, pos, ...)``."""
-    by_text = dictionary_annotations_by_text(posts, gazetteer, text, **kw)
-    p = posts.select(key, text_key(text).alias("tkey"))
-    return p.join(by_text, "tkey").drop("tkey")
+    uniq = distinct_texts(posts, text)
+    by_text = dictionary_annotations_by_text(posts, gazetteer, text, uniq=uniq, **kw)
+    return _join_back(posts.select(key, text), by_text, uniq, key, text, "inner").drop(text)
 
 
-def dictionary_lookup(posts: DataFrame, gazetteer: DataFrame, text: str = "text", **kw) -> DataFrame:
+def dictionary_lookup(posts: DataFrame, gazetteer: DataFrame, text: str = "text", key: str = "id",
+                      **kw) -> DataFrame:
     """Posts with entities replaced by the kept links found by the dictionary.
     Links are grouped per distinct text, then joined back once per post."""
     gate_kw = {k: kw.pop(k) for k in list(kw) if k in ("similarity_min", "second_rank_max", "edit_ratio_max")}
-    by_text = dictionary_annotations_by_text(posts, gazetteer, text, **kw)
+    uniq = distinct_texts(posts, text)
+    by_text = dictionary_annotations_by_text(posts, gazetteer, text, uniq=uniq, **kw)
     links = group_links(kept_links(by_text, "tkey", "pos", **gate_kw), "tkey", "pos")
-    p = posts.withColumn("tkey", text_key(text))
-    return (p.join(links, "tkey", "left").withColumn("entities", entities_with_links("urls"))
-            .drop("urls", "tkey"))
+    out = _join_back(posts, links, uniq, key, text, "left")
+    return out.withColumn("entities", entities_with_links("urls")).drop("urls")
 
 
 # ----------------------------------------------------------------- client (JOIN-1c)
@@ -181,18 +190,19 @@ def _call_client(make_client: Callable[[], Callable[[str], tuple[int, str]]]):
     return run
 
 
-def client_responses(posts: DataFrame, make_client, text: str = "text") -> DataFrame:
+def client_responses(posts: DataFrame, make_client, text: str = "text", uniq: DataFrame | None = None) -> DataFrame:
     """``(tkey, response, error)`` once per distinct text.  ``make_client()`` is
     called once per partition and returns ``text -> (status, body)``."""
-    return distinct_texts(posts, text).mapInPandas(_call_client(make_client), CLIENT_OUT)
+    uniq = uniq if uniq is not None else distinct_texts(posts, text)
+    return uniq.select("tkey", "text").mapInPandas(_call_client(make_client), CLIENT_OUT)
 
 
 def client_annotations(posts: DataFrame, make_client, key: str = "id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Posts -> (annotations in stored shape, failures ``(key, reason)``)."""
-    resp = decode_annotation_response(client_responses(posts, make_client, text))
+    uniq = distinct_texts(posts, text)
+    resp = decode_annotation_response(client_responses(posts, make_client, text, uniq))
     resp = resp.withColumn("reason", F.coalesce(F.concat(F.lit("client_error: "), "error"), "reason"))
-    p = posts.select(key, text_key(text).alias("tkey"))
-    joined = p.join(resp, "tkey")
+    joined = _join_back(posts.select(key, text), resp, uniq, key, text, "inner").drop(text)
     rows = response_to_rows(joined.where(F.col("error").isNull()), key)
     failures = joined.where(F.col("reason").isNotNull()).select(key, "reason")
     return rows, failures

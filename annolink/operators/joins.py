@@ -24,3 +24,37 @@ def text_key(text) -> Column:
     realistic table size (birthday bound ~1e-17 for 1e11 distinct texts)."""
     t = col_of(text)
     return F.struct(F.xxhash64(t).alias("h1"), F.xxhash64(t, F.length(t)).alias("h2"))
+
+
+# ---------------------------------------------------------------- hot keys
+HOT_KEYS_MAX = 1000          # broadcast bound of the hot-key list (rows)
+ROWS_PER_SALT = 1_000_000    # rows of one hot key handled by one task
+MAX_SALTS = 512
+
+
+def hot_keys(counts: DataFrame, key: str = "tkey", count: str = "copies",
+             rows_per_salt: int = ROWS_PER_SALT, max_keys: int = HOT_KEYS_MAX,
+             max_salts: int = MAX_SALTS) -> DataFrame:
+    """The heaviest keys with more than ``rows_per_salt`` rows and how many
+    sub-keys each is split into.  At most ``max_keys`` rows by construction
+    (top-k), so broadcasting it is safe; lighter keys stay on the plain join
+    (and AQE's skew-join split)."""
+    top = counts.where(F.col(count) > rows_per_salt).orderBy(F.col(count).desc()).limit(max_keys)
+    salts = F.least(F.ceil(F.col(count) / F.lit(rows_per_salt)), F.lit(max_salts)).cast("int")
+    return top.select(key, salts.alias("_salts"))
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, spread_by: list[str],
+                how: str = "inner") -> DataFrame:
+    """Equi-join where ``big`` may repeat a key in a third of its rows and
+    ``small`` holds a few rows per key.  Rows of hot keys on the big side are
+    spread over ``_salts`` sub-keys by a deterministic hash of ``spread_by``
+    (stable across task retries); the small side's rows of those keys are
+    replicated once per sub-key.  Every row is kept; nothing is sampled."""
+    h = F.broadcast(hot)
+    b = big.join(h, key, "left")
+    b = b.withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.col("_salts")).cast("int"))).drop("_salts")
+    s = small.join(h, key, "left")
+    s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+    return b.join(s.drop("_salts"), [key, "_salt"], how).drop("_salt")

@@ -75,3 +75,19 @@ def test_client_annotator(spark):
     f = {r["id"]: r["reason"] for r in failures.collect()}
     assert f[3] == "client_error: status 503" and f[4].startswith("client_error: RuntimeError")
     assert set(f) == {3, 4}
+
+
+def test_salted_join_equals_plain_join(spark):
+    from annolink.operators.joins import hot_keys, salted_join
+    big = spark.range(3000).select(F.col("id"), F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id") % 50)
+                                   .alias("tkey"))
+    small = spark.range(100).select((F.col("id") % 50).alias("tkey"), F.col("id").alias("v"))
+    counts = big.groupBy("tkey").agg(F.count(F.lit(1)).alias("copies"))
+    hot = hot_keys(counts, rows_per_salt=100, max_keys=10, max_salts=16)
+    assert [r["tkey"] for r in hot.collect()] == [7]
+    got = sorted(tuple(r) for r in salted_join(big, small, "tkey", hot, ["id"]).select("id", "tkey", "v").collect())
+    want = sorted(tuple(r) for r in big.join(small, "tkey").select("id", "tkey", "v").collect())
+    assert got == want and len(got) == 6000
+    part = small.where("tkey <> 7")
+    left = sorted(tuple(r) for r in salted_join(big, part, "tkey", hot, ["id"], "left").select("id", "v").collect())
+    assert left == sorted(tuple(r) for r in big.join(part, "tkey", "left").select("id", "v").collect())
