@@ -91,3 +91,23 @@ def test_contract(spark):
     df = E.entry(spark)
     assert df.count() == 200
     assert df.columns == ["key", "route", "reason", "n_urls", "n_hashtags", "text_len"]
+
+
+def test_track_terms_forms_agree(spark):
+    from annolink.operators import guard
+    posts = spark.createDataFrame([(1, "Big data in Hamburg"), (2, "nothing"), (3, "MIT License text"),
+                                   (4, "license only")], "id long, text string")
+    by_col = sorted(r["id"] for r in guard.track_terms(posts, "hamburg, mit license").collect())
+    assert by_col == [1, 3]
+    terms = spark.createDataFrame([("Hamburg",), ("nothing",)], "term string")
+    by_join = sorted(r["id"] for r in guard.track_terms_join(posts, terms).collect())
+    assert by_join == [1, 2]
+
+
+def test_file_topics_roundtrip(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="annolink-topics-"), "t")
+    env = _env(spark, [(None, 1, _post(1, "a")), (None, 2, "plain")]).drop("topic")
+    topics.write_topics(topics.fan_out(env, "raw,rich"), path)
+    back = topics.read_topics(spark, path, "rich")
+    assert sorted(r["key"] for r in back.collect()) == [1, 2]
+    assert set(r["topic"] for r in back.collect()) == {"rich"}
