@@ -29,7 +29,7 @@ EXPECTED = {
 
 def _posts(spark):
     return spark.createDataFrame(
-        [(i, t, "en", (7, "Jan", "HolyCrab", "Leeptsch", 3), 1, 2, 1700000000000, None) for i, t in TEXTS],
+        [(i, t, "en", (7, "User A", "user_a", "Somewhere", 3), 1, 2, 1700000000000, None) for i, t in TEXTS],
         schema.POST)
 
 
