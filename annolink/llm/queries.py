@@ -3,9 +3,9 @@ parameters, to its whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import packing
+from annolink.llm import decontaminate, packing, urls
 from annolink.llm.common import read_table
 
 
@@ -13,4 +13,24 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_packing,)}
+#: Host and path rules of the URL query.
+URL_RULES = [urls.rule("allow", "org/"), urls.rule("block", "example.org/es/"), urls.rule("block", "example.org/en/1"),
+             urls.rule("allow", "com/fr/"), urls.rule("block", "com/de/")]
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical URLs that more than one page carries."""
+    pages = read_table(spark, sf_dir, "pages")
+    return urls.url_filter(pages, urls.repeated_pages(pages), URL_RULES)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    names = F.array_sort(F.transform(F.coalesce("items", F.array().cast("array<long>")), lambda i: i.cast("string")))
+    return decontaminate.matches(docs, items).select(
+        "doc_id", "n_words", "n_hit", F.size(names).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
+QUERIES = {f.__name__: f for f in (op7_packing, op9_url_filters, op10_decontamination)}
