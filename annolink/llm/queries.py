@@ -5,10 +5,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import decontaminate, packing, urls
+from annolink.llm import decontaminate, packing, pii, urls
 from annolink.llm.common import read_table
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.analyse(read_table(spark, sf_dir, "documents"))
+    return spans.select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.span_list(), 256).alias("base_sha256"),
+        pii.span_list((*pii.KINDS, "generalised", "removed")).alias("spans"),
+        F.size("generalised").cast("long").alias("n_generalised"), F.size("removed").cast("long").alias("n_removed"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(read_table(spark, sf_dir, "documents"))
 
@@ -33,4 +42,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op7_packing, op9_url_filters, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_pii, op7_packing, op9_url_filters, op10_decontamination)}
