@@ -59,19 +59,21 @@ def spans_of(text: Column, pattern: Column, possible: Column) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start, end, value>>`` in
     code points.  Each find is the gap before a match and the match, so the
     lengths add up to the positions."""
-    whole = F.concat(F.lit("(?s)(.*?)("), pattern, F.lit(")"))
-    found = F.regexp_extract_all(text, whole, F.lit(0))
+    # \G: each find starts where the last ended, so a text is gone through once
+    whole = F.concat(F.lit(r"\G(?s)(.*?)("), pattern, F.lit(")"))
+    lens = F.transform(F.regexp_extract_all(text, whole, F.lit(0)), F.length)
     value = F.regexp_extract_all(text, whole, F.lit(2))
 
-    def place(pair: Column) -> Column:
-        return F.struct((pair["upto"] - F.length(pair["value"])).alias("start"), pair["upto"].alias("end"),
-                        pair["value"].alias("value"))
+    def places(once: Column) -> Column:
+        def place(v: Column, i: Column) -> Column:
+            upto = F.aggregate(F.slice(once["lens"], 1, i + 1), F.lit(0), lambda s, x: s + x)
+            return F.struct((upto - F.length(v)).alias("start"), upto.alias("end"), v.alias("value"))
+        return F.transform(once["value"], place)
 
-    lens = F.transform(found, F.length)
-    pairs = F.transform(F.arrays_zip(value.alias("value")), lambda v, i: F.struct(
-        F.aggregate(F.slice(lens, 1, i + 1), F.lit(0), lambda s, x: s + x).alias("upto"), v["value"].alias("value")))
+    # one element: its fields are evaluated once, not again for every match
+    found = F.get(F.transform(F.array(F.struct(lens.alias("lens"), value.alias("value"))), places), F.lit(0))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(possible, F.transform(pairs, place)).otherwise(none)
+    return F.when(possible, found).otherwise(none)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
