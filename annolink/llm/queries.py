@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import decontaminate, packing, pii, urls
+from annolink.llm import decontaminate, langid, packing, pii, urls
 from annolink.llm.common import read_table
 
 
@@ -18,6 +18,21 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("generalised").cast("long").alias("n_generalised"), F.size("removed").cast("long").alias("n_removed"))
 
 
+#: Documents whose crc32 remainder is the first number (modulo the second) are never learned from.
+LANG_FOLD, TOXIC_FOLD = (2, 4), (0, 5)
+
+
+def held_out(doc_id, fold: tuple[int, int]):
+    return langid.remainder(doc_id, fold[1]) == fold[0]
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), LANG_FOLD)
+    model = langid.fit(docs.where(~out).select("doc_id", "text", "lang"))
+    return langid.predict(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(read_table(spark, sf_dir, "documents"))
 
@@ -42,4 +57,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op7_packing, op9_url_filters, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_language_id, op7_packing, op9_url_filters, op10_decontamination)}
