@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import decontaminate, langid, packing, pii, urls
+from annolink.llm import decontaminate, langid, packing, pii, toxicity, urls
 from annolink.llm.common import read_table
 
 
@@ -37,6 +37,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), TOXIC_FOLD)
+    learn = docs.where(~out).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    scored = toxicity.score(docs.select("doc_id", out.alias("held_out"), "text"), toxicity.fit(learn))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_spans")
+
+
 #: Host and path rules of the URL query.
 URL_RULES = [urls.rule("allow", "org/"), urls.rule("block", "example.org/es/"), urls.rule("block", "example.org/en/1"),
              urls.rule("allow", "com/fr/"), urls.rule("block", "com/de/")]
@@ -57,4 +65,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_language_id, op7_packing, op9_url_filters, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_language_id, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
