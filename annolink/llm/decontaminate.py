@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from annolink.llm.bloom import blocks_of, with_possible
 from annolink.llm.common import arrow_schema, by_value, byte_class, gram_hash, stored, text_slices, words_of
 
 by_value(__name__)
@@ -218,7 +219,8 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
             x["phrase"].alias("phrase"))).alias("places"))
         .groupBy("dkey", "found_id").agg(F.flatten(F.collect_set("places")).alias("found")), "found")
     same = lambda a, b: (a.dkey == b.dkey) & a.doc_id.eqNullSafe(b.found_id)
-    texts = keyed(docs)
+    # only texts that may be among the found ones go into the shuffle
+    texts = with_possible(keyed(docs), "dkey", blocks_of(found, "dkey"), "maybe").where("maybe")
     checked = (texts.join(found, same(texts, found)).select(texts.dkey, "doc_id", "text", "found")
                .mapInArrow(_verify, "dkey long, found_id long, n_hit long, items array<long>, near array<long>")
                .dropDuplicates(["dkey"]))

@@ -1,21 +1,17 @@
 """URL filter: host/path rules first, then a list of canonical URLs.
 
-The list is looked up in two steps.  A blocked Bloom filter (one 512-bit block
-per key, ``BITS_PER_KEY`` bits set in it) passes the possible hits; an exact hash
-join with the list removes its false positives.  The filter has a fixed number
-of blocks, so the broadcast probe side is bounded whatever the list's length; a
-longer list only passes more false positives on to the exact join.
+The list is looked up in two steps.  A blocked Bloom filter (``bloom``)
+passes the possible hits; an exact hash join with the list removes its false
+positives.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: 2^14 blocks of 8 longs: 1 MB of bits in the broadcast.
-BLOCKS, WORDS, BITS_PER_KEY = 1 << 14, 8, 8
+from annolink.llm.bloom import blocks_of, with_possible
 
 
 class Rule(NamedTuple):
@@ -65,28 +61,6 @@ def first_fit(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column
     return (none, none) if name is None else (name, verdict)
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(17), key), F.lit(BLOCKS)).cast("int")
-
-
-def _masks(key: Column) -> list[Column]:
-    """The bits a key sets in its block, as one mask per 64-bit word."""
-    h = F.xxhash64(F.lit(29), key)
-    masks = []
-    for w in range(WORDS):  # one bit in each word: seven bits of the hash a word
-        bit = F.shiftrightunsigned(h, 7 * w).bitwiseAND(F.lit(63)).cast("int")
-        masks.append(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    return masks[:BITS_PER_KEY]
-
-
-def bloom_blocks(listed: DataFrame, key: str) -> DataFrame:
-    """The filter as rows ``block, w0 .. w7``; partial OR before the shuffle,
-    at most ``BLOCKS`` rows."""
-    masks = _masks(F.col(key))
-    return (listed.select(_block(F.col(key)).alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(masks)])
-            .groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(len(masks))]))
-
-
 def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (),
                listed_verdict: str = "block", other_verdict: str = "allow") -> DataFrame:
     """``pages(page_id, url)`` and ``listed(canonical)`` -> ``page_id, host, path,
@@ -102,12 +76,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = (),
     base = (pages.select(F.col("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
             .select("*", name.alias("rule"), verdict.alias("rule_verdict"), canonical(host, path).alias("canonical")))
     listed = listed.select("canonical").where(F.col("canonical").isNotNull()).distinct()
-    blocks = F.broadcast(bloom_blocks(listed, "canonical"))
-    masks = _masks(F.col("canonical"))
-    maybe = reduce(lambda a, b: a & b, [F.col(f"w{i}").bitwiseAND(m) == m for i, m in enumerate(masks)])
-    probed = (base.withColumn("block", _block(F.col("canonical"))).join(blocks, "block", "left")
-              .withColumn("maybe", F.coalesce(F.col("canonical").isNotNull() & maybe, F.lit(False)))
-              .select("page_id", "host", "path", "rule", "rule_verdict", "canonical", "maybe"))
+    probed = with_possible(base, "canonical", blocks_of(listed, "canonical"), "maybe")
     hits = (probed.where("maybe").drop("maybe")
             .join(listed.withColumn("listed", F.lit(True)), "canonical", "left"))
     rest = probed.where("not maybe").drop("maybe").withColumn("listed", F.lit(False))
