@@ -68,7 +68,9 @@ def unused(df: DataFrame, name: str) -> str:
 #: Text bytes handled at once inside a task: bounds the arrays below.
 SLICE_BYTES = 1 << 21
 
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
+#: Odd bases of two independent polynomial hashes.
+BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_P = np.uint64(BASES[0])
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -81,13 +83,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int, base: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """p^i and p^-i modulo 2^64 for i < n, kept per process."""
-    box = process_cache("powers")
+    box = process_cache(f"powers{base}")
     if len(box.get("p", ())) < n:
         size = max(n, SLICE_BYTES + 1)
-        inv = np.uint64(pow(int(_P), -1, 1 << 64))
-        p, q = np.full(size, _P, np.uint64), np.full(size, inv, np.uint64)
+        inv = np.uint64(pow(BASES[base], -1, 1 << 64))
+        p, q = np.full(size, BASES[base], np.uint64), np.full(size, inv, np.uint64)
         p[0] = q[0] = 1
         box["p"], box["q"] = np.cumprod(p, dtype=np.uint64), np.cumprod(q, dtype=np.uint64)
     return box["p"], box["q"]
@@ -149,13 +151,18 @@ def words_of(text: bytes, offsets: np.ndarray, word_byte: bytes, fold: bytes = L
         stop[cuts] = isw[cuts - 1]
     end = np.flatnonzero(stop)
     row = np.searchsorted(offsets, start, "right") - 1
-    p, q = _powers(n + 1)
+    return row, start, end, span_hash(raw, start, end)
+
+
+def span_hash(raw: bytes, start: np.ndarray, end: np.ndarray, base: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans ``raw[start:end]``, one pass for all."""
+    n = len(raw)
+    p, q = _powers(n + 1, base)
     acc = np.empty(n + 1, np.uint64)
     acc[0] = 0
     with np.errstate(over="ignore"):
         np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * p[:n], dtype=np.uint64, out=acc[1:])
-        h = mix64((acc[end] - acc[start]) * q[start] + (end - start).astype(np.uint64))
-    return row, start, end, h
+        return mix64((acc[end] - acc[start]) * q[start] + (end - start).astype(np.uint64))
 
 
 def gram_hash(h: np.ndarray, k: int) -> np.ndarray:

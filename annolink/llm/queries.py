@@ -5,10 +5,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import decontaminate, jaccard, langid, packing, pii, toxicity, urls
+from annolink.llm import decontaminate, jaccard, langid, lines, packing, pii, toxicity, urls
 from annolink.llm.common import read_table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, those left, and the numbers of the dropped ones."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = lines.dropped_lines(docs)
+    feeds = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.length("text") > 0, feeds + 1).otherwise(0).cast("long")
+    joined = docs.select("doc_id", n_lines.alias("n_lines")).join(gone.withColumnRenamed("doc_id", "of"), F.expr("doc_id <=> of"), "left")
+    dropped = F.coalesce("dropped", F.array().cast("array<int>"))
+    return joined.select("doc_id", "n_lines", (F.col("n_lines") - F.size(dropped)).alias("n_kept"), dropped.alias("dropped"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.analyse(read_table(spark, sf_dir, "documents"))
     return spans.select(
@@ -69,4 +80,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_language_id, op5_ngram_join, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op5_ngram_join, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
