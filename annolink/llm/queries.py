@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import decontaminate, jaccard, langid, lines, packing, pii, toxicity, urls
+from annolink.llm import covertree, decontaminate, jaccard, langid, lines, packing, pii, toxicity, urls
 from annolink.llm.common import read_table
 
 
@@ -48,6 +48,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.harmonic_pack(read_table(spark, sf_dir, "documents"))
 
@@ -80,4 +84,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op5_ngram_join, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
