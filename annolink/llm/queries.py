@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annolink.llm import covertree, decontaminate, jaccard, langid, lines, packing, pii, toxicity, urls
+from annolink.llm import covertree, decontaminate, idcodec, jaccard, langid, lines, packing, pii, toxicity, urls
 from annolink.llm.common import read_table
 
 
@@ -44,6 +44,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text")
 
 
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idcodec.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -84,4 +88,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op4_token_ids, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
