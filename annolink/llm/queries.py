@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from annolink.llm import covertree, decontaminate, idcodec, jaccard, langid, lines, packing, pii, toxicity, urls
 from annolink.llm.common import read_table
 
@@ -89,3 +90,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op4_token_ids, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
+QUERIES["pipeline"] = corpus_pipeline.run
