@@ -295,7 +295,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("token", "band", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "cid", "n", "comp", "side"))
     pairs = (dealt.join(of.select("cid", "bits"), "cid")
-             .select("token", "band", "lo", "hi", "cid", "n", "side", "comp", "bits")
+             .select("token", "band", "lo", "hi", "cid", "n", "comp", "side", "bits")
              .repartition("token", "band", "lo", "hi").sortWithinPartitions("token", "band", "lo", "hi")
              .mapInArrow(_candidates(percent), "a long, b long").distinct())
     second = _verified(stored(pairs, "pairs"), classes, docs, k, percent)
