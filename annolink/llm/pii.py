@@ -177,8 +177,14 @@ def analyse(docs: DataFrame, **thresholds) -> DataFrame:
     more = held.select("tkey", "text").join(terms, "tkey").select(
         "tkey", *[occurrences(a).alias(a) for a in ("generalised", "removed")])
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    base = F.concat(*KINDS)
+
+    def outside(kind: str) -> Column:  # words within an entity go with it
+        return F.filter(F.coalesce(kind, none), lambda s: ~F.exists(
+            base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+
     return found.join(more, "tkey", "left").select(
-        "doc_id", *KINDS, *[F.coalesce(a, none).alias(a) for a in ("generalised", "removed")])
+        "doc_id", *KINDS, *[outside(a).alias(a) for a in ("generalised", "removed")])
 
 
 def span_list(kinds=KINDS) -> Column:
