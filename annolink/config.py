@@ -27,7 +27,6 @@ FAKE_HASHTAG_INDICES = (14, 21)
 RAW_TOPIC = "raw_twitter_feed"
 RICH_TOPIC = "enriched_twitter_feed"
 INTAKE_QUEUE = 10000                    # producer queue -> per-trigger admission cap
-OUTPUT_QUEUE = 1000000                  # consumer queue size
 # ---------------------------------------------------------------------------
 
 

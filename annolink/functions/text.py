@@ -61,3 +61,13 @@ def split_terms(terms: str | list[str]) -> list[str]:
     if isinstance(terms, str):
         terms = terms.split(",")
     return [t.strip() for t in terms if t and t.strip()]
+
+
+def utf16_chars(c) -> Column:
+    """The text with one character per UTF-16 unit: both halves of a surrogate
+    pair become private-use characters.  For functions that count characters."""
+    s = col_of(c)
+    units = F.regexp_replace(F.hex(F.encode(s, "UTF-16BE")), "(.{4})", "0000$1")
+    # eight digits a unit; \\G keeps the match on unit boundaries
+    units = F.regexp_replace(units, r"\G((?:.{8})*?)0000(D[89A-F]..)", "$1000F$2")
+    return F.when(s.rlike(r"[\x{10000}-\x{10FFFF}]"), F.decode(F.unhex(units), "UTF-32")).otherwise(s)

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from annolink import schema
 from annolink.functions.tokens import WORD_PATTERN, _utf16_starts, word_spans
 from annolink.operators.codec import decode_annotation_response, response_to_rows
-from annolink.operators.joins import bounded_broadcast, hot_keys, salted_join, text_key
-from annolink.operators.link import entities_with_links, group_links, kept_links
+from annolink.functions.text import utf16_length
+from annolink.operators.joins import hot_keys, salted_join, text_key
+from annolink.operators.link import entities_with_links, group_links, kept_links, links_from_array
 
 try:  # ship the per-partition helpers by value (no installed package needed)
     from pyspark import cloudpickle
@@ -105,43 +106,44 @@ def distinct_texts(posts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def dictionary_annotations_by_text(texts: DataFrame, gazetteer: DataFrame, text: str = "text",
-                                   pattern: str = WORD_PATTERN,
-                                   broadcast_rows: int = 2_000_000, uniq: DataFrame | None = None) -> DataFrame:
+                                   pattern: str = WORD_PATTERN, uniq: DataFrame | None = None) -> DataFrame:
     """Distinct texts -> ``(tkey, pos, annotation...)``.
 
     Recognition: every run of 1..N words (N = longest surface form, exact) whose
-    exact text equals a surface form.  Overlaps: a match is kept when at every
-    word it covers it is the best match (longer in UTF-16 units first, then
-    earlier); kept matches never overlap.  ``pos`` is the first word's index."""
+    exact text equals a surface form.  Overlaps are settled longest first (in
+    UTF-16 units, then the earlier one): a match is kept unless it overlaps one
+    that was kept before it.  ``pos`` is the first word's index."""
     gaz, max_words = prepare_gazetteer(gazetteer, pattern)
     if max_words == 0:
         return texts.sparkSession.createDataFrame([], "tkey struct<h1:bigint,h2:bigint>, pos int").select(
             "tkey", "pos", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.ANNOTATION.fields])
-    gaz = bounded_broadcast(gaz, broadcast_rows)
-    # one row per distinct text, hash-partitioned on tkey: later windows and
-    # groupings on tkey need no further exchange
     uniq = uniq if uniq is not None else distinct_texts(texts, text)
     g = uniq.select("tkey", _grams_udf(pattern, max_words)("text").alias("g"))
     g = g.select("tkey", F.inline(F.arrays_zip("g.k", "g.n", "g.gram", "g.start")))
-    # candidates are few: cluster them once by text (the Arrow UDF above does
-    # not keep the dedupe's partitioning) so both windows and the grouping per
-    # text below reuse one exchange
-    cand = g.join(gaz, g["gram"] == gaz["surface_form"]).drop("gram").repartition("tkey")
-    score = F.struct(F.length("surface_form").alias("len"), (-F.col("start")).alias("early"))
-    cand = cand.withColumn("_score", score)
-    covered = cand.withColumn("_w", F.explode(F.sequence(F.col("k"), F.col("k") + F.col("n") - 1)))
-    covered = covered.withColumn("_best", F.max("_score").over(Window.partitionBy("tkey", "_w")))
-    ok = F.min((F.col("_best") == F.col("_score")).cast("int")).over(Window.partitionBy("tkey", "k", "n"))
-    kept = covered.withColumn("_ok", ok).where((F.col("_w") == F.col("k")) & (F.col("_ok") == 1))
-    return kept.select("tkey", F.col("k").alias("pos"), "uri", "support", "types", "surface_form",
-                       F.col("start").alias("offset"), "similarity_score", "percentage_of_second_rank")
+    # candidates are few: one exchange brings each text's together
+    match = F.struct((-utf16_length("surface_form")).alias("order"), F.col("start"), F.col("k"), F.col("n"), F.col("uri"),
+                     F.col("support"), F.col("types"), F.col("surface_form"), F.col("similarity_score"),
+                     F.col("percentage_of_second_rank"))
+    found = (g.join(gaz, g["gram"] == gaz["surface_form"]).drop("gram")
+             .groupBy("tkey").agg(F.array_sort(F.collect_list(match)).alias("found")))
+
+    def keep(kept, m):
+        clash = F.exists(kept, lambda o: (o["k"] < m["k"] + m["n"]) & (m["k"] < o["k"] + o["n"]))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(m)))
+
+    kept = F.aggregate("found", F.slice("found", 1, 0), keep)
+    return found.select("tkey", F.explode(kept).alias("m")).select(
+        "tkey", F.col("m.k").alias("pos"), "m.uri", "m.support", "m.types", "m.surface_form", F.col("m.start").alias("offset"),
+        "m.similarity_score", "m.percentage_of_second_rank")
 
 
 def _join_back(posts: DataFrame, per_text: DataFrame, uniq: DataFrame, key: str, text: str,
                how: str) -> DataFrame:
     """Per-text results back to every post; texts with very many copies are
     split over several tasks (``salted_join``)."""
-    p = posts.withColumn("tkey", text_key(text))
+    # null texts have no key; a hash of the row spreads them
+    p = posts.withColumn("tkey", F.when(F.col(text).isNotNull(), text_key(text)).otherwise(
+        F.struct(F.xxhash64(F.lit(2), key).alias("h1"), F.lit(None).cast("bigint").alias("h2"))))
     return salted_join(p, per_text, "tkey", hot_keys(uniq), [key], how).drop("tkey")
 
 
@@ -153,11 +155,23 @@ def dictionary_annotations(posts: DataFrame, gazetteer: DataFrame, key: str = "i
     return _join_back(posts.select(key, text), by_text, uniq, key, text, "inner").drop(text)
 
 
+GATE_ARGS = ("similarity_min", "second_rank_max", "edit_ratio_max")
+
+
+def dictionary_links_by_text(texts: DataFrame, gazetteer: DataFrame, text: str = "text", **kw) -> DataFrame:
+    """The dictionary as an annotator of texts: ``(tkey, urls, reason)`` for texts
+    with kept links; ``reason`` is null."""
+    gate_kw = {k: kw.pop(k) for k in GATE_ARGS if k in kw}
+    by_text = dictionary_annotations_by_text(texts, gazetteer, text, **kw)
+    links = group_links(kept_links(by_text, "tkey", "pos", **gate_kw), "tkey", "pos")
+    return links.withColumn("reason", F.lit(None).cast("string"))
+
+
 def dictionary_lookup(posts: DataFrame, gazetteer: DataFrame, text: str = "text", key: str = "id",
                       **kw) -> DataFrame:
     """Posts with entities replaced by the kept links found by the dictionary.
     Links are grouped per distinct text, then joined back once per post."""
-    gate_kw = {k: kw.pop(k) for k in list(kw) if k in ("similarity_min", "second_rank_max", "edit_ratio_max")}
+    gate_kw = {k: kw.pop(k) for k in GATE_ARGS if k in kw}
     uniq = distinct_texts(posts, text)
     by_text = dictionary_annotations_by_text(posts, gazetteer, text, uniq=uniq, **kw)
     links = group_links(kept_links(by_text, "tkey", "pos", **gate_kw), "tkey", "pos")
@@ -197,12 +211,25 @@ def client_responses(posts: DataFrame, make_client, text: str = "text", uniq: Da
     return uniq.select("tkey", "text").mapInPandas(_call_client(make_client), CLIENT_OUT)
 
 
-def client_annotations(posts: DataFrame, make_client, key: str = "id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Posts -> (annotations in stored shape, failures ``(key, reason)``)."""
-    uniq = distinct_texts(posts, text)
+def _client_decoded(posts: DataFrame, make_client, text: str, uniq: DataFrame | None = None) -> DataFrame:
     resp = decode_annotation_response(client_responses(posts, make_client, text, uniq))
-    resp = resp.withColumn("reason", F.coalesce(F.concat(F.lit("client_error: "), "error"), "reason"))
-    joined = _join_back(posts.select(key, text), resp, uniq, key, text, "inner").drop(text)
-    rows = response_to_rows(joined.where(F.col("error").isNull()), key)
-    failures = joined.where(F.col("reason").isNotNull()).select(key, "reason")
-    return rows, failures
+    return resp.withColumn("reason", F.coalesce(F.concat(F.lit("client_error: "), "error"), "reason"))
+
+
+def client_links_by_text(texts: DataFrame, make_client, text: str = "text", **gate_kw) -> DataFrame:
+    """The client as an annotator of texts: ``(tkey, urls, reason)``; a failed call
+    or a bad response gives the reason and no links."""
+    d = _client_decoded(texts, make_client, text)
+    urls = F.when(F.col("reason").isNull(), links_from_array(F.col("annotations.resources"), **gate_kw))
+    return d.select("tkey", urls.alias("urls"), "reason")
+
+
+def client_annotations(posts: DataFrame, make_client, key: str = "id", text: str = "text") -> DataFrame:
+    """Posts -> one frame ``(key, pos, annotation..., reason)``: a row per
+    annotation, and for a failed text one row with the reason and nulls.  Rows
+    and reasons come from the same pass, so each text is sent once."""
+    uniq = distinct_texts(posts, text)
+    joined = _join_back(posts.select(key, text), _client_decoded(posts, make_client, text, uniq), uniq, key, text, "inner")
+    rows = joined.select(key, "reason", F.posexplode_outer("annotations.resources").alias("pos", "a"))
+    return (rows.where(F.col("reason").isNotNull() | F.col("pos").isNotNull())
+            .select(key, F.col("pos").cast("int").alias("pos"), "a.*", "reason"))

@@ -26,8 +26,8 @@ def positional_link_diff(actual: DataFrame, expected: DataFrame, key: str = "id"
     a = actual.select(key, F.col(urls).alias("a"))
     e = expected.select(key, F.col(urls).alias("e"))
     j = a.join(e, key, "full_outer")
-    same = lambda x, y: ((x["url"] == y["url"]) & (x["display_url"] == y["display_url"])
-                         & (x["indices"] == y["indices"]))
+    same = lambda x, y: (x["url"].eqNullSafe(y["url"]) & x["display_url"].eqNullSafe(y["display_url"])
+                         & x["indices"].eqNullSafe(y["indices"]))
     mism = F.when(F.size("a") == F.size("e"),
                   F.size(F.filter(F.zip_with("a", "e", lambda x, y: same(x, y)), lambda b: ~b)))
     return j.select(key, F.coalesce(F.size("a"), F.lit(-1)).alias("n_actual"),

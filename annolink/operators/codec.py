@@ -23,13 +23,17 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "true",
 }
 
+NULL_ENTITIES = r"""[{,]\s*["']?entities["']?\s*:\s*null\b"""
+
 POST_REQUIRED = [("id", "bigint"), ("text", None), ("lang", None),
                  ("retweet_count", "int"), ("favorite_count", "int"),
                  ("timestamp_ms", "bigint")]
 
 
 def _num(c: Column, typ: str) -> Column:
-    return c.try_cast(typ)
+    """A JSON number of that type; integers drop a fraction (``1.0`` is 1)."""
+    return F.coalesce(c.try_cast(typ), F.split_part(c.try_cast("decimal(38,6)").cast("string"), F.lit("."),
+                                                    F.lit(1)).try_cast(typ))
 
 
 def _bad_num(c: Column, typ: str) -> Column:
@@ -89,8 +93,9 @@ def post_checks(value: Column, w: Column, require_user: bool,
                                     | _bad_num(u["followersCount"], "int")), "invalid_user"))
     e = w["entities"]
     # absent entities is fine; an explicit JSON null is not (only checked when null)
-    checks.append((e.isNull() & F.array_contains(F.json_object_keys(value), "entities"),
-                   "null_entities"))
+    keys = F.json_object_keys(value)  # null for text that only the lenient reader accepts
+    named = F.when(keys.isNotNull(), F.array_contains(keys, "entities")).otherwise(value.rlike(NULL_ENTITIES))
+    checks.append((e.isNull() & named, "null_entities"))
     checks.append((e.isNotNull() & (e["hashtags"].isNull() | e["urls"].isNull()),
                    "invalid_entities"))
     checks.append((e.isNotNull() & F.exists(e["hashtags"], lambda h: h.isNull()

@@ -22,6 +22,7 @@ from annolink import config, schema
 from annolink.functions.text import java_trim, utf16_length
 from annolink.operators.codec import _bind_once, decode_posts, post_json
 from annolink.operators.guard import is_json_object
+from annolink.operators.joins import text_key
 from annolink.operators.link import entities_with_links
 
 
@@ -78,23 +79,44 @@ def enrich_rowwise(envelopes: DataFrame, fn: Callable[[Column], tuple[Column, Co
 
 def enrich_with_links(envelopes: DataFrame, links: DataFrame, link_key: Callable[[Column], Column],
                       value: str = "value", strict: bool = False) -> DataFrame:
-    """Replace each decoded post's entities by ``links`` (``jkey, urls``) where
-    ``jkey = link_key(post)`` (post id for stored annotations, text key for the
+    """Replace each decoded post's entities by ``links`` (``jkey, urls`` and
+    optionally ``reason``) where ``jkey = link_key(post)`` (post id for stored annotations, text key for the
     dictionary).  Posts without links get empty entities."""
     carry = [c for c in envelopes.columns if c != value]
     d = decode_route(envelopes, value, strict)
-    spread = F.struct(F.lit(0).alias("k"), F.xxhash64(F.col(value), *[F.col(c) for c in carry]).alias("h"))
-    d = d.withColumn("_jk", F.when(F.col("route") == "enriched",
-                                   F.struct(F.lit(1).alias("k"), link_key(F.col("post")).alias("h")))
-                     .otherwise(spread.cast(f"struct<k:int,h:{_key_type(links)}>")))
-    l = links.select(F.struct(F.lit(1).alias("k"), F.col("jkey").alias("h")).alias("_jk"), "urls")
-    j = d.join(l, "_jk", "left")
+    kind = links.schema["jkey"].dataType
+    if "reason" not in links.columns:
+        links = links.withColumn("reason", F.lit(None).cast("string"))
+    enriched = F.col("route") == "enriched"
+    # rows that look nothing up are spread by a hash under a mark no link has
+    d = (d.withColumn("_mark", F.when(enriched, F.lit(1)).otherwise(F.lit(0)))
+         .withColumn("_spread", F.when(enriched, F.lit(0)).otherwise(F.xxhash64(F.col(value), *[F.col(c) for c in carry])).cast("long"))
+         .withColumn("_jk", F.when(enriched, link_key(F.col("post")).cast(kind))))
+    l = links.where(F.col("jkey").isNotNull()).select(
+        F.lit(1).alias("_lmark"), F.lit(0).cast("long").alias("_lspread"), F.col("jkey").alias("_lk"), "urls",
+        F.col("reason").alias("_lreason"))
+    j = d.join(l, (d["_mark"] == l["_lmark"]) & (d["_spread"] == l["_lspread"]) & d["_jk"].eqNullSafe(l["_lk"]), "left")
     new_post = F.col("post").withField("entities", entities_with_links(F.col("urls")))
-    return _finish(j, new_post, None, carry, value)
+    return _finish(j, new_post, F.col("_lreason"), carry, value)
 
 
-def _key_type(links: DataFrame) -> str:
-    return links.schema["jkey"].dataType.simpleString()
+def enrich_by_text(envelopes: DataFrame, annotator: Callable[[DataFrame], DataFrame], value: str = "value",
+                   strict: bool = False) -> DataFrame:
+    """JSON in, JSON out, with links looked up by the post's text.
+
+    ``annotator(texts)`` gets the decoded posts' texts as one column ``text`` and
+    returns ``(tkey, urls, reason)`` with one row per distinct text at most
+    (``annotate.dictionary_links_by_text``, ``client_links_by_text``).  A reason
+    sends the post to quarantine; a text without a row gets empty links.
+    """
+    posts = decode_route(envelopes, value, strict).where(F.col("route") == "enriched")
+    links = annotator(posts.select(F.col("post.text").alias("text"))).withColumnRenamed("tkey", "jkey")
+    return enrich_with_links(envelopes, links, lambda post: text_key(post["text"]), value, strict)
+
+
+def sentiment_in_range(s: Column) -> Column:
+    """In [0, 1]; null and NaN are not."""
+    return F.coalesce((s >= 0) & (s <= 1) & ~F.isnan(s), F.lit(False))
 
 
 def suffix_enrichment(suffix: str, sentiment: Callable[[Column], Column], urls: list[dict] | None = None,
@@ -113,7 +135,7 @@ def suffix_enrichment(suffix: str, sentiment: Callable[[Column], Column], urls:
     def fn(post: Column):
         s = sentiment(post).cast("double")
         text = F.concat(post["text"], F.lit(suffix))
-        reason = (F.when(s.isNull() | F.isnan(s) | (s < 0) | (s > 1), F.lit("sentiment_out_of_range"))
+        reason = (F.when(~sentiment_in_range(s), F.lit("sentiment_out_of_range"))
                   .when(utf16_length(java_trim(text)) > max_units, F.lit("text_too_long")))
         entities = F.struct(F.array(tag).alias("hashtags"), urls_col.alias("urls"))
         return post.withField("text", text).withField("entities", entities), reason

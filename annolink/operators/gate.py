@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from annolink import config
 from annolink._util import col_of
-from annolink.functions.text import page_label, page_name, utf16_length
+from annolink.functions.text import page_label, page_name, utf16_chars, utf16_length
 
 REASONS = ["invalid_annotation", "low_similarity", "close_second_rank", "far_edit_distance", "keep"]
 
 
 def _ratio(x) -> Fraction:
-    return x if isinstance(x, Fraction) else Fraction(x).limit_denominator(10**6)
+    return x if isinstance(x, Fraction) else Fraction(str(x))
 
 
 def edit_ratio_exceeds(label, surface, ratio=config.EDIT_RATIO_MAX) -> Column:
@@ -33,7 +33,7 @@ def edit_ratio_exceeds(label, surface, ratio=config.EDIT_RATIO_MAX) -> Column:
     r = _ratio(ratio)
     lab, sf = col_of(label), col_of(surface)
     longest = F.greatest(utf16_length(lab), utf16_length(sf)).cast("long")
-    return F.levenshtein(lab, sf).cast("long") * r.denominator > longest * r.numerator
+    return F.levenshtein(utf16_chars(lab), utf16_chars(sf)).cast("long") * r.denominator > longest * r.numerator
 
 
 def gate_reason(similarity="similarity_score", second_rank="percentage_of_second_rank",
@@ -56,13 +56,26 @@ def gate_struct_reason(a: Column, **kw) -> Column:
                        a["surface_form"], **kw)
 
 
+def gate_passes(similarity="similarity_score", second_rank="percentage_of_second_rank",
+                uri="uri", surface_form="surface_form", *,
+                similarity_min: float = config.SIMILARITY_MIN,
+                second_rank_max: float = config.SECOND_RANK_MAX,
+                edit_ratio_max=config.EDIT_RATIO_MAX) -> Column:
+    """The gate as a conjunction of plain comparisons, which reach the scan; the
+    same rows as ``gate_reason(...) == "keep"`` (NaN is above every number)."""
+    sim, sr, u, sf = col_of(similarity), col_of(second_rank), col_of(uri), col_of(surface_form)
+    near = ~edit_ratio_exceeds(page_label(page_name(u)), sf, edit_ratio_max)
+    return ((sim >= F.lit(float(similarity_min))) & ((sr <= F.lit(float(second_rank_max))) | (sr == F.lit(float("nan"))))
+            & u.isNotNull() & sf.isNotNull() & near)
+
+
 def with_gate_reason(annotations: DataFrame, **kw) -> DataFrame:
     return annotations.withColumn("reason", gate_reason(**kw))
 
 
 def gate(annotations: DataFrame, **kw) -> DataFrame:
     """Keep only annotations that pass every check."""
-    return annotations.where(gate_reason(**kw) == "keep")
+    return annotations.where(gate_passes(**kw))
 
 
 def gate_counts(annotations: DataFrame, **kw) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from annolink import config
 from annolink._util import col_of
 from annolink.functions.text import java_trim, split_terms, starts_with_brace, utf16_length
-from annolink.operators.joins import bounded_broadcast
 
 WORD_SPLIT = r"[^\p{L}\p{N}]+"
+MARKED = r"[#@][\p{L}\p{N}]+"
 
 
 def json_guard_drop(df: DataFrame, value: str = "value") -> DataFrame:
@@ -46,19 +46,30 @@ def _term_words(terms) -> list[list[str]]:
     return out
 
 
+def text_words(text="text") -> Column:
+    """Distinct lower-case words, and the marked ones (``#word``, ``@word``) as well."""
+    low = F.lower(col_of(text))
+    return F.array_distinct(F.concat(F.split(low, WORD_SPLIT), F.regexp_extract_all(low, F.lit(MARKED), F.lit(0))))
+
+
 def track_match(text="text", terms: str | list[str] = "") -> Column:
     """True when any term matches: a term is one or more words, all of which
-    must occur as words of the text (case-insensitive).  Terms are OR-ed."""
-    words = F.split(F.lower(col_of(text)), WORD_SPLIT)
+    must occur as words of the text (case-insensitive).  Terms are OR-ed.  A
+    plain word also matches behind a marker; ``#word`` matches the hashtag only."""
     phrases = _term_words(terms)
     if not phrases:
         return F.lit(False)
     single = [p[0] for p in phrases if len(p) == 1]
     multi = [p for p in phrases if len(p) > 1]
-    expr = F.arrays_overlap(words, F.array(*[F.lit(w) for w in single])) if single else F.lit(False)
-    for p in multi:
-        expr = expr | F.forall(F.array(*[F.lit(w) for w in p]), lambda w: F.array_contains(words, w))
-    return F.coalesce(expr, F.lit(False))
+
+    def matches(words: Column) -> Column:
+        expr = F.arrays_overlap(words, F.array(*[F.lit(w) for w in single])) if single else F.lit(False)
+        for p in multi:
+            expr = expr | (F.size(F.array_except(F.array(*[F.lit(w) for w in p]), words)) == 0)
+        return expr
+
+    # one element: the words are split once, not again for every term
+    return F.coalesce(F.get(F.transform(F.array(text_words(text)), matches), 0), F.lit(False))
 
 
 def track_terms(df: DataFrame, terms, text: str = "text") -> DataFrame:
@@ -66,11 +77,16 @@ def track_terms(df: DataFrame, terms, text: str = "text") -> DataFrame:
 
 
 def track_terms_join(df: DataFrame, terms: DataFrame, key: str = "id", text: str = "text",
-                     term: str = "term", broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Single-word terms held in a table (any size): semi join of the text's
-    distinct words against the terms; the term side is broadcast only when its
-    row count is within the bound."""
-    words = df.select(key, F.explode(F.array_distinct(F.split(F.lower(F.col(text)), WORD_SPLIT))).alias("_w"))
-    t = bounded_broadcast(terms.select(F.lower(F.col(term)).alias("_w")).distinct(), broadcast_rows)
-    hits = words.join(t, "_w", "left_semi").select(key).distinct()
+                     term: str = "term") -> DataFrame:
+    """Terms held in a table (any size): a text matches a term when it has all of
+    its words.  Texts' words are joined with the terms' words and counted per
+    text and term; common words are pre-aggregated per text, and the join's
+    skewed keys are split at run time."""
+    low = F.lower(F.trim(F.col(term)))
+    t = terms.select(low.alias("_term")).where("_term <> ''").distinct()
+    t = t.select("_term", F.array_distinct(F.split("_term", r"\s+")).alias("_ws"))
+    t = t.select("_term", F.size("_ws").alias("_n"), F.explode("_ws").alias("_w"))
+    words = df.select(key, F.explode(text_words(text)).alias("_w"))
+    hits = (words.join(t, "_w").groupBy(key, "_term").agg(F.count_distinct("_w").alias("_got"), F.max("_n").alias("_n"))
+            .where("_got = _n").select(key).distinct())
     return df.join(hits, key, "left_semi")

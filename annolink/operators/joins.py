@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and a stable key for long texts."""
+"""Join helpers: a 128-bit key for long texts and salting of hot keys."""
 
 from __future__ import annotations
 
@@ -6,42 +6,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from annolink._util import col_of
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early); beyond the bound the planner keeps its shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def text_key(text) -> Column:
-    """128-bit key of a text (two independent 64-bit hashes) so that long texts
-    are not carried as join/grouping keys; collisions are negligible at any
-    realistic table size (birthday bound ~1e-17 for 1e11 distinct texts)."""
+    """128-bit key of a text, so that long texts are not carried as join or
+    grouping keys: two 64-bit hashes of the whole text with different seeds (the
+    second starts from the hash of a constant), so that texts which agree in one
+    agree in the other by chance only."""
     t = col_of(text)
-    return F.struct(F.xxhash64(t).alias("h1"), F.xxhash64(t, F.length(t)).alias("h2"))
+    return F.struct(F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2"))
 
 
 # ---------------------------------------------------------------- hot keys
-HOT_KEYS_MAX = 1000          # broadcast bound of the hot-key list (rows)
 ROWS_PER_SALT = 1_000_000    # rows of one hot key handled by one task
-MAX_SALTS = 512
 
 
 def hot_keys(counts: DataFrame, key: str = "tkey", count: str = "copies",
-             rows_per_salt: int = ROWS_PER_SALT, max_keys: int = HOT_KEYS_MAX,
-             max_salts: int = MAX_SALTS) -> DataFrame:
-    """The heaviest keys with more than ``rows_per_salt`` rows and how many
-    sub-keys each is split into.  At most ``max_keys`` rows by construction
-    (top-k), so broadcasting it is safe; lighter keys stay on the plain join
-    (and AQE's skew-join split)."""
-    top = counts.where(F.col(count) > rows_per_salt).orderBy(F.col(count).desc()).limit(max_keys)
-    salts = F.least(F.ceil(F.col(count) / F.lit(rows_per_salt)), F.lit(max_salts)).cast("int")
-    return top.select(key, salts.alias("_salts"))
+             rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Every key with more than ``rows_per_salt`` rows and the number of sub-keys
+    it is split into.  There is at most one such key per ``rows_per_salt`` rows."""
+    salts = F.ceil(F.col(count) / F.lit(rows_per_salt)).cast("int")
+    return counts.where(F.col(count) > rows_per_salt).select(key, salts.alias("_salts"))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, spread_by: list[str],
@@ -51,10 +35,9 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, spre
     spread over ``_salts`` sub-keys by a deterministic hash of ``spread_by``
     (stable across task retries); the small side's rows of those keys are
     replicated once per sub-key.  Every row is kept; nothing is sampled."""
-    h = F.broadcast(hot)
-    b = big.join(h, key, "left")
+    b = big.join(hot, key, "left")
     b = b.withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.col("_salts")).cast("int"))).drop("_salts")
-    s = small.join(h, key, "left")
+    s = small.join(hot, key, "left")
     s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
     return b.join(s.drop("_salts"), [key, "_salt"], how).drop("_salt")

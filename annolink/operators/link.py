@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from annolink import config, schema
 from annolink._util import col_of
 from annolink.functions.text import page_name, utf16_length
-from annolink.operators.gate import gate_reason, gate_struct_reason
+from annolink.operators.gate import gate_passes, gate_struct_reason
 
 
 def link_struct(uri="uri", surface_form="surface_form", offset="offset",
@@ -40,8 +40,8 @@ def links_from_array(annotations: Column, **gate_kw) -> Column:
 
 
 def kept_links(annotations: DataFrame, key: str = "id", pos: str = "pos", **gate_kw) -> DataFrame:
-    """Exploded form: ``(key, pos, link)`` for every kept annotation."""
-    return (annotations.where(gate_reason(**gate_kw) == "keep")
+    """Exploded form: ``(key, pos, link)`` for every kept annotation of a key."""
+    return (annotations.where(F.col(key).isNotNull() & gate_passes(**gate_kw))
             .select(key, pos, link_struct().alias("link")))
 
 

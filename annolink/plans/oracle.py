@@ -53,7 +53,7 @@ posts AS (SELECT doc_id AS id, text, lang, doc_id % 97 AS user_id, source AS use
 
 SUFFIX = """
 sfx AS (SELECT *, ((id % 23) - 1) / CAST(20 AS DOUBLE) AS senti,
-               length(""" + TRIM.format(x="text || '___TEST___'") + """) AS units2 FROM posts),
+               length(""" + TRIM.format(x="text || ' (checked)'") + """) AS units2 FROM posts),
 sfx_r AS (SELECT *, CASE WHEN NOT is_json THEN 'passthrough'
                          WHEN units > 280 OR senti < 0 OR senti > 1 OR units2 > 280 THEN 'quarantine'
                          ELSE 'enriched' END AS route,
@@ -97,12 +97,22 @@ grams AS (SELECT id, k, 1 AS n, word AS gram, start FROM tk2
           UNION ALL SELECT id, k, 2 AS n, word || gap2 || word2 AS gram, start FROM tk2 WHERE word2 IS NOT NULL),
 cand AS (SELECT g.id, g.k, g.n, g.start, z.*, length(z.surface_form) * 1000000000 - g.start AS score
          FROM grams g JOIN gaz z ON g.gram = z.surface_form),
-cov AS (SELECT *, unnest(range(k, k + n)) AS w FROM cand),
-cov2 AS (SELECT *, max(score) OVER (PARTITION BY id, w) AS best FROM cov),
-cov3 AS (SELECT *, min(CASE WHEN score = best THEN 1 ELSE 0 END) OVER (PARTITION BY id, k, n) AS ok FROM cov2),
-dict AS (SELECT id, CAST(k AS INTEGER) AS pos, surface_form, uri, CAST(start AS INTEGER) AS "offset", support,
-                similarity_score, percentage_of_second_rank
-         FROM cov3 WHERE w = k AND ok = 1)"""
+gl AS (SELECT id, list({'k': k, 'n': n, 'start': start, 'surface_form': surface_form, 'uri': uri, 'support': support,
+                        'similarity_score': similarity_score, 'percentage_of_second_rank': percentage_of_second_rank}
+                       ORDER BY score DESC) AS l FROM cand GROUP BY id),
+gk AS (SELECT id, unnest(list_reduce(l, lambda a, x: CASE
+           WHEN len(list_filter(a, lambda y: y.k < x.k + x.n AND x.k < y.k + y.n)) > 0 THEN a
+           ELSE list_append(a, x) END, l[1:0])) AS m FROM gl),
+dict AS (SELECT id, CAST(m.k AS INTEGER) AS pos, m.surface_form, m.uri, CAST(m.start AS INTEGER) AS "offset", m.support,
+                m.similarity_score, m.percentage_of_second_rank FROM gk)"""
+
+DICT_GATED = DICT + """,
+dg AS (SELECT *, """ + GATE.format(s="similarity_score", r="percentage_of_second_rank", u="uri",
+                                  f="surface_form") + """ AS reason FROM dict)"""
+
+CLIENT = WORDS + """,
+cw AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY pos) - 1 AS pos, word AS surface_form, "offset"
+       FROM w1 WHERE length(word) >= 9)"""
 
 ENRICH_STORED = "WITH " + GATED + "," + POSTS + """
 SELECT p.id AS key,
@@ -113,6 +123,26 @@ SELECT p.id AS key,
        CASE WHEN p.is_json AND p.units <= 280 THEN length(p.text) END AS text_len
 FROM posts p LEFT JOIN kept_n k ON p.id = k.id"""
 
+ENRICH_DICTIONARY = "WITH " + DICT_GATED + "," + POSTS + """,
+dn AS (SELECT id, count(*) AS n FROM dg WHERE reason = 'keep' GROUP BY id)
+SELECT p.id AS key,
+       CASE WHEN NOT p.is_json THEN 'passthrough' WHEN p.units > 280 THEN 'quarantine' ELSE 'enriched' END AS route,
+       CASE WHEN p.is_json AND p.units > 280 THEN 'text_too_long' END AS reason,
+       CASE WHEN p.is_json AND p.units <= 280 THEN coalesce(n, 0) END AS n_urls,
+       CASE WHEN p.is_json AND p.units <= 280 THEN 0 END AS n_hashtags,
+       CASE WHEN p.is_json AND p.units <= 280 THEN length(p.text) END AS text_len
+FROM posts p LEFT JOIN dn ON p.id = dn.id"""
+
+ENRICH_CLIENT = "WITH " + CLIENT + "," + POSTS + """,
+dn AS (SELECT id, count(*) AS n FROM cw GROUP BY id),
+r AS (SELECT p.*, coalesce(n, 0) AS n,
+             CASE WHEN NOT is_json THEN NULL WHEN units > 280 THEN 'text_too_long'
+                  WHEN contains(text, chr(92)) THEN 'client_error: status 500' END AS reason
+      FROM posts p LEFT JOIN dn ON p.id = dn.id)
+SELECT id AS key, CASE WHEN NOT is_json THEN 'passthrough' WHEN reason IS NOT NULL THEN 'quarantine' ELSE 'enriched' END AS route,
+       reason, CASE WHEN is_json AND reason IS NULL THEN n END AS n_urls, CASE WHEN is_json AND reason IS NULL THEN 0 END AS n_hashtags,
+       CASE WHEN is_json AND reason IS NULL THEN length(text) END AS text_len FROM r"""
+
 CONSUMED = POSTS + "," + SUFFIX + """,
 consumed AS (SELECT id, 0 AS enriched FROM posts WHERE is_json AND units <= 280
              UNION ALL SELECT id, 1 AS enriched FROM sfx_r WHERE route = 'enriched')"""
@@ -126,7 +156,9 @@ SELECT id, pos, url, url AS expanded_url, surface_form AS display_url, "offset"
 
     "annotation_gate_counts": "WITH " + GATED + "\nSELECT reason, count(*) AS n FROM rs GROUP BY reason",
 
-    "min_support_confidence": "WITH " + ANN + "\nSELECT id, pos, support FROM ann WHERE support >= 20",
+    "min_support_confidence": "WITH " + ANN + """
+SELECT id, pos, support, confidence FROM (
+  SELECT *, ((id + pos) % 100) / CAST(100 AS DOUBLE) AS confidence FROM ann) WHERE support >= 20 AND confidence >= 0.7""",
 
     "page_label_parts": """
 SELECT page_id, split_part(url, '/', -1) AS page, replace(split_part(url, '/', -1), '_', ' ') AS label
@@ -219,26 +251,27 @@ SELECT id, count(*) AS n_copies, CAST(sum(enriched) AS BIGINT) AS n_enriched,
 FROM consumed GROUP BY id""",
 
     "unknown_ids": "WITH " + CONSUMED + """
-SELECT count(*) AS n_results, count(*) FILTER (WHERE id NOT IN (SELECT doc_id FROM documents)) AS n_unknown
-FROM consumed""",
+SELECT id, count(*) AS n_results FROM consumed WHERE id % 7 = 0 GROUP BY id""",
 
     "delivery_total": "WITH " + CONSUMED + """
 SELECT (SELECT count(*) FROM documents) AS n_inputs, count(*) AS n_delivered,
        count(*) FILTER (WHERE enriched = 1) AS n_rich, 2 * (SELECT count(*) FROM documents) AS n_expected
 FROM consumed""",
 
-    "positional_link_diff": "WITH " + GATED + """
-SELECT d.doc_id AS id, CAST(coalesce(k.n, 0) AS INTEGER) AS n_actual,
-       CAST(coalesce(k.n, 0) AS INTEGER) AS n_expected, 0 AS n_mismatch
-FROM documents d LEFT JOIN kept_n k ON d.doc_id = k.id""",
+    "positional_link_diff": "WITH " + GATED + """,
+c AS (SELECT d.doc_id AS id, CAST(coalesce(k.n, 0) AS INTEGER) AS n FROM documents d LEFT JOIN kept_n k ON d.doc_id = k.id)
+SELECT id, n AS n_actual,
+       CASE WHEN id % 13 = 0 THEN -1 WHEN id % 5 = 1 AND n > 0 THEN n - 1 ELSE n END AS n_expected,
+       CASE WHEN id % 13 = 0 THEN -1 WHEN id % 5 = 0 THEN n WHEN id % 5 = 1 AND n > 0 THEN -1 ELSE 0 END AS n_mismatch
+FROM c""",
 
     "track_terms": """
 WITH ws AS (SELECT doc_id, string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS w FROM documents)
 SELECT doc_id AS id FROM ws
 WHERE list_has_any(w, ['that', 'with', 'released']) OR (list_contains(w, 'mit') AND list_contains(w, 'license'))""",
 
-    "message_dump_ingest": "WITH " + POSTS + """
-SELECT CASE WHEN NOT is_json THEN 'malformed_json' WHEN units > 280 THEN 'text_too_long' END AS reason,
+    "message_dump_ingest": "WITH " + POSTS.replace("doc_id % 10 <> 0 OR", "doc_id % 50 <> 2 AND doc_id % 10 <> 0 OR") + """
+SELECT CASE WHEN id % 50 = 2 THEN 'oversize' WHEN NOT is_json THEN 'malformed_json' WHEN units > 280 THEN 'text_too_long' END AS reason,
        CASE WHEN is_json AND units <= 280 THEN id END AS id,
        CASE WHEN is_json AND units <= 280 THEN lang END AS lang,
        CASE WHEN is_json AND units <= 280 THEN user_id END AS user_id,
@@ -253,9 +286,7 @@ FROM posts WHERE """ + TRIM.format(x="text") + " <> ''",
     "dictionary_annotate": "WITH " + DICT + """
 SELECT id, pos, surface_form, uri, "offset", support FROM dict""",
 
-    "dictionary_links": "WITH " + DICT + """,
-dg AS (SELECT *, """ + GATE.format(s="similarity_score", r="percentage_of_second_rank", u="uri",
-                                  f="surface_form") + """ AS reason FROM dict)
+    "dictionary_links": "WITH " + DICT_GATED + """
 SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY pos) - 1 AS INTEGER) AS link_idx,
        'https://en.wikipedia.org/wiki/' || split_part(uri, '/', -1) AS url,
        'https://en.wikipedia.org/wiki/' || split_part(uri, '/', -1) AS expanded_url,
@@ -267,4 +298,24 @@ FROM dg WHERE reason = 'keep'""",
     "stream_report": "WITH " + GATED + "," + POSTS + """
 SELECT p.id, """ + REPORT + """ AS report
 FROM posts p LEFT JOIN kept_n k ON p.id = k.id WHERE p.is_json AND p.units <= 280""",
+
+    "client_annotate": "WITH " + CLIENT + """
+SELECT w.id, CAST(w.pos AS INTEGER) AS pos, w.surface_form, w."offset", CAST(NULL AS VARCHAR) AS reason
+FROM cw w JOIN documents d ON d.doc_id = w.id WHERE NOT contains(d.text, chr(92))
+UNION ALL SELECT doc_id, NULL, NULL, NULL, 'client_error: status 500' FROM documents WHERE contains(text, chr(92))""",
+
+    "enrich_dictionary": ENRICH_DICTIONARY,
+
+    "stream_enrich_dictionary": ENRICH_DICTIONARY,
+
+    "enrich_client": ENRICH_CLIENT,
+
+    "track_terms_join": """
+WITH t AS (SELECT item_id, w FROM (SELECT item_id, string_split_regex(text, '[^A-Za-z]+') AS w FROM benchmark) WHERE len(w) > 4),
+ws AS (SELECT doc_id, string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS d,
+              regexp_extract_all(lower(text), '[#@][\\p{L}\\p{N}]+') AS m FROM documents)
+SELECT DISTINCT doc_id AS id FROM ws JOIN t ON CASE item_id % 3
+  WHEN 0 THEN list_contains(d, lower(w[2]))
+  WHEN 1 THEN list_contains(d, lower(w[2])) AND list_contains(d, lower(w[4]))
+  ELSE list_contains(m, '#' || lower(w[2])) END""",
 }

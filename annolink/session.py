@@ -24,7 +24,7 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -59,10 +59,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
-    value = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder from ``spark.checkpoint.dir`` or ``setCheckpointDir``.
+    Without either, a local master (tests) gets a fresh folder; a cluster raises."""
+    value = checkpoint_dir(spark)
     if not value:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         value = tempfile.mkdtemp(prefix="annolink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", value)
     if not spark.sparkContext.getCheckpointDir():

@@ -17,7 +17,8 @@ def ingest_lines(lines: DataFrame, value: str = "value",
     other line is decoded with a reason."""
     kept = lines.where(F.col(value).isNotNull() & (java_trim(F.col(value)) != ""))
     big = oversize(value, max_bytes)
-    d = decode_posts(kept.withColumn("_big", big), value)
+    # an oversize message is not parsed
+    d = decode_posts(kept.withColumn("_big", big).withColumn(value, F.when(~big, F.col(value))), value)
     d = d.withColumn("reason", F.when(F.col("_big"), F.lit("oversize")).otherwise(F.col("reason")))
     return d.withColumn("post", F.when(F.col("reason").isNull(), F.col("post"))).drop("_big")
 

@@ -23,9 +23,9 @@ def subscription(topics) -> list[str]:
 # ------------------------------------------------------------------ broker
 
 def kafka_reader(spark: SparkSession, servers: str, topics, streaming: bool = True,
-                 max_offsets_per_trigger: int | None = config.INTAKE_QUEUE, **options):
-    """Configured reader for a broker subscription (earliest offsets: the
-    reference's stream apps start from the beginning of the log)."""
+                 max_offsets_per_trigger: int | None = None, **options):
+    """Configured reader for a broker subscription, from the beginning of the
+    log.  Records per trigger are bounded only when asked for."""
     r = (spark.readStream if streaming else spark.read).format("kafka")
     r = r.option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(subscription(topics)))
     r = r.option("startingOffsets", "earliest")

@@ -45,22 +45,37 @@ def start(df: DataFrame, out: str, checkpoint: str, name: str | None = None, fmt
 
 def run_enrich_stream(spark: SparkSession, src: str, out: str,
                       enrich: Callable[[DataFrame], DataFrame], checkpoint: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
+                      max_files_per_trigger: int | None = None, name: str | None = None) -> DataFrame:
     """Run the enrichment over everything available, then return the sink as a
     batch DataFrame."""
     stream = file_stream(spark, src, max_files_per_trigger=max_files_per_trigger)
-    q = start(enrich(stream), out, checkpoint)
+    q = start(enrich(stream), out, checkpoint, name=name)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def run_batch_stream(spark: SparkSession, src: str, out: str, enrich: Callable[[DataFrame], DataFrame],
+                     checkpoint: str, max_files_per_trigger: int | None = None, name: str | None = None) -> DataFrame:
+    """The same for an enrichment that needs a batch's texts together (look-up by
+    text): it runs on each micro-batch.  A batch has a folder of its own, which a
+    repeated batch overwrites."""
+    def write(batch: DataFrame, number: int) -> None:
+        enrich(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    w = (file_stream(spark, src, max_files_per_trigger=max_files_per_trigger).writeStream
+         .option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True))
+    q = (w.queryName(name) if name else w).start()
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
 def run_consume_stream(spark: SparkSession, src: str, out: str,
                        consume: Callable[[DataFrame], DataFrame], checkpoint: str,
-                       keep: list[str] | None = None, routes=None) -> DataFrame:
+                       keep: list[str] | None = None, routes=None, name: str | None = None) -> DataFrame:
     stream = file_stream(spark, src)
     if routes:  # a route-partitioned topic folder: prune to the wanted routes
         stream = stream.where(F.col("route").isin(list(routes)))
     posts = valid_posts(decode_posts(json_guard_drop(stream)), keep or [])
-    q = start(consume(posts), out, checkpoint)
+    q = start(consume(posts), out, checkpoint, name=name)
     q.awaitTermination()
     return spark.read.parquet(out)

@@ -22,20 +22,22 @@ def _gaz(spark, rows):
 
 def test_dictionary_matches_and_overlaps(spark):
     posts = spark.createDataFrame([
-        (1, "Dude, I can only say Hamburg harbour under the skyline of the Elbphilharmonie."),
-        (2, "Hamburg is a marvelous city!"),
-        (3, "Hamburg is a marvelous city!"),          # exact copy: annotated once, joined twice
-        (4, "Hamburgers are not Hamburg."),            # no match inside a longer word
-        (5, "\U0001F600 Alster"),                       # offset counted in UTF-16 units
+        (1, "From the old lighthouse one sees the salt marsh and the mill."),
+        (2, "A mill, a mill!"),
+        (3, "A mill, a mill!"),                        # exact copy: annotated once, joined twice
+        (4, "Millers are no mill."),                   # no match inside a longer word
+        (5, "\U0001F600 marsh"),                       # offset counted in UTF-16 units
+        (6, "aa bbb cccc ddddd"),                      # the longest wins, then what it leaves free
+        (7, None),
     ], "id long, text string")
-    gaz = _gaz(spark, [("Hamburg", "Hamburg"), ("Hamburg harbour", "Port_of_Hamburg"),
-                       ("harbour", "Harbour"), ("Elbphilharmonie", "Elbphilharmonie"),
-                       ("Alster", "Alster"), ("city", "City")])
+    gaz = _gaz(spark, [("lighthouse", "Lighthouse"), ("salt marsh", "Salt_marsh"), ("marsh", "Marsh"), ("mill", "Mill"),
+                       ("old", "Old"), ("aa bbb", "A"), ("bbb cccc", "B"), ("cccc ddddd", "C")])
     a = annotate.dictionary_annotations(posts, gaz)
     got = sorted((r["id"], r["surface_form"], r["offset"]) for r in a.collect())
-    assert got == [(1, "Elbphilharmonie", 62), (1, "Hamburg harbour", 21),
-                   (2, "Hamburg", 0), (2, "city", 23), (3, "Hamburg", 0), (3, "city", 23),
-                   (4, "Hamburg", 19), (5, "Alster", 3)]
+    assert got == [(1, "lighthouse", 13), (1, "mill", 56), (1, "old", 9), (1, "salt marsh", 37),
+                   (2, "mill", 2), (2, "mill", 10), (3, "mill", 2), (3, "mill", 10),
+                   (4, "mill", 15), (5, "marsh", 3), (6, "aa bbb", 0), (6, "cccc ddddd", 7)]
+    assert annotate.dictionary_lookup(posts, gaz).count() == 7
 
 
 def test_dictionary_lookup_links(spark):
@@ -69,21 +71,66 @@ def _client():
 def test_client_annotator(spark):
     posts = spark.createDataFrame([(1, "look at the Alster"), (2, "nothing here"), (3, "fail please"),
                                    (4, "boom"), (5, "look at the Alster")], "id long, text string")
-    rows, failures = annotate.client_annotations(posts, _client)
-    assert sorted((r["id"], r["offset"], r["types"]) for r in rows.collect()) == [
+    rows = annotate.client_annotations(posts, _client).collect()
+    assert sorted((r["id"], r["offset"], r["types"]) for r in rows if r["pos"] is not None) == [
         (1, 12, ["Schema:Place"]), (5, 12, ["Schema:Place"])]
-    f = {r["id"]: r["reason"] for r in failures.collect()}
+    f = {r["id"]: r["reason"] for r in rows if r["reason"] is not None}
     assert f[3] == "client_error: status 503" and f[4].startswith("client_error: RuntimeError")
     assert set(f) == {3, 4}
 
 
+def test_client_is_called_once_per_text(spark, tmp_path):
+    calls = tmp_path / "calls"
+
+    def counting():
+        inner = _client()
+
+        def call(text):
+            with open(calls, "a") as f:
+                f.write(text + "\n")
+            return inner(text)
+        return call
+
+    posts = spark.createDataFrame([(i, f"look at the Alster {i % 4}") for i in range(12)] + [(20, "boom"), (21, "boom")], "id long, text string")
+    assert annotate.client_annotations(posts, counting).count() == 14
+    assert len(calls.read_text().splitlines()) == 5
+
+
+def test_json_posts_are_looked_up_by_text(spark):
+    from annolink.operators import enrich
+    def post(i, text):
+        return json.dumps({"id": i, "text": text, "lang": "en", "user": {"id": 1, "name": "a"}, "retweet_count": 1,
+                           "favorite_count": 2, "timestamp_ms": 3})
+    env = spark.createDataFrame([(1, post(1, "look at the Alster")), (2, post(2, "nothing here")), (3, post(3, "boom")), (4, "plain"),
+                                 (5, None), (6, post(6, "look at the Alster"))], "key long, value string")
+    gaz = _gaz(spark, [("Alster", "Alster")])
+
+    def outcome(annotator):
+        return {r["key"]: (r["route"], r["reason"], [u["indices"] for u in json.loads(r["value"])["entities"]["urls"]]
+                           if r["route"] == "enriched" else None) for r in enrich.enrich_by_text(env, annotator).collect()}
+
+    by_dictionary = outcome(lambda t: annotate.dictionary_links_by_text(t, gaz))
+    assert by_dictionary == {1: ("enriched", None, [[12, 18]]), 2: ("enriched", None, []), 3: ("enriched", None, []),
+                             4: ("passthrough", None, None), 5: ("passthrough", None, None), 6: ("enriched", None, [[12, 18]])}
+    by_client = outcome(lambda t: annotate.client_links_by_text(t, _client))
+    assert by_client[3][0] == "quarantine" and by_client[3][1].startswith("client_error")
+    assert {k: v for k, v in by_client.items() if k != 3} == {k: v for k, v in by_dictionary.items() if k != 3}
+
+
+def test_text_key_halves_are_independent(spark):
+    from annolink.operators.joins import text_key
+    k = spark.createDataFrame([("abc",)], "t string").select(text_key("t").alias("k")).first()["k"]
+    chained = spark.createDataFrame([("abc",)], "t string").select(F.xxhash64("t", F.length("t")).alias("h")).first()["h"]
+    assert k["h1"] != k["h2"] and k["h2"] != chained
+
+
 def test_salted_join_equals_plain_join(spark):
     from annolink.operators.joins import hot_keys, salted_join
     big = spark.range(3000).select(F.col("id"), F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id") % 50)
                                    .alias("tkey"))
     small = spark.range(100).select((F.col("id") % 50).alias("tkey"), F.col("id").alias("v"))
     counts = big.groupBy("tkey").agg(F.count(F.lit(1)).alias("copies"))
-    hot = hot_keys(counts, rows_per_salt=100, max_keys=10, max_salts=16)
+    hot = hot_keys(counts, rows_per_salt=100)
     assert [r["tkey"] for r in hot.collect()] == [7]
     got = sorted(tuple(r) for r in salted_join(big, small, "tkey", hot, ["id"]).select("id", "tkey", "v").collect())
     want = sorted(tuple(r) for r in big.join(small, "tkey").select("id", "tkey", "v").collect())

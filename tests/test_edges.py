@@ -134,3 +134,53 @@ def test_report_padding(spark):
     assert rows[8] == "" and rows[9] == ""
     assert rows[7] == ("Annotations or tweet: 7\n" + "\tshort" + " " * 20 + "at 3:\tu1\n"
                        + "\t" + "x" * 25 + "at 0:\tu2\n" + "\t" + "y" * 30 + "at 1:\tu3\n")
+
+
+def test_gate_counts_utf16_units(spark):
+    # page "ab" against two emoji: four units apart of four, so over 3/4
+    df = spark.createDataFrame([("http://x/ab", "\U0001F600\U0001F600", 0.9, 0.0), ("http://x/abc\U0001F600", "abc\U0001F600", 0.9, 0.0)],
+                               "uri string, surface_form string, similarity_score double, percentage_of_second_rank double")
+    assert [r[0] for r in df.select(gate_reason()).collect()] == ["far_edit_distance", "keep"]
+
+
+def test_gate_filter_equals_its_reason(spark, tmp_path):
+    from annolink.operators.gate import gate, with_gate_reason
+    nan = float("nan")
+    rows = [("http://x/ab", "ab", s, r) for s in (0.7, 0.699, nan, None, 1.0) for r in (0.1, 0.101, nan, None, 0.0)] + [(None, "ab", 0.9, 0.0), ("http://x/zz", "ab", 0.9, 0.0)]
+    spark.createDataFrame(rows, "uri string, surface_form string, similarity_score double, percentage_of_second_rank double").write.parquet(str(tmp_path / "a"))
+    df = spark.read.parquet(str(tmp_path / "a"))
+    kept = gate(df)
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, kept.collect())) == sorted(map(key, with_gate_reason(df).where("reason = 'keep'").drop("reason").collect()))
+    assert "GreaterThanOrEqual(similarity_score,0.7)" in kept._jdf.queryExecution().toString()
+
+
+def test_track_terms_markers_and_phrases(spark):
+    df = spark.createDataFrame([(1, "I love #bigdata a lot"), (2, "bigdata it is"), (3, "Open the Source"), (4, "source of @bigdata"), (5, None)], "id long, text string")
+    ids = lambda d: sorted(r["id"] for r in d.collect())
+    assert ids(guard.track_terms(df, "#bigdata")) == [1]
+    assert ids(guard.track_terms(df, "bigdata")) == [1, 2, 4]
+    assert ids(guard.track_terms(df, "open source, @BigData")) == [3, 4]
+    terms = spark.createDataFrame([("#bigdata",), ("open  source",), (" ",), (None,)], "term string")
+    assert ids(guard.track_terms_join(df, terms)) == [1, 3]
+
+
+def test_positional_diff_sees_nulls(spark):
+    from annolink.operators.audit import positional_link_diff
+    kind = "id long, urls array<struct<url:string,expanded_url:string,display_url:string,indices:array<int>>>"
+    a = spark.createDataFrame([(1, [("u", "u", None, [0, 1])]), (2, [("u", "u", "d", [0, 1])])], kind)
+    e = spark.createDataFrame([(1, [("u", "u", "d", [0, 1])]), (2, [("u", "u", "d", [0, 1])])], kind)
+    assert {r["id"]: r["n_mismatch"] for r in positional_link_diff(a, e).collect()} == {1: 1, 2: 0}
+
+
+def test_lenient_json(spark):
+    assert decode_one(spark, post(retweet_count=1.0))["post"]["retweet_count"] == 1
+    assert decode_one(spark, post(retweet_count="2.9"))["post"]["retweet_count"] == 2
+    bare = "{id: 1, text: 'a', lang: 'en', retweet_count: 1, favorite_count: 1, timestamp_ms: 3, entities: null}"
+    assert decode_one(spark, bare)["reason"] == "null_entities"
+    assert decode_one(spark, bare.replace(", entities: null", ""))["reason"] is None
+
+
+def test_checkpoint_folder_is_the_clusters(spark, tmp_path):
+    from annolink.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")

@@ -26,17 +26,17 @@ def _post(i, text, **over):
 
 
 def test_suffix_enrichment(spark):
-    env = _env(spark, [("raw", 1, _post(1, "Oi, this is kinda easy.")), ("raw", 2, _post(2, "Meh")),
+    env = _env(spark, [("raw", 1, _post(1, "The ferry is late again.")), ("raw", 2, _post(2, "Meh")),
                        ("raw", 3, _post(3, "x" * 275)), ("raw", 4, _post(4, "nan")), ("raw", 5, "text")])
     senti = lambda p: F.when(p["text"] == "nan", F.lit(float("nan"))).otherwise(F.lit(0.5))
-    fn = enrich.suffix_enrichment("___TEST___", senti, [dict(url="u", expanded_url="u", display_url="Hamburg",
-                                                             indices=(23, 30))])
+    fn = enrich.suffix_enrichment(" (seen)", senti, [dict(url="u", expanded_url="u", display_url="Ferry",
+                                                             indices=(4, 9))])
     rows = {r["key"]: r for r in enrich.enrich_rowwise(env, fn).collect()}
     assert rows[1]["route"] == "enriched"
     v = json.loads(rows[1]["value"])
-    assert v["text"] == "Oi, this is kinda easy.___TEST___"
+    assert v["text"] == "The ferry is late again. (seen)"
     assert v["entities"]["hashtags"] == [{"indices": [14, 21], "text": "#bigdata"}]
-    assert v["entities"]["urls"][0]["display_url"] == "Hamburg"
+    assert v["entities"]["urls"][0]["display_url"] == "Ferry"
     assert rows[3]["reason"] == "text_too_long"
     assert rows[4]["reason"] == "sentiment_out_of_range"
     assert rows[5]["route"] == "passthrough"
@@ -87,7 +87,8 @@ def test_stream_equals_batch(spark):
 def test_contract(spark):
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q) and set(q) - set(o) == {"client_annotate"}
+    from annolink.plans.registry import QUERIES
+    assert set(QUERIES) <= set(o) <= set(q)
     df = E.entry(spark)
     assert df.count() == 200
     assert df.columns == ["key", "route", "reason", "n_urls", "n_hashtags", "text_len"]
