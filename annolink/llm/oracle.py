@@ -1,3 +1,80 @@
-"""DuckDB SQL for the queries whose results SQL can express."""
+"""DuckDB SQL for the queries whose results SQL can express on whole tables.
 
-ORACLE: dict[str, str] = {}
+Language ID, toxicity, token ids and packing need a trained model or the
+tokenizer, fuzzy line and word statistics need all pairs, which SQL can't do on whole
+tables: these are tested against brute force, exact round trips or held-out
+accuracy in ``tests/llm``.
+"""
+
+_RULES = [("example.org", "/en/1", "block"), ("example.org", "/es/", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+          ("org", "/", "allow")]
+
+
+def _first_fit(what: str) -> str:
+    whens = []
+    for host, path, verdict in _RULES:  # longest first
+        name = host + path if what == "rule" else verdict
+        whens.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN '{name}'")
+    return "CASE " + " ".join(whens) + " END"
+
+
+URLS = f"""
+WITH u AS (SELECT page_id,
+             translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+c AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '') ||
+                    regexp_replace(regexp_replace(path, '/+$', ''), '\\.html?$', '') END AS canonical FROM u),
+l AS (SELECT canonical FROM c WHERE canonical IS NOT NULL GROUP BY canonical HAVING count(*) >= 2)
+SELECT page_id, host, path, {_first_fit('rule')} AS rule,
+       coalesce({_first_fit('verdict')}, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       l.canonical IS NOT NULL AS listed
+FROM c LEFT JOIN l ON c.canonical = l.canonical"""
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
+
+#: Items have at least one word; those of fewer than 13 are one window.
+CONTAMINATION = f"""
+WITH i AS (SELECT item_id, {_WORDS.format('[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+wi AS (SELECT DISTINCT item_id, array_to_string(w[s:s + n - 1], ' ') AS phrase, n
+       FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS.format('[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')} AS w FROM documents),
+sizes AS (SELECT DISTINCT n FROM wi),
+g AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS phrase
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT g.doc_id, g.s, g.n, wi.item_id FROM g JOIN wi ON g.n = wi.n AND g.phrase = wi.phrase),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id"""
+
+#: All pairs by shared shingles, for tables of the correctness size.
+JACCARD = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON r.node = e.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN (SELECT node, min(root) AS component_id FROM r GROUP BY node) c ON c.node = w.doc_id"""
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+                     WHERE label IS NOT NULL AND len(embedding) > 0
+                       AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                       AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT e.b, r.root FROM r JOIN e ON r.node = e.a)
+SELECT x.vec_id, coalesce(k.n, 0) AS n_links, c.component_id, c.component_id = x.vec_id AS kept
+FROM embeddings x LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY a) k ON k.a = x.vec_id
+JOIN (SELECT node, min(root) AS component_id FROM r GROUP BY node) c ON c.node = x.vec_id"""
+
+ORACLE: dict[str, str] = {"op5_ngram_join": JACCARD, "op6_embedding_dedup": EMBEDDINGS, "op9_url_filters": URLS,
+                          "op10_decontamination": CONTAMINATION}
