@@ -50,8 +50,8 @@ class _Lanes:
         self.mask = np.uint32(size - 1)
         self.base = np.arange(lanes, dtype=np.int64) * size
         self.row = np.arange(lanes, dtype=np.int64) * (_CONFIDENT + 1)
-        self.ids = [np.zeros(lanes * size, np.uint32) for _ in range(2)]
-        self.conf = [np.zeros(lanes * size, np.uint8) for _ in range(2)]
+        # the id that last followed a context, above three bits of confidence
+        self.table = [np.zeros(lanes * size, np.uint32) for _ in range(2)]
         # chance that a prediction of each confidence comes true
         start = np.array([0, .3, .5, .6, .7, .75, .8, .85], np.float32)
         self.right = [np.tile(start * s, lanes) for s in (np.float32(1), np.float32(0.7))]
@@ -63,10 +63,11 @@ class _Lanes:
         h1 = (p1 * np.uint32(2654435761)) >> np.uint32(12)
         h2 = (p1 * np.uint32(2246822519) + p2 * np.uint32(3266489917)) >> np.uint32(12)
         self.at = [self.base[:n] + (h2 & self.mask), self.base[:n] + (h1 & self.mask)]
-        self.got = [t[a] for t, a in zip(self.ids, self.at)]
-        self.sure = [t[a] for t, a in zip(self.conf, self.at)]
+        self.old = [t.take(a) for t, a in zip(self.table, self.at)]
+        self.got = [t >> np.uint32(3) for t in self.old]
+        self.sure = [t & np.uint32(7) for t in self.old]
         self.slot = [self.row[:n] + c for c in self.sure]
-        self.p = [r[s] for r, s in zip(self.right, self.slot)]
+        self.p = [r.take(s) for r, s in zip(self.right, self.slot)]
         k2 = np.minimum(self.p[0] * np.float32(SHARES), np.float32(14)).astype(np.uint64)
         k1 = (self.p[1] * (np.float32(SHARES - 1) - k2.astype(np.float32))).astype(np.uint64)
         k1[self.got[0] == self.got[1]] = 0
@@ -75,15 +76,12 @@ class _Lanes:
     def update(self, x: np.ndarray) -> None:
         n = len(x)
         for o in (0, 1):
-            hit = self.got[o] == x
-            sure = self.sure[o]
-            np.putmask(sure, hit, np.minimum(sure + np.uint8(1), np.uint8(_CONFIDENT)))
-            miss = ~hit
-            self.right[o][self.slot[o]] += (hit - self.p[o]) * _RATE * (self.slot[o] != self.row[:n])
-            np.putmask(sure, miss, sure >> np.uint8(1))
-            new = sure == 0
-            self.conf[o][self.at[o]] = sure + new
-            self.ids[o][self.at[o]] = np.where(new, x, self.got[o])
+            hit, sure, p = self.got[o] == x, self.sure[o], self.p[o]
+            # nothing is predicted at confidence 0, where the chance stays 0
+            self.right[o][self.slot[o]] = (p + (hit - p) * _RATE) * (sure > 0)
+            now = np.where(hit, np.minimum(sure + np.uint32(1), np.uint32(_CONFIDENT)), sure >> np.uint32(1))
+            kept = (self.old[o] & np.uint32(0xFFFFFFF8)) | now
+            self.table[o][self.at[o]] = np.where(now == 0, (x << np.uint32(3)) | np.uint32(1), kept)
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = x
 
@@ -108,6 +106,16 @@ def _widths(n: int, block: int) -> list[int]:
     return [lanes if t < last else lanes - 1 for t in range(min(block, n))]
 
 
+def _open(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    """Lanes whose top 16 bits are settled or whose range has become too small."""
+    return np.flatnonzero(((low ^ (low + rng)) < _TOP) | (rng < _BOT))
+
+
+def _narrow(low: np.ndarray, rng: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A range too small, with its top bits open, is cut at the next carry."""
+    return low, np.where((low ^ (low + rng)) < _TOP, rng, (_U(0) - low) & _LOW16)
+
+
 def encode_strip(ids: np.ndarray, block: int, symbols: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """Payload of each block of ``ids``."""
     n = len(ids)
@@ -140,18 +148,14 @@ def encode_strip(ids: np.ndarray, block: int, symbols: np.ndarray, counts: np.nd
             r >>= _U(ORDER0_BITS + 4)
             lo += r * start
             r *= width
-            while True:
-                settled = (lo ^ (lo + r)) < _TOP
-                small = ~settled & (r < _BOT)
-                go = np.flatnonzero(settled | small)
-                if not len(go):
-                    break
-                cut = np.flatnonzero(small)
-                r[cut] = (_U(0) - lo[cut]) & _LOW16
-                out[place[go] + pos[go]] = (lo[go] >> _U(48)).astype(np.uint16)
+            go = _open(lo, r)
+            while len(go):
+                a, b = _narrow(lo[go], r[go])
+                out[place[go] + pos[go]] = (a >> _U(48)).astype(np.uint16)
                 pos[go] += 1
-                lo[go] <<= _U(16)
-                r[go] <<= _U(16)
+                a, b = a << _U(16), b << _U(16)
+                lo[go], r[go] = a, b
+                go = go[_open(a, b)]
             model.update(x)
         for _ in range(4):
             out[place + pos] = (low >> _U(48)).astype(np.uint16)
@@ -202,18 +206,14 @@ def decode_strip(payloads: list[bytes], n: int, block: int, symbols: np.ndarray,
             width[some] = np.where(two, k2[some], k1[some]) << _U(ORDER0_BITS)
             lo += r * start
             r *= width
-            while True:
-                settled = (lo ^ (lo + r)) < _TOP
-                small = ~settled & (r < _BOT)
-                go = np.flatnonzero(settled | small)
-                if not len(go):
-                    break
-                cut = np.flatnonzero(small)
-                r[cut] = (_U(0) - lo[cut]) & _LOW16
+            go = _open(lo, r)
+            while len(go):
+                a, b = _narrow(lo[go], r[go])
                 cd[go] = (cd[go] << _U(16)) | words[pos[go]]
                 pos[go] += 1
-                lo[go] <<= _U(16)
-                r[go] <<= _U(16)
+                a, b = a << _U(16), b << _U(16)
+                lo[go], r[go] = a, b
+                go = go[_open(a, b)]
             out[first[:w] + t] = x
             model.update(x)
     return out[:n] if lanes * block == n else np.concatenate([out[:(lanes - 1) * block], out[(lanes - 1) * block:][:n - (lanes - 1) * block]])
