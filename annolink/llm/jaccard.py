@@ -3,7 +3,8 @@
 A document is its set of word shingles.  Equal sets form one class.  The join
 brings classes together that share one of the smallest shingle hashes (any two
 sets as similar as asked share one of the first ``n - ceil(s n) + 1``), within
-neighbouring size bands.  In each such group a signature tree is built: leaves
+neighbouring size bands; the pairs of a group count one for each hash shared, and as
+many as similar sets must share are asked for.  In a group a signature tree is built: leaves
 hold the members' token bitmaps, inner nodes their OR, the range of sizes and the
 largest number of tokens that share a bit.  A dual traversal drops pairs of
 nodes whose largest possible overlap is too small, or whose members are linked
@@ -181,26 +182,28 @@ def dual_traversal(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, percent: i
     return np.array(left, int), np.array(right, int)
 
 
-def _candidates(percent: int):
-    """Rows sorted by group; each group's trees give ``a, b`` pairs of classes.
-    ``side`` tells the blocks of a pair of blocks apart (equal: all against all)."""
-    def pairs(cols):
-        cid, n, comp, bits, side, both = cols
+def _candidates(percent: int, words: int):
+    """Rows sorted by group; each group's trees give ``a, b`` pairs of classes and
+    their sizes.  ``side`` tells the blocks of a pair of blocks apart; of two
+    visitors from the band below, that band's own group takes care."""
+    def pairs(cid, n, comp, side, own, bits, band, both):
         keep = np.argsort(n, kind="stable") if len(n) <= LEAF else np.lexsort((n, bits[:, 0]))
         i, j = dual_traversal(n[keep], bits[keep], comp[keep], percent)
         i, j = keep[i], keep[j]
+        fit = (own[i] == band) | (own[j] == band)
         if both:  # pairs within a block belong to that block's own group
-            cross = side[i] != side[j]
-            i, j = i[cross], j[cross]
-        return np.minimum(cid[i], cid[j]), np.maximum(cid[i], cid[j])
+            fit &= side[i] != side[j]
+        i, j = i[fit], j[fit]
+        i, j = np.where(cid[i] < cid[j], i, j), np.where(cid[i] < cid[j], j, i)
+        return cid[i], cid[j], n[i], n[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             key = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], 1)
-            flat = batch.column(8)
-            bits = flat.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(key), BITMAP_WORDS)
-            cols = [key] + [batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6, 7)] + [bits]
+            cols = [key] + [batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6, 7, 8)]
+            cols.append(batch.column(9).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(key), words)
+                        if words else np.empty((len(key), 0), np.uint64))
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
             key = cols[0]
@@ -215,15 +218,14 @@ def _candidates(percent: int):
         key = cols[0]
         if not len(key):
             return
-        out = [], []
-        for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(key))):
-            a, b = pairs([cols[1][lo:hi], cols[2][lo:hi], cols[3][lo:hi], cols[5][lo:hi], cols[4][lo:hi], key[lo, 2] != key[lo, 3]])
-            out[0].append(a)
-            out[1].append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in out], names=["a", "b"])
+        out = [pairs(*[c[lo:hi] for c in cols[1:]], key[lo, 1], key[lo, 2] != key[lo, 3])
+               for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(key)))]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out)], names=["a", "b", "na", "nb"])
     return run
 
 
+_PAIR = "a long, b long, na long, nb long"
+
 # ------------------------------------------------------------------ the join
 
 def _similar_size(a: Column, b: Column, percent: int) -> Column:
@@ -287,17 +289,32 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-log(percent / 100))).cast("long")
     members = (groups.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
                .select("token", "cid", "n", F.coalesce("component", "cid").alias("comp"))
-               .withColumn("band", F.explode(F.array(band, band + 1))))
-    mixed = (members.groupBy("token", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size"))
-             .where("x <> y").select("token", "band", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+               .withColumn("own", band).withColumn("band", F.explode(F.array(band, band + 1))))
+    # a group needs two components and one member of its own band
+    mixed = (members.groupBy("token", "band")
+             .agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("own").alias("own"), F.count("*").alias("size"),
+                  F.min("n").alias("least"), F.max("n").alias("most"))
+             .where((F.col("x") != F.col("y")) & (F.col("own") == F.col("band"))
+                    & ((F.col("size") > 2) | _similar_size(F.col("least"), F.col("most"), percent)))
+             .select("token", "band", "size", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+    rows = stored(members.join(mixed, ["token", "band"]), "members")
+    group = ["token", "band", "lo", "hi"]
+    zero = F.lit(0).cast("long")
+    # a group of one leaf has nothing to prune and needs no bitmaps
+    small = (rows.where(F.col("size") <= LEAF).select("token", "band", zero.alias("lo"), zero.alias("hi"), "cid", "n", "comp", zero.alias("side"), "own")
+             .repartition(*group).sortWithinPartitions(*group).mapInArrow(_candidates(percent, 0), _PAIR))
     block = F.pmod(F.xxhash64(F.lit(5), "cid"), F.col("blocks"))
-    dealt = (members.join(mixed, ["token", "band"]).withColumn("side", block)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("token", "band", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "cid", "n", "comp", "side"))
-    pairs = (dealt.join(of.select("cid", "bits"), "cid")
-             .select("token", "band", "lo", "hi", "cid", "n", "comp", "side", "bits")
-             .repartition("token", "band", "lo", "hi").sortWithinPartitions("token", "band", "lo", "hi")
-             .mapInArrow(_candidates(percent), "a long, b long").distinct())
+    large = (rows.where(F.col("size") > LEAF).withColumn("side", block)
+             .withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
+             .select("token", "band", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "cid", "n", "comp", "side", "own")
+             .join(of.select("cid", "bits"), "cid").select(*group, "cid", "n", "comp", "side", "own", "bits")
+             .repartition(*group).sortWithinPartitions(*group).mapInArrow(_candidates(percent, BITMAP_WORDS), _PAIR))
+    # sets with an overlap of o share at least the first l tokens that both have
+    # within prefixes of n - o + l; ours are of n - ceil(s n) + 1
+    overlap = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    spare = lambda n: overlap - F.ceil(percent * F.col(n) / 100) + 1
+    pairs = (small.union(large).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+             .where(F.col("common") >= F.least(spare("na"), spare("nb"))).select("a", "b"))
     second = _verified(stored(pairs, "pairs"), classes, docs, k, percent)
 
     linked = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
