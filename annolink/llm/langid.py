@@ -91,14 +91,26 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def sampling_rates(sized: DataFrame, label: str, chars: int, max_labels: int) -> DataFrame:
+    """``<label>, rate, docs`` (``max_labels`` rows at most) from ``sized(<label>,
+    chars)``: the share of each of the most frequent labels that has about
+    ``chars`` characters."""
+    sizes = (sized.where(F.col("chars").isNotNull() & F.col(label).isNotNull()).groupBy(label)
+             .agg(F.sum("chars").alias("chars"), F.count("*").alias("docs")).orderBy(F.desc("chars"), label).limit(max_labels))
+    return sizes.select(label, (F.lit(float(chars)) / F.greatest("chars", F.lit(1))).alias("rate"), "docs")
+
+
+def drawn(rate: str = "rate") -> Column:
+    """A repeatable draw by a hash of the id."""
+    return F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / float(1 << 20) < F.col(rate)
+
+
 def sampled(labelled: DataFrame, label: str, chars: int, max_labels: int) -> DataFrame:
-    """A repeatable sample of ``labelled(doc_id, text, <label>)``: about ``chars``
-    characters of each of the ``max_labels`` most frequent labels, by a hash of the id."""
-    known = labelled.where(F.col("text").isNotNull() & F.col(label).isNotNull())
-    sizes = known.groupBy(label).agg(F.sum(F.length("text")).alias("chars")).orderBy(F.desc("chars"), label).limit(max_labels)
-    rates = sizes.select(label, (F.lit(float(chars)) / F.greatest("chars", F.lit(1))).alias("rate"))
-    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    return known.join(F.broadcast(rates), label).where(draw < F.col("rate")).select("doc_id", "text", label)
+    """A sample of ``labelled(doc_id, text, <label>)``: about ``chars`` characters of
+    each of the ``max_labels`` most frequent labels."""
+    rates = sampling_rates(labelled.select(label, F.length("text").alias("chars")), label, chars, max_labels)
+    return (labelled.where("text is not null").join(F.broadcast(rates), label).where(drawn())
+            .select("doc_id", "text", label))
 
 
 def fit(docs: DataFrame, label: str = "lang", sample_chars: int = SAMPLE_CHARS) -> Model | None:

@@ -64,8 +64,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = held_out(F.col("doc_id"), TOXIC_FOLD)
-    learn = docs.where(~out).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    scored = toxicity.score(docs.select("doc_id", out.alias("held_out"), "text"), toxicity.fit(learn))
+    model = toxicity.fit(docs.where(~out).select("doc_id", "text"), labels.where(~out).select("doc_id", "toxic"))
+    scored = toxicity.score(docs.select("doc_id", out.alias("held_out"), "text"), model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic_spans")
 
 

@@ -20,10 +20,11 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from annolink.llm.common import byte_class, by_value, mix64, text_slices, words_of
-from annolink.llm.langid import sampled
+from annolink.llm.bloom import blocks_of, with_possible
+from annolink.llm.common import byte_class, by_value, mix64, stored, text_slices, words_of
+from annolink.llm.langid import drawn, sampling_rates
 
 by_value(__name__)
 
@@ -85,7 +86,11 @@ def known(features: np.ndarray, feats: np.ndarray) -> np.ndarray:
 
 def emissions(model: Model, feats: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log-potential of the toxic state by token; whether the token has a feature."""
-    at = known(model.features, feats)
+    return emit(model, known(model.features, feats), heads)
+
+
+def emit(model: Model, at: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the features' indices."""
     w = np.append(model.weights, 0.0)
     e = model.bias + w[at].sum(axis=1)
     flag = (at >= 0).any(axis=1)
@@ -147,37 +152,53 @@ def _evidence(n1: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
     return np.where(q > share, n * kl / np.log(10), 0.0)
 
 
-def fit(labelled: DataFrame, label: str = "toxic", sample_chars: int = SAMPLE_CHARS) -> Model:
-    """Train on ``labelled(doc_id, text, toxic)``.  Without both labels the model
-    scores every document with the share of toxic ones (0 without any)."""
-    totals = {r[0]: r[1] for r in labelled.where(f"text is not null and {label} in (0, 1)").groupBy(label).count().collect()}
-    rows = sampled(labelled.where(f"{label} in (0, 1)"), label, sample_chars, 2).orderBy("doc_id", "text").toArrow()
+def fit(docs: DataFrame, labels: DataFrame | None = None, label: str = "toxic", sample_chars: int = SAMPLE_CHARS) -> Model:
+    """Train on ``docs(doc_id, text)`` and ``labels(doc_id, toxic)`` (None: a column
+    of ``docs``).  Without both labels the model scores every document with the
+    share of toxic ones (0 without any)."""
+    labels = (docs if labels is None else labels).select(F.col("doc_id").alias("of"), label).where(f"{label} in (0, 1)")
+    docs = docs.select("doc_id", "text")
+    # lengths, not texts, are joined to find the rates; then only texts that may be drawn
+    lengths = docs.select("doc_id", F.length("text").alias("chars"))
+    rates = sampling_rates(lengths.join(labels, lengths.doc_id == labels.of), label, sample_chars, 2)
+    totals = {r[label]: r["docs"] for r in rates.collect()}
+    chosen = stored(labels.withColumnRenamed("of", "doc_id").join(F.broadcast(rates), label).where(drawn())
+                    .select(F.col("doc_id").alias("of"), label), "sample")
+    texts = with_possible(docs.where("text is not null"), "doc_id", blocks_of(chosen, "of"), "maybe").where("maybe")
+    rows = texts.join(chosen, texts.doc_id == chosen.of).select("doc_id", "text", label).orderBy("doc_id", "text").toArrow()
     y = np.array(rows.column(label).to_pylist(), int)
     none = np.empty(0, np.uint64)
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
     flat = Model(none, np.empty(0), -20.0, 0.0, 0.0, np.ones((2, 2)), np.array([np.log((prior + 1e-6) / (1 - prior + 1e-6)), 0.0, 0.0]))
     if len(set(y.tolist())) < 2:
         return flat
-    slices = [(at, *tokens(raw, offs), len(offs) - 1) for at, raw, offs in text_slices(rows.column("text"))]
-    pairs = []
-    for at, row, _, _, feats, _, _ in slices:
+    column = rows.column("text").combine_chunks()
+
+    def slices():  # a slice at a time, three times over: the driver never holds all features
+        for at, raw, offs in text_slices(column):
+            yield at, *tokens(raw, offs), len(offs) - 1
+
+    names, n, n1 = none, np.empty(0), np.empty(0)
+    for at, row, _, _, feats, _, _ in slices():
         doc = np.repeat(row + at, feats.shape[1])
         each = feats.ravel()
         order = np.lexsort((doc, each))
         each, doc = each[order], doc[order]
-        new = np.ones(len(each), bool)
-        new[1:] = (each[1:] != each[:-1]) | (doc[1:] != doc[:-1])
-        pairs.append((each[new & (each != 0)], doc[new & (each != 0)]))
-    each, doc = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+        new = each != 0
+        new[1:] &= (each[1:] != each[:-1]) | (doc[1:] != doc[:-1])
+        each, toxic = each[new], y[doc[new]] == 1
+        names, inverse = np.unique(np.concatenate([names, each]), return_inverse=True)
+        n = np.bincount(inverse, np.concatenate([n, np.ones(len(each))]), len(names))
+        n1 = np.bincount(inverse, np.concatenate([n1, toxic.astype(float)]), len(names))
     # how much of the sample's feature mass is toxic: what chance would give
-    share = float(np.clip((y[doc] == 1).mean(), 0.01, 0.99)) if len(doc) else 0.5
-    names, inverse, n = np.unique(each, return_inverse=True, return_counts=True)
-    n1 = np.bincount(inverse, weights=(y[doc] == 1), minlength=len(names))
-    features = names[(_evidence(n1, n, share) >= MIN_EVIDENCE) & (n1 / n >= max(MIN_SHARE, share))]
+    share = float(np.clip(n1.sum() / max(n.sum(), 1), 0.01, 0.99))
+    n_least = np.maximum(n, 1)
+    features = names[(_evidence(n1, n_least, share) >= MIN_EVIDENCE) & (n1 / n_least >= max(MIN_SHARE, share))]
+    del names, n, n1, n_least
     model = Model(features, np.full(len(features), 1.0), -4.0, 0.0, 0.0, np.ones((2, 2)), flat.doc)
-    _fit_field(model, [(feats, heads, (y[row + at] == 1)) for at, row, _, _, feats, heads, _ in slices])
+    _fit_field(model, ((feats, heads, (y[row + at] == 1)) for at, row, _, _, feats, heads, _ in slices()))
     z, truth = [], []
-    for at, row, _, _, feats, heads, n_rows in slices:
+    for at, row, _, _, feats, heads, n_rows in slices():
         z.append(doc_features(marginals(model, feats, heads), row, n_rows))
         truth.append(y[at:at + n_rows])
     z, truth = np.concatenate(z), np.concatenate(truth)
@@ -191,30 +212,31 @@ def _fit_field(model: Model, parts) -> None:
     """Gradient ascent on the log-likelihood over up to ``FIT_LINES`` lines with a
     feature and as many others."""
     rng = np.random.default_rng(3)
-    feats, tags, heads, at = [], [], [], 0
+    ids, tags, heads, at, room = [], [], [], 0, [FIT_LINES, FIT_LINES]
     for f, h, toxic in parts:
-        flag = (known(model.features, f) >= 0).any(axis=1)
+        f = known(model.features, f).astype(np.int32)
+        flag = (f >= 0).any(axis=1)
         size = np.diff(np.append(h, len(f)))
         line = np.repeat(np.arange(len(h)), size)
         has = np.zeros(len(h), bool)
         has[line[flag]] = True
         take = np.zeros(len(h), bool)
-        for group in (np.flatnonzero(has), np.flatnonzero(~has)):
-            k = min(len(group), FIT_LINES // max(1, len(parts)))
+        for side, group in enumerate((np.flatnonzero(has), np.flatnonzero(~has))):
+            k = min(len(group), room[side], FIT_LINES // 8)
+            room[side] -= k
             take[rng.choice(group, k, replace=False)] = True
         mine = take[line]
-        feats.append(f[mine])
+        ids.append(f[mine])
         tags.append((flag & toxic)[mine])
         n = size[take]
         heads.append(np.cumsum(n) - n + at)
         at += int(n.sum())
-    feats, tags, heads = np.concatenate(feats), np.concatenate(tags).astype(float), np.concatenate(heads)
-    if not len(feats):
+    ids, tags, heads = np.concatenate(ids), np.concatenate(tags).astype(float), np.concatenate(heads)
+    if not len(ids):
         return
-    ids = known(model.features, feats)
     flag = (ids >= 0).any(axis=1)
     before, after = neighbours(flag, heads)
-    follows = np.ones(len(feats), bool)
+    follows = np.ones(len(ids), bool)
     follows[heads] = False
     pos = np.flatnonzero(follows)
     seen = np.zeros((2, 2))
@@ -226,7 +248,7 @@ def _fit_field(model: Model, parts) -> None:
     for _ in range(STEPS):
         model.weights, (model.bias, model.before, model.after) = theta[:m], theta[m:m + 3]
         model.trans = np.exp(theta[m + 3:]).reshape(2, 2)
-        e, _ = emissions(model, feats, heads)
+        e, _ = emit(model, ids, heads)
         x = np.exp(np.clip(e, -20, 20))
         f, b = messages(x, model.trans, heads)
         p = f * b / (1 + f * b)

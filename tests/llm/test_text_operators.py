@@ -1,8 +1,6 @@
-import hashlib
 import re
 
 import numpy as np
-import pytest
 
 from annolink.llm import decontaminate, langid, pii, toxicity, urls
 from annolink.llm.common import byte_class, text_slices, words_of
