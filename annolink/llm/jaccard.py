@@ -271,19 +271,30 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     nth = F.row_number().over(Window.partitionBy("cid").orderBy("token"))
     salt = F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / SALT_ROWS))
     chain = Window.partitionBy("token", "salt").orderBy("lead", "n", "cid")
-    near = (groups.withColumn("nth", nth).where(F.col("nth") <= CHAIN_TOKENS).withColumn("salt", salt)
-            .select(F.lag("cid").over(chain).alias("a"), F.col("cid").alias("b"), F.lag("n").over(chain).alias("na"), F.col("n").alias("nb"))
-            .where(F.col("a").isNotNull() & _similar_size(F.col("na"), F.col("nb"), percent))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     of = classes.select("cid", "n", "bits")
-    bounded = (near.join(of.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), "a")
-               .join(of.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb")), "b"))
-    ones = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + F.bit_count(v))
-    common = F.aggregate(F.zip_with("ba", "bb", lambda x, y: x.bitwiseAND(y)), F.lit(0), lambda s, v: s + F.bit_count(v))
-    most = F.least(F.col("na") - ones(F.col("ba")), F.col("nb") - ones(F.col("bb"))) + common
-    near = stored(bounded.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b"), "near")
-    first = _verified(near, classes, docs, k, percent)
-    parts = components(first)
+
+    def chained(rows: DataFrame, kind: str) -> DataFrame:
+        """Neighbours in a chain (``comp``: of different components) whose bitmaps allow a link."""
+        of_before = lambda c: F.lag(c).over(chain)
+        near = (rows.withColumn("salt", salt)
+                .select(of_before("cid").alias("a"), F.col("cid").alias("b"), of_before("n").alias("na"), F.col("n").alias("nb"),
+                        of_before("comp").alias("ca"), F.col("comp").alias("cb"))
+                .where(F.col("a").isNotNull() & (F.col("ca") != F.col("cb")) & _similar_size(F.col("na"), F.col("nb"), percent))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        bounded = (near.join(of.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), "a")
+                   .join(of.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb")), "b"))
+        ones = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + F.bit_count(v))
+        common = F.aggregate(F.zip_with("ba", "bb", lambda x, y: x.bitwiseAND(y)), F.lit(0), lambda s, v: s + F.bit_count(v))
+        most = F.least(F.col("na") - ones(F.col("ba")), F.col("nb") - ones(F.col("bb"))) + common
+        return stored(bounded.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b"), kind)
+
+    some = groups.withColumn("nth", nth).where(F.col("nth") <= CHAIN_TOKENS).withColumn("comp", F.col("cid"))
+    parts = components(_verified(chained(some, "near"), classes, docs, k, percent))
+    # what the large groups still hold apart, along all their hashes
+    large = (groups.where(F.col("c") > LEAF).join(parts.withColumnRenamed("node", "cid"), "cid", "left")
+             .withColumn("comp", F.coalesce("component", "cid")))
+    more = _verified(chained(large, "near-more"), classes, docs, k, percent)
+    parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     # signature trees over what is not linked yet
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-log(percent / 100))).cast("long")
