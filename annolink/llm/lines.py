@@ -4,9 +4,11 @@ Lines (A-Z folded, blank ones aside) are sets of byte shingles of their UTF-8
 text.  Equal lines form one class by a 128-bit hash.  Classes get MinHash signatures; bands
 of ``ROWS`` values bring likely pairs together, each member of a band's bucket
 with the bucket's pivot, so a bucket of n lines makes n pairs.  The exact
-Jaccard similarity decides, union-find joins the links, and a second round
-chains what one bucket still holds of different components.  Each component
-keeps its first line, by doc_id and line number.
+Jaccard similarity decides, union-find joins the links.  A second round compares
+all that one bucket still holds of different components, in groups of at most
+two blocks, pruned by size, bitmap and the links found meanwhile: every pair that
+shares a bucket is verified or in one component.  Each component keeps its first
+line, by doc_id and line number.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from annolink.llm.bloom import blocks_of, with_possible
 from annolink.llm.common import (LOWER_AZ, arrow_schema, byte_class, by_value, mix64, span_hash, stored,
                                  text_slices, unused, words_of)
 from annolink.llm.components import components
+from annolink.llm.jaccard import _bitmaps, _overlap_enough
 
 by_value(__name__)
 
@@ -29,6 +32,10 @@ SHINGLE, PERCENT = 8, 80
 BANDS, ROWS = 12, 5
 #: Text signed at once: the shingles' arrays stay in the processor's cache.
 CACHED_BYTES = 1 << 18
+#: Most members and bytes of a block, on average; up to ``LEAF`` members are compared without bitmaps.
+BLOCK, BLOCK_BYTES, LEAF = 2048, 1 << 24, 16
+#: Shingle sets kept while a group is compared, in bytes of their texts.
+KEPT_BYTES = 1 << 20
 LINE = byte_class(r"[^\n]")
 _INK = byte_class(r"[^\x00-\x20]")
 
@@ -47,15 +54,18 @@ def split_lines(raw: bytes, offsets: np.ndarray):
     return row, number, start, end, h1, span_hash(folded, start, end, 1), folded
 
 
-def band_keys(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int, bands: int, rows: int) -> np.ndarray:
-    """(lines, bands): one 64-bit key per band of the MinHash signature."""
-    n = len(folded)
-    size = end - start
-    count = np.maximum(size - shingle + 1, 1)
+def shingle_hashes(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int):
+    """The hash of every shingle, line by line; the number of each line's and where they begin."""
+    count = np.maximum(end - start - shingle + 1, 1)
     first = np.cumsum(count) - count
     at = np.repeat(start, count) + np.arange(int(count.sum())) - np.repeat(first, count)
     # a line shorter than a shingle is one shingle
-    g = span_hash(folded, at, np.minimum(at + shingle, np.repeat(end, count)))
+    return span_hash(folded, at, np.minimum(at + shingle, np.repeat(end, count))), count, first
+
+
+def band_keys(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int, bands: int, rows: int) -> np.ndarray:
+    """(lines, bands): one 64-bit key per band of the MinHash signature."""
+    g, _, first = shingle_hashes(folded, start, end, shingle)
     g = (g >> np.uint64(32)).astype(np.uint32)
     rng = np.random.default_rng(41)
     flips = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
@@ -103,11 +113,17 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(out, pa.binary())], names=["cid", "text"])
 
 
+def _grams(t: bytes, shingle: int) -> set[bytes]:
+    return {t[i:i + shingle] for i in range(max(1, len(t) - shingle + 1))}
+
+
+def _alike(left: set, right: set, percent: int) -> bool:
+    common = len(left & right)
+    return 100 * common >= percent * (len(left) + len(right) - common)
+
+
 def _similar(shingle: int, percent: int):
     """Rows ``a, b, ta, tb`` -> the pairs whose shingle sets are similar enough."""
-    def grams(t: bytes) -> set[bytes]:
-        return {t[i:i + shingle] for i in range(max(1, len(t) - shingle + 1))}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, set()
         for batch in batches:
@@ -115,27 +131,137 @@ def _similar(shingle: int, percent: int):
             good = np.zeros(len(a), bool)
             for i in range(len(a)):
                 if a[i] != last:
-                    last, left = a[i], grams(ta[i])
-                right = grams(tb[i])
-                common = len(left & right)
-                good[i] = 100 * common >= percent * (len(left) + len(right) - common)
+                    last, left = a[i], _grams(ta[i], shingle)
+                good[i] = _alike(left, _grams(tb[i], shingle), percent)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of line classes that are as similar as asked."""
-    ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+def _sketches(texts: list[bytes], shingle: int):
+    """Number and bitmap of each text's distinct shingles."""
+    ends = np.cumsum([len(t) for t in texts])
+    sizes, bits, at = [], [], 0
+    while at < len(texts):
+        base = int(ends[at]) - len(texts[at])
+        to = max(at + 1, int(np.searchsorted(ends, base + CACHED_BYTES, "right")))
+        end = ends[at:to] - base
+        g, count, _ = shingle_hashes(b"".join(texts[at:to]), np.append(0, end[:-1]), end, shingle)
+        row = np.repeat(np.arange(to - at), count)
+        order = np.lexsort((g, row))
+        row, g = row[order], g[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (row[1:] != row[:-1]) | (g[1:] != g[:-1])
+        sizes.append(np.bincount(row[new], minlength=to - at))
+        bits.append(_bitmaps(row[new], g[new], to - at))
+        at = to
+    return np.concatenate(sizes), np.concatenate(bits)
+
+
+def group_links(cid: list, comp: list, side: list, texts: list[bytes], across: bool, shingle: int, percent: int):
+    """Links that join the components of one group's members as far as similar
+    pairs (``across``: of different sides) do; at most one fewer than members."""
+    if len(cid) <= LEAF:
+        grams, label = [_grams(t, shingle) for t in texts], list(comp)
+        for i in range(len(cid)):
+            for j in range(i):
+                if label[i] != label[j] and (not across or side[i] != side[j]) and _alike(grams[i], grams[j], percent):
+                    yield cid[j], cid[i]
+                    was = label[j]
+                    label = [label[i] if x == was else x for x in label]
+        return
+    n, bits = _sketches(texts, shingle)
+    order = np.argsort(n, kind="stable")
+    n, bits = n[order], bits[order]
+    label, side = np.unique(comp, return_inverse=True)[1][order], np.array(side)[order]
+    excess = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+    upto = np.searchsorted(percent * n, 100 * n, "right")
+    kept, held = {}, 0
+    for i in range(len(n)):
+        js = i + 1 + np.flatnonzero(label[i + 1:upto[i]] != label[i])
+        if across:
+            js = js[side[js] != side[i]]
+        if len(js):
+            js = js[_overlap_enough(bits[js], bits[i], np.minimum(excess[js], excess[i]), n[js] + n[i], percent)]
+        mine = None
+        while len(js):
+            j, js = js[0], js[1:]
+            if mine is None:
+                mine = _grams(texts[order[i]], shingle)
+            if j not in kept:
+                if held > KEPT_BYTES:
+                    kept, held = {}, 0
+                kept[j] = _grams(texts[order[j]], shingle)
+                held += len(texts[order[j]])
+            if _alike(mine, kept[j], percent):
+                yield cid[order[i]], cid[order[j]]
+                label[label == label[j]] = label[i]
+                js = js[label[js] != label[i]]
+
+
+def _grouped(shingle: int, percent: int):
+    """Rows ``key, lo, hi, cid, comp, side, text`` sorted by the first three -> links ``a, b``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links():
+            links = list(group_links(*zip(*members), of[1] != of[2], shingle, percent))
+            return pa.RecordBatch.from_arrays([pa.array([min(x) for x in links], pa.int64()),
+                                               pa.array([max(x) for x in links], pa.int64())], names=["a", "b"])
+
+        of, members = None, []
+        for batch in batches:
+            for key, lo, hi, *member in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, lo, hi) != of:
+                    if len(members) > 1:
+                        yield links()
+                    of, members = (key, lo, hi), []
+                members.append(member)
+        if len(members) > 1:
+            yield links()
+    return run
+
+
+def _line_texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``cid, text``: the folded bytes of the line classes ``ids``."""
     wanted = stored(classes.join(ids, "cid").groupBy(F.col("doc").alias("of"))
                     .agg(F.collect_list(F.struct("line", "cid")).alias("wanted")), "wanted")
     texts = with_possible(docs, "doc_id", blocks_of(wanted, "of"), "maybe").where("maybe")
-    lines = stored(texts.join(wanted, texts.doc_id == wanted.of).select("text", "wanted")
-                   .mapInArrow(_texts, "cid long, text binary").dropDuplicates(["cid"]), "line-texts")
+    return stored(texts.join(wanted, texts.doc_id == wanted.of).select("text", "wanted")
+                  .mapInArrow(_texts, "cid long, text binary").dropDuplicates(["cid"]), "line-texts")
+
+
+def _links(pairs: DataFrame, lines: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of line classes that are as similar as asked."""
     both = (pairs.join(lines.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
             .join(lines.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
     return stored(both.mapInArrow(_similar(shingle, percent), "a long, b long"), "line-links")
 
 
+def _links_apart(members: DataFrame, parts: DataFrame, places: DataFrame, lines: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links ``a, b`` between what a bucket holds of different components, pivots
+    aside (all their pairs are verified).  A large bucket's largest component and
+    its other members are dealt into blocks; each block of the others meets every
+    block, so the largest component's own pairs are never made."""
+    rest = (members.where("cid <> pivot").join(parts.withColumnRenamed("node", "cid"), "cid", "left")
+            .select("key", "cid", F.coalesce("component", "cid").alias("comp")))
+    mixed = (rest.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key")
+             .agg(F.max(F.struct("n", "comp")).alias("most"), F.count("*").alias("comps"))
+             .where("comps > 1").select("key", F.col("most.comp").alias("main")))
+    rows = stored(rest.join(mixed, "key").join(places.select("cid", "size"), "cid")
+                  .select("key", "cid", "comp", "size", (F.col("comp") == F.col("main")).alias("main")), "apart")
+    blocks = lambda of: F.greatest(F.ceil(F.count(of) / BLOCK), F.ceil(F.sum(of) / BLOCK_BYTES))
+    dealt = (rows.groupBy("key").agg(blocks(F.col("size")).alias("all"), blocks(F.expr("if(main, size, null)")).alias("a"),
+                                     blocks(F.expr("if(main, null, size)")).alias("b"))
+             .select("key", F.expr("if(all > 1, a, 0)").alias("a"), F.expr("if(all > 1, b, 1)").alias("b")))
+    own = F.col("main") & (F.col("a") > 0)
+    hashed = F.xxhash64(F.lit(5), "cid")
+    group = ["key", "lo", "hi"]
+    return stored(
+        rows.join(dealt, "key").join(lines, "cid")
+        .withColumn("side", F.when(own, F.col("b") + F.pmod(hashed, F.col("a"))).otherwise(F.pmod(hashed, F.col("b"))))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(own, F.col("b") - 1).otherwise(F.col("a") + F.col("b") - 1))))
+        .select("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "cid", "comp", "side", "text")
+        .repartition(*group).sortWithinPartitions(*group).mapInArrow(_grouped(shingle, percent), "a long, b long"), "links-apart")
+
+
 def _pair(a, b):
     return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
@@ -164,18 +290,10 @@ def dropped_lines(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
         .where("pivot <> most").select("key", "pivot")
     members = stored(buckets.join(pivots, "key").select("key", "cid", "pivot"), "buckets")
     near = stored(members.where("cid <> pivot").select(*_pair(F.col("pivot"), F.col("cid"))).distinct(), "line-pairs")
-    first = _links(near, places, docs, shingle, percent)
-    parts = components(first)
-
-    # what one bucket holds of different components, chained by length
-    left = members.join(parts.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("component", "cid"))
-    heads = left.groupBy("key", "comp").agg(F.min("cid").alias("cid"))
-    heads = heads.join(heads.groupBy("key").count().where("count > 1").select("key"), "key").join(places.select("cid", "size"), "cid")
-    chain = Window.partitionBy("key").orderBy("size", "cid")
-    more = (heads.select("cid", F.lag("cid").over(chain).alias("before")).where("before is not null")
-            .select(*_pair(F.col("before"), F.col("cid"))).distinct())
-    more = stored(more.join(near, ["a", "b"], "left_anti"), "more-pairs")
-    second = _links(more, places, docs, shingle, percent)
+    ids = near.select(F.col("a").alias("cid")).union(near.select("b")).distinct()
+    texts = _line_texts(ids, places, docs)
+    parts = components(_links(near, texts, shingle, percent))
+    second = _links_apart(members, parts, places, texts, shingle, percent)
     linked = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
 
     named = places.join(linked.withColumnRenamed("node", "cid"), "cid", "left")

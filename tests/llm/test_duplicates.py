@@ -145,6 +145,29 @@ def test_lines_of_nothing_and_nulls(no_docs, null_docs):
     assert lines.dedup_lines(null_docs).count() == 4
 
 
+@pytest.mark.parametrize("block", [16, 2048])
+def test_lines_of_a_template_family_equal_brute_force(spark, monkeypatch, block):
+    """Many lines to a bucket, below the threshold to the pivot, linked in pairs far apart by length."""
+    monkeypatch.setattr(lines, "BLOCK", block, raising=False)
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    frame, texts = letters(187), []
+    for i in range(150):
+        head = letters(16)
+        texts += [frame + head + letters(rng.randint(8, 24)) for _ in range(2)]
+    rng.shuffle(texts)
+    start = np.cumsum([0] + [len(t) for t in texts])
+    keys = lines.band_keys("".join(texts).encode(), start[:-1], start[1:], 8, 2, 5)
+    grams = [{t[i:i + 8] for i in range(len(t) - 7)} for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if (keys[a] == keys[b]).any()
+             and 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])]
+    root = unite(len(texts), links)
+    assert 50 < sum(r != i for i, r in enumerate(root)) < 200
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in lines.dropped_lines(d, bands=2).collect())
+    assert got == [i for i, r in enumerate(root) if r != i]
+
+
 # ---------------------------------------------------------------- embeddings
 
 def vectors():
