@@ -172,14 +172,16 @@ def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
 def anchored_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Windows that can occur, grouped by their two rarest terms: ``item, t0, p0,
     t1, p1, wins`` with term, place in the item, and ``(w, n, phrase)`` of each window."""
+    # repeated items, and texts of one item that agree somewhere, give a window once
     wins = stored(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
-                  .mapInArrow(_windows(window), "item long, w int, n int, phrase long, terms array<long>"), "windows")
+                  .mapInArrow(_windows(window), "item long, w int, n int, phrase long, terms array<long>")
+                  .dropDuplicates(["item", "w", "n", "phrase"]), "windows")
     terms = wins.select(F.explode("terms").alias("term")).distinct()
     counts = docs.select(F.col("text").cast("string")).mapInArrow(_counts(_send(terms)), "term long, n long") \
         .groupBy("term").agg(F.sum("n").alias("in_corpus"))
     # the terms' counts, kept only for terms of the windows, are as many as those terms
     each = wins.select("item", "w", "n", "phrase", F.posexplode("terms").alias("o", "term"))
-    per = Window.partitionBy("item", "w", "phrase")
+    per = Window.partitionBy("item", "w", "n", "phrase")
     ranked = (each.join(counts, "term")
               .withColumn("known", F.count("*").over(per))
               .withColumn("rank", F.row_number().over(per.orderBy("in_corpus", "term", "o")))
@@ -200,7 +202,8 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     their distance: the proximity matches); both null where nothing was found.
 
     A null text has no words.  Items without an id or without words match nothing.
-    Repeated rows are judged one by one; other columns are ignored.
+    Repeated rows are judged one by one; repeated items count once, and an item_id
+    on several texts stands for the windows of all of them.  Other columns are ignored.
     """
     anchors = anchored_windows(docs, items, window)
     terms = anchors.select(F.col("t0").alias("term")).union(anchors.select("t1"))

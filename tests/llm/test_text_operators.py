@@ -68,6 +68,14 @@ def test_decontamination_equals_brute_force(spark, doc_rows):
     assert any(x[2] for x in want)
 
 
+def test_decontamination_by_repeated_items(spark):
+    """A repeated row, and one id on two texts that begin alike."""
+    items = spark.createDataFrame([(1, "mo ne lu ko"), (1, "mo ne lu ko"), (2, "sa vi ta ri mo"), (2, "sa vi ta ri zz")], "item_id long, text string")
+    d = spark.createDataFrame([(1, "zz mo ne lu ko"), (2, "sa vi ta ri mo mo"), (3, "ri sa vi ta ri"), (4, "sa vi ta ri zz")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.matches(d, items, 4).collect()}
+    assert got == {1: (4, [1]), 2: (5, [2]), 3: (4, [2]), 4: (5, [2])}
+
+
 def test_decontamination_of_nothing(spark, no_docs, null_docs):
     items = spark.createDataFrame([(1, "mo ta ri")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
