@@ -248,3 +248,21 @@ def test_pipeline_equals_its_parts(spark, tmp_path, doc_rows):
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == want
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][0] == "language_id"
+
+
+def test_stages_decide_by_row_without_ids_or_with_repeated_ones(spark, tmp_path):
+    spark.createDataFrame([(1, "ba be bi bo bu da de di do du ga ge gi")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stay = lambda stage, rows: sorted(r.text for r in dict(corpus_pipeline.STAGES)[stage](
+        spark, spark.createDataFrame(rows, "lang string, doc_id long, text string").repartition(3), str(tmp_path)).select("text").collect())
+    common, more = "a line that stands here twice over", "another line which stands here twice"
+    rows = [("x", 1, f"{common}\n{more}"), ("x", None, f"{common}\nown words of the first row here"),
+            ("x", None, f"quite different words in this one\n{more}"), ("x", 7, f"something else again 0123456789\n{common}"),
+            ("x", 7, "the second text of that same id, kept\nits other line, which nobody else has")]
+    assert stay("line_dedup", rows) == sorted([
+        f"{common}\n{more}", "own words of the first row here", "quite different words in this one", "something else again 0123456789", rows[4][2]])
+    words = " ".join(f"w{i}" for i in range(60))
+    copies = [("x", 2, words), ("x", 2, words), ("x", None, words), ("x", None, words + " end"), ("x", None, "unlike all others"), ("x", 2, "nor like these ones")]
+    assert stay("ngram_join", copies) == sorted([words, "unlike all others", "nor like these ones"])
+    leak = "ba be bi bo bu da de di do du ga ge gi"
+    leaks = [("x", None, leak), ("x", 3, "not in the list"), ("x", 3, leak + " more"), ("x", None, "nor this")]
+    assert stay("decontamination", leaks) == ["nor this", "not in the list"]
