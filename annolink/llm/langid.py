@@ -4,7 +4,8 @@ A text is the mean of the embeddings of its byte 2-, 3- and 4-grams (letters
 folded, everything else one blank), a linear layer and softmax on top.  Both are
 trained by stochastic gradient descent in numpy on a sample of bounded size.
 The layers are then folded into one score per gram and language, so predicting
-is one look-up per byte and gram length over the whole text.
+is one look-up per byte and gram length over the whole text; above ``MAX_LANGS``
+languages they stay apart, so the model's size does not grow with them.
 
 Calibration uses training documents kept out of the descent: a temperature, and
 a rejection threshold below which only ``REJECT_SHARE`` of their rightly
@@ -21,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from annolink.llm.common import by_value, text_slices
+from annolink.llm.common import by_value, stored, text_slices
 
 by_value(__name__)
 
-#: Characters of labelled text sampled per language (expected); the sample's bound.
+#: Characters of labelled text sampled per language (expected).  More than
+#: ``MAX_LANGS`` languages share the characters of so many, which bounds the sample.
 SAMPLE_CHARS = 1_500_000
 MAX_LANGS = 64
 DIM, BITS, EPOCHS, RATE, SEED = 16, 16, 3, 0.5, 7
@@ -40,10 +42,11 @@ _PAD = 3
 @dataclass
 class Model:
     langs: list[str]
-    scores: np.ndarray  # (languages, 3 * 2^BITS)
+    scores: np.ndarray  # (languages, 3 * 2^BITS); with ``out``: (DIM, 3 * 2^BITS)
     bias: np.ndarray
     temperature: float
     threshold: float
+    out: np.ndarray | None = None  # (DIM, languages)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:
@@ -78,12 +81,11 @@ def logits(model: Model, raw: bytes, offsets: np.ndarray) -> np.ndarray:
     """Mean gram score by row and language, plus bias."""
     ids, starts = gram_ids(raw, offsets)
     n = np.diff(np.append(starts, ids.shape[1]))
-    out = np.empty((len(starts), len(model.langs)))
-    for k in range(len(model.langs)):
-        w = model.scores[k]
+    out = np.empty((len(starts), len(model.scores)))
+    for k, w in enumerate(model.scores):
         total = w[ids[0]] + w[ids[1]] + w[ids[2]]
-        out[:, k] = np.add.reduceat(total, starts, dtype=np.float64) / (3 * n) + model.bias[k]
-    return out
+        out[:, k] = np.add.reduceat(total, starts, dtype=np.float64) / (3 * n)
+    return (out if model.out is None else out @ model.out) + model.bias
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -92,12 +94,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def sampling_rates(sized: DataFrame, label: str, chars: int, max_labels: int) -> DataFrame:
-    """``<label>, rate, docs`` (``max_labels`` rows at most) from ``sized(<label>,
-    chars)``: the share of each of the most frequent labels that has about
-    ``chars`` characters."""
-    sizes = (sized.where(F.col("chars").isNotNull() & F.col(label).isNotNull()).groupBy(label)
-             .agg(F.sum("chars").alias("chars"), F.count("*").alias("docs")).orderBy(F.desc("chars"), label).limit(max_labels))
-    return sizes.select(label, (F.lit(float(chars)) / F.greatest("chars", F.lit(1))).alias("rate"), "docs")
+    """``<label>, rate, docs`` from ``sized(<label>, chars)``: the share of each label
+    that has about ``chars`` characters; more than ``max_labels`` labels share
+    ``max_labels * chars`` evenly."""
+    sizes = stored(sized.where(F.col("chars").isNotNull() & F.col(label).isNotNull()).groupBy(label)
+                   .agg(F.sum("chars").alias("chars"), F.count("*").alias("docs")), "label-sizes")
+    each = F.lit(float(chars)) * F.least(F.lit(1.0), F.lit(float(max_labels)) / F.col("labels"))
+    return (sizes.join(F.broadcast(sizes.agg(F.count("*").alias("labels"))))  # one row
+            .select(label, (each / F.greatest("chars", F.lit(1))).alias("rate"), "docs"))
 
 
 def drawn(rate: str = "rate") -> Column:
@@ -107,9 +111,9 @@ def drawn(rate: str = "rate") -> Column:
 
 def sampled(labelled: DataFrame, label: str, chars: int, max_labels: int) -> DataFrame:
     """A sample of ``labelled(doc_id, text, <label>)``: about ``chars`` characters of
-    each of the ``max_labels`` most frequent labels."""
+    each label, or an even share of ``max_labels * chars`` of more labels."""
     rates = sampling_rates(labelled.select(label, F.length("text").alias("chars")), label, chars, max_labels)
-    return (labelled.where("text is not null").join(F.broadcast(rates), label).where(drawn())
+    return (labelled.where("text is not null").join(rates, label).where(drawn())
             .select("doc_id", "text", label))
 
 
@@ -120,7 +124,8 @@ def fit(docs: DataFrame, label: str = "lang", sample_chars: int = SAMPLE_CHARS)
     langs = sorted(set(names))
     if not langs:
         return None
-    y = np.array([langs.index(v) for v in names])
+    place = {v: k for k, v in enumerate(langs)}
+    y = np.array([place[v] for v in names])
     rng = np.random.default_rng(SEED)
     kept_out = rng.random(len(texts)) < 0.2
     if kept_out.all() or not kept_out.any():
@@ -152,7 +157,10 @@ def fit(docs: DataFrame, label: str = "lang", sample_chars: int = SAMPLE_CHARS)
             # shares are small, so embeddings take a longer step
             emb[ids] = rows_ - (rate * 20) * share[:, None] * back
             step += 1
-    model = Model(langs, np.ascontiguousarray((emb @ out).T), bias, 1.0, 0.0)
+    if len(langs) <= MAX_LANGS:
+        model = Model(langs, np.ascontiguousarray((emb @ out).T), bias, 1.0, 0.0)
+    else:
+        model = Model(langs, np.ascontiguousarray(emb.T), bias, 1.0, 0.0, out)
     held = [t for t, o in zip(texts, kept_out) if o and has_letter(t)]
     if held:
         truth = np.array([k for t, k, o in zip(texts, y, kept_out) if o and has_letter(t)])
@@ -193,7 +201,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", lang: str
     """
     if model is None:
         return docs.withColumns({lang: F.lit(UNDETERMINED), score: F.lit(0.0), rejected: F.lit(True)})
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_LANGS x 3 x 2^BITS floats at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # max(MAX_LANGS, DIM) x 3 x 2^BITS floats, and DIM + 1 a language, at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -206,6 +206,19 @@ def test_language_without_labels(spark, no_docs, null_docs):
     assert langid.predict(no_docs, model).count() == 0
 
 
+def test_language_model_of_more_labels_than_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 4)
+    rows = [(10 * k + i, f"{a}{a}{b}{b} {b}{a}{b}{a} {a}{b}{b}{a}\n" * (8 + 2 * k), a + b)
+            for k, (a, b) in enumerate(("bc", "df", "gh", "jk", "lm", "np", "qr")) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert model.langs == sorted({r[2] for r in rows})
+    got = langid.predict(df, model).collect()
+    assert len(got) == len(rows) and sum(r.lang_pred == r.lang for r in got) >= 0.95 * len(rows)
+    rates = langid.sampling_rates(df.selectExpr("lang", "length(text) as chars"), "lang", 350, 4).collect()
+    assert len(rates) == 7 and all(abs(r.rate * sum(len(t) for _, t, n in rows if n == r.lang) - 200) < 1e-6 for r in rates)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = np.random.default_rng(1)
     vocabulary = [f"w{k}ord" for k in range(400)]
