@@ -10,7 +10,7 @@ logistic function of its largest marginal and of their sum; offending offsets
 are the tokens with a marginal of at least one half.
 
 Everything is learned from a sample of bounded size (``SAMPLE_CHARS`` characters
-per label).
+per label); the field's weights from ``FIT_LINES`` lines a side drawn from all of it.
 """
 
 from __future__ import annotations
@@ -210,9 +210,18 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, label: str = "toxic",
 
 def _fit_field(model: Model, parts) -> None:
     """Gradient ascent on the log-likelihood over up to ``FIT_LINES`` lines with a
-    feature and as many others."""
+    feature and as many others, drawn evenly from all parts."""
     rng = np.random.default_rng(3)
-    ids, tags, heads, at, room = [], [], [], 0, [FIT_LINES, FIT_LINES]
+    held, many = [], 0
+
+    def drawn_lines():
+        ids, tags, size, draw, side = (np.concatenate(x) for x in zip(*held))
+        stay = np.ones(len(size), bool)
+        for group in (np.flatnonzero(side), np.flatnonzero(~side)):
+            stay[group[np.argsort(draw[group], kind="stable")[FIT_LINES:]]] = False
+        mine = np.repeat(stay, size)
+        return ids[mine], tags[mine], size[stay], draw[stay], side[stay]
+
     for f, h, toxic in parts:
         f = known(model.features, f).astype(np.int32)
         flag = (f >= 0).any(axis=1)
@@ -220,18 +229,15 @@ def _fit_field(model: Model, parts) -> None:
         line = np.repeat(np.arange(len(h)), size)
         has = np.zeros(len(h), bool)
         has[line[flag]] = True
-        take = np.zeros(len(h), bool)
-        for side, group in enumerate((np.flatnonzero(has), np.flatnonzero(~has))):
-            k = min(len(group), room[side], FIT_LINES // 8)
-            room[side] -= k
-            take[rng.choice(group, k, replace=False)] = True
-        mine = take[line]
-        ids.append(f[mine])
-        tags.append((flag & toxic)[mine])
-        n = size[take]
-        heads.append(np.cumsum(n) - n + at)
-        at += int(n.sum())
-    ids, tags, heads = np.concatenate(ids), np.concatenate(tags).astype(float), np.concatenate(heads)
+        held.append((f, flag & toxic, size, rng.random(len(h)), has))
+        many += len(h)
+        if many > 4 * FIT_LINES:
+            held = [drawn_lines()]
+            many = len(held[0][2])
+    if not held:
+        return
+    ids, tags, size, _, _ = drawn_lines()
+    tags, heads = tags.astype(float), np.cumsum(size) - size
     if not len(ids):
         return
     flag = (ids >= 0).any(axis=1)

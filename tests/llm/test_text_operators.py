@@ -257,6 +257,15 @@ def test_messages_equal_enumeration():
         assert np.allclose(p[lo:hi], mass[:, 1] / mass.sum(axis=1))
 
 
+def test_field_is_fitted_on_lines_of_all_slices(monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_LINES", 80)
+    features = np.arange(1, 21, dtype=np.uint64)
+    model = toxicity.Model(features, np.full(20, 1.0), -4.0, 0.0, 0.0, np.ones((2, 2)), np.zeros(3))
+    one = np.zeros((40, 4), np.uint64)
+    toxicity._fit_field(model, [(np.concatenate([one[:, :3], one[:, 3:] + f], 1), np.arange(40), np.ones(40, bool)) for f in features])
+    assert (model.weights[10:] > 1).sum() >= 8
+
+
 def test_toxicity_of_nothing(spark, docs, no_docs, null_docs):
     flat = toxicity.fit(no_docs.selectExpr("doc_id", "text", "1 as toxic"))
     assert toxicity.score(no_docs, flat).count() == 0
