@@ -76,5 +76,67 @@ SELECT x.vec_id, coalesce(k.n, 0) AS n_links, c.component_id, c.component_id = x
 FROM embeddings x LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY a) k ON k.a = x.vec_id
 JOIN (SELECT node, min(root) AS component_id FROM r GROUP BY node) c ON c.node = x.vec_id"""
 
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, bit by bit."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    steps = f"flatten(list_transform({octets}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    bit = "lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}), {bit}), 4294967295)"
+
+
+def _repair_edges() -> str:
+    """(state, initial, inserts and edit, cost, next state, inserted lines, new role): one row's
+    edits after up to two inserts.  States and initials: 0 nothing or other, 1 s, 2 u, 3 a; -1 must go."""
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    role = {2: "user", 3: "assistant"}
+    keeps = {(0, 1): 1, (0, 2): 2, (1, 2): 2, (3, 2): 2, (2, 3): 3}
+    out = []
+    for state in range(4):
+        at, lines = state, ""
+        for n in range(3):
+            for cls in (-1, 0, 1, 2, 3):
+                out.append((state, cls, "I" * n + "D", 3 * n + 4, at, lines, None))
+                if cls >= 0:
+                    out.append((state, cls, "I" * n + "R", 3 * n + 3, after[at], lines, role[after[at]]))
+                    if (at, cls) in keeps:
+                        out.append((state, cls, "I" * n + "K", 3 * n, keeps[at, cls], lines, None))
+            at = after[at]
+            lines += role[at] + ":|"
+    text = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
+    return ", ".join("(" + ", ".join(map(text, row)) + ")" for row in out)
+
+
+#: Forward over the rows, the least (cost, audit) of each state; the repaired lines go along.
+REPAIR = f"""
+WITH RECURSIVE
+f AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+             CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy FROM f WHERE fault <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+             regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS ink FROM d),
+r AS (SELECT *, ink = '' AS blank, ink <> '' AND again AS duplicate, ink <> '' AND NOT again AND right(ink, 1) NOT IN ('.', '!', '?') AS truncated,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY rn) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal,
+             CASE WHEN ink = '' OR again THEN -1 WHEN role LIKE 's%' THEN 1 WHEN role LIKE 'u%' THEN 2 WHEN role LIKE 'a%' THEN 3 ELSE 0 END AS cls FROM n),
+e(q, cls, ops, cost, t, ins, new_role) AS (VALUES {_repair_edges()}),
+w AS (SELECT coalesce(conv_id, -9223372036854775808) AS conv, 1 AS rn, 0 AS q, {{'c': 0, 'a': '', 'o': ''}} AS v FROM r WHERE rn = 1
+      UNION ALL
+      SELECT w.conv, w.rn + 1, e.t, min({{'c': w.v.c + e.cost + CASE WHEN r.truncated AND NOT ends_with(e.ops, 'D') THEN 3 ELSE 0 END, 'a': w.v.a || e.ops,
+             'o': w.v.o || replace(e.ins, '|', chr(10)) || CASE WHEN ends_with(e.ops, 'D') THEN '' ELSE coalesce(e.new_role, r.role) || ':' || r.text || chr(10) END}})
+      FROM w JOIN r ON coalesce(r.conv_id, -9223372036854775808) = w.conv AND r.rn = w.rn JOIN e ON e.q = w.q AND e.cls = r.cls GROUP BY 1, 2, 3),
+z AS (SELECT conv, rn, min({{'c': v.c + CASE q WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END, 'a': v.a || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+             'o': v.o || CASE q WHEN 1 THEN 'user:' || chr(10) || 'assistant:' || chr(10) WHEN 2 THEN 'assistant:' || chr(10) ELSE '' END}}) AS v FROM w GROUP BY 1, 2),
+s AS (SELECT coalesce(conv_id, -9223372036854775808) AS conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+             count(*) FILTER (WHERE illegal) AS illegal, max(rn) + 1 AS last FROM r GROUP BY 1),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(z.v.c, 0) AS BIGINT) AS cost, coalesce(z.v.a, '') AS audit,
+       sha256(coalesce(left(z.v.o, greatest(length(z.v.o) - 1, 0)), '')) AS repaired_sha256
+FROM c LEFT JOIN s ON s.conv = coalesce(c.conv_id, -9223372036854775808) LEFT JOIN z ON z.conv = s.conv AND z.rn = s.last"""
+
 ORACLE: dict[str, str] = {"op5_ngram_join": JACCARD, "op6_embedding_dedup": EMBEDDINGS, "op9_url_filters": URLS,
-                          "op10_decontamination": CONTAMINATION}
+                          "op10_decontamination": CONTAMINATION, "op11_conversation_repair": REPAIR}

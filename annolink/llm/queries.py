@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from annolink.llm import covertree, decontaminate, idcodec, jaccard, langid, lines, packing, pii, toxicity, urls
+from annolink.llm import covertree, decontaminate, idcodec, jaccard, langid, lines, packing, pii, repair, toxicity, urls
 from annolink.llm.common import read_table
 
 
@@ -89,5 +89,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op4_token_ids, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged conversations; every original conv_id, also those with no rows left."""
+    rows = read_table(spark, sf_dir, "conversations")
+    plans, turns = repair.repair(repair.damaged(rows))
+    of = rows.select(F.col("conv_id").cast("long")).distinct()
+    found = plans.withColumnRenamed("conv_id", "plan_id").join(
+        repair.digests(turns).withColumnRenamed("conv_id", "turn_id"), F.expr("plan_id <=> turn_id"), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return of.join(found, F.expr("conv_id <=> plan_id"), "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op4_token_ids, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination,
+                                op11_conversation_repair)}
 QUERIES["pipeline"] = corpus_pipeline.run
