@@ -138,5 +138,42 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        sha256(coalesce(left(z.v.o, greatest(length(z.v.o) - 1, 0)), '')) AS repaired_sha256
 FROM c LEFT JOIN s ON s.conv = coalesce(c.conv_id, -9223372036854775808) LEFT JOIN z ON z.conv = s.conv AND z.rn = s.last"""
 
+
+def _escaped(text: str) -> str:
+    return f"""regexp_replace({text}, '([<\\[])(\\\\*)(<SYS>>|</SYS>>|INST\\]|/INST\\]|s>|/s>|ROLE\\]|TEXT\\]|/ROLE\\])', '\\1\\\\\\2\\3', 'g')"""
+
+
+CHAT = f"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+n AS (SELECT *, row_number() OVER o AS k, lag(role) OVER o AS before FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+f AS (SELECT *, length({_escaped('text')}) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                                             ELSE 19 + length({_escaped('role')}) END AS chars,
+             coalesce(before, '') || '>' || role NOT IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AS fault FROM n)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, NOT bool_or(fault) AND arg_max(role, k) = 'assistant' AS valid,
+       min(k - 1) FILTER (WHERE fault) AS first_fault
+FROM f GROUP BY conv_id"""
+
+#: Near: equal when one word loses a code point, or both lose the one at the same place.
+SPELLING = f"""
+WITH RECURSIVE
+t AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+u AS (SELECT run, c, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM (SELECT doc_id, run, count(*) AS c FROM t GROUP BY 1, 2)),
+w AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, c FROM u)
+      WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+d AS (SELECT word, n, i, left(word, CAST(i AS INTEGER)) || substr(word, CAST(i AS INTEGER) + 2) AS less FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM w a JOIN d b ON a.word = b.less
+      UNION SELECT b.word, a.word, a.n FROM w a JOIN d b ON a.word = b.less),
+b AS (SELECT word, count(*) AS n_near, min({{'less': -near_n, 'near': near}}) AS best FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 2 * w.n THEN best.near END AS form,
+             CASE WHEN -best.less >= 2 * w.n THEN -best.less END AS form_n FROM w LEFT JOIN b ON w.word = b.word),
+r AS (SELECT word, word AS root, 0 AS depth FROM f UNION ALL SELECT r.word, f.form, r.depth + 1 FROM r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, x.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, arg_max(root, depth) AS root FROM r GROUP BY word) x ON x.word = f.word"""
+
 ORACLE: dict[str, str] = {"op5_ngram_join": JACCARD, "op6_embedding_dedup": EMBEDDINGS, "op9_url_filters": URLS,
-                          "op10_decontamination": CONTAMINATION, "op11_conversation_repair": REPAIR}
+                          "op10_decontamination": CONTAMINATION, "op11_conversation_repair": REPAIR, "op12_chat_format": CHAT, "op13_spelling_variants": SPELLING}

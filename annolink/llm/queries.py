@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from annolink.llm import covertree, decontaminate, idcodec, jaccard, langid, lines, packing, pii, repair, toxicity, urls
+from annolink.llm import chat, covertree, decontaminate, idcodec, jaccard, langid, lines, packing, pii, repair, spelling, toxicity, urls
 from annolink.llm.common import read_table
 
 
@@ -102,6 +102,23 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+#: A conversation whose texts hold control strings.
+PLANTED_CHAT = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED_CHAT, "conv_id long, turn long, role string, text string")
+    chunks = chat.written(chat.format_chat(rows.unionByName(planted)))
+    order = chat.turn_order(chunks).withColumnRenamed("conv_id", "of")
+    return chat.read_back(chunks).join(order, F.expr("conv_id <=> of")).drop("of")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variant_groups(spelling.damaged_counts(docs))
+
+
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_pii, op3_language_id, op4_token_ids, op5_ngram_join, op6_embedding_dedup, op7_packing, op8_toxicity, op9_url_filters, op10_decontamination,
-                                op11_conversation_repair)}
+                                op11_conversation_repair, op12_chat_format, op13_spelling_variants)}
 QUERIES["pipeline"] = corpus_pipeline.run
