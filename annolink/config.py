@@ -26,7 +26,6 @@ FAKE_HASHTAG_TEXT = "#bigdata"          # constant hashtag of the suffix enrichm
 FAKE_HASHTAG_INDICES = (14, 21)
 RAW_TOPIC = "raw_twitter_feed"
 RICH_TOPIC = "enriched_twitter_feed"
-INTAKE_QUEUE = 10000                    # producer queue -> per-trigger admission cap
 # ---------------------------------------------------------------------------
 
 

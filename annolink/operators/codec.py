@@ -23,8 +23,6 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "true",
 }
 
-NULL_ENTITIES = r"""[{,]\s*["']?entities["']?\s*:\s*null\b"""
-
 POST_REQUIRED = [("id", "bigint"), ("text", None), ("lang", None),
                  ("retweet_count", "int"), ("favorite_count", "int"),
                  ("timestamp_ms", "bigint")]
@@ -76,8 +74,9 @@ def _typed_user(u: Column) -> Column:
         F.coalesce(_num(u["followersCount"], "int"), F.lit(0)).alias("followersCount")))
 
 
-def post_checks(value: Column, w: Column, require_user: bool,
+def post_checks(value: Column, w: Column, e: Column, require_user: bool,
                 max_units: int = config.MAX_TEXT_UNITS) -> list[tuple[Column, str]]:
+    """``w`` is the parsed record, ``e`` its entities in their wire shape."""
     checks: list[tuple[Column, str]] = [
         (value.isNull(), "null_value"),
         (w.isNull() | w["_corrupt_record"].isNotNull(), "malformed_json"),
@@ -91,12 +90,9 @@ def post_checks(value: Column, w: Column, require_user: bool,
         checks.append((u.isNull(), "missing_user"))
     checks.append((u.isNotNull() & (_bad_num(u["id"], "bigint")
                                     | _bad_num(u["followersCount"], "int")), "invalid_user"))
-    e = w["entities"]
-    # absent entities is fine; an explicit JSON null is not (only checked when null)
-    keys = F.json_object_keys(value)  # null for text that only the lenient reader accepts
-    named = F.when(keys.isNotNull(), F.array_contains(keys, "entities")).otherwise(value.rlike(NULL_ENTITIES))
-    checks.append((e.isNull() & named, "null_entities"))
-    checks.append((e.isNotNull() & (e["hashtags"].isNull() | e["urls"].isNull()),
+    # absent entities is fine; an explicit JSON null is not
+    checks.append((F.is_variant_null(w["entities"]), "null_entities"))
+    checks.append((w["entities"].isNotNull() & (e.isNull() | e["hashtags"].isNull() | e["urls"].isNull()),
                    "invalid_entities"))
     checks.append((e.isNotNull() & F.exists(e["hashtags"], lambda h: h.isNull()
                                             | h["text"].isNull() | _bad_pair(h["indices"])),
@@ -110,14 +106,14 @@ def post_checks(value: Column, w: Column, require_user: bool,
     return checks
 
 
-def post_struct(w: Column) -> Column:
+def post_struct(w: Column, e: Column) -> Column:
     return F.struct(
         _num(w["id"], "bigint").alias("id"), w["text"].alias("text"), w["lang"].alias("lang"),
         _typed_user(w["user"]).alias("user"),
         _num(w["retweet_count"], "int").alias("retweet_count"),
         _num(w["favorite_count"], "int").alias("favorite_count"),
         _num(w["timestamp_ms"], "bigint").alias("timestamp_ms"),
-        _typed_entities(w["entities"]).alias("entities"))
+        _typed_entities(e).alias("entities"))
 
 
 def _bind_once(parsed, body):
@@ -131,22 +127,38 @@ def _bind_once(parsed, body):
     return F.get(F.transform(F.array(parsed), body), 0)
 
 
+def _computed_once(df: DataFrame, name: str, struct: Column) -> DataFrame:
+    """Adds a struct column that no later filter or projection can compute again: it
+    comes out of a one-element generator, which the optimizer doesn't look through."""
+    return df.select("*", F.explode(F.array(struct)).alias(name))
+
+
+#: The shape of entities on the wire, for reading them out of the parsed value.
+_WIRE_ENTITIES = schema.WIRE_ENTITIES.simpleString()
+
+
 def decode_posts(df: DataFrame, value: str = "value", *, require_user: bool = False,
                  strict: bool = False, max_units: int = config.MAX_TEXT_UNITS) -> DataFrame:
     """Adds ``post`` (typed struct, null when rejected) and ``reason``.
 
-    Only the fields used downstream are parsed: Catalyst prunes the JSON schema
-    to what the query reads."""
+    A value is parsed once, whatever filters follow: the same parse gives the fields
+    and, as a semi-structured value, the entities, of which absent and JSON null are
+    told apart."""
     v = F.col(value)
 
-    def body(w):
-        reason = _first_reason(post_checks(v, w, require_user, max_units))
+    def body(x):
+        w, e = x["w"], x["e"]
+        reason = _first_reason(post_checks(v, w, e, require_user, max_units))
         if strict:
             reason = F.when(reason.isNotNull(), F.raise_error(
                 F.concat(F.lit("post rejected: "), reason))).otherwise(reason)
-        return F.struct(reason.alias("reason"), F.when(reason.isNull(), post_struct(w)).alias("post"))
+        return F.struct(reason.alias("reason"), F.when(reason.isNull(), post_struct(w, e)).alias("post"))
+
+    def with_entities(w):
+        return F.struct(w.alias("w"), F.try_variant_get(w["entities"], "$", _WIRE_ENTITIES).alias("e"))
 
-    out = df.withColumn("_d", _bind_once(F.from_json(v, schema.WIRE_POST, JSON_OPTIONS), body))
+    parsed = _bind_once(F.from_json(v, schema.WIRE_POST, JSON_OPTIONS), with_entities)
+    out = _computed_once(df, "_d", _bind_once(parsed, body))
     return out.withColumn("reason", F.col("_d.reason")).withColumn("post", F.col("_d.post")).drop("_d")
 
 
@@ -229,7 +241,7 @@ def decode_annotation_response(df: DataFrame, response: str = "response") -> Dat
             w["@sparql"].alias("sparql"), w["@policy"].alias("policy"), resources.alias("resources"))
         return F.struct(reason.alias("reason"), F.when(reason.isNull(), wrapper).alias("annotations"))
 
-    out = df.withColumn("_d", _bind_once(F.from_json(v, schema.WIRE_RESPONSE, JSON_OPTIONS), body))
+    out = _computed_once(df, "_d", _bind_once(F.from_json(v, schema.WIRE_RESPONSE, JSON_OPTIONS), body))
     return (out.withColumn("reason", F.col("_d.reason"))
             .withColumn("annotations", F.col("_d.annotations")).drop("_d"))
 

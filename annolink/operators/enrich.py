@@ -8,15 +8,14 @@ The reference stops on a bad record; ``strict=True`` reproduces that.
 
 Both variants are a single pass over the input: row-wise enrichment is one
 projection; link enrichment is one left join whose key is null-free (rows that
-are not enriched get a non-matching key spread by hash, so they do not pile
-up in one partition).
+are not enriched get a hash as key, so they do not pile up in one partition).
 """
 
 from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from annolink import config, schema
 from annolink.functions.text import java_trim, utf16_length
@@ -82,20 +81,23 @@ def enrich_with_links(envelopes: DataFrame, links: DataFrame, link_key: Callable
     """Replace each decoded post's entities by ``links`` (``jkey, urls`` and
     optionally ``reason``) where ``jkey = link_key(post)`` (post id for stored annotations, text key for the
     dictionary).  Posts without links get empty entities."""
-    carry = [c for c in envelopes.columns if c != value]
-    d = decode_route(envelopes, value, strict)
+    return attach_links(decode_route(envelopes, value, strict), links, link_key, value)
+
+
+def attach_links(decoded: DataFrame, links: DataFrame, link_key: Callable[[Column], Column], value: str = "value") -> DataFrame:
+    """``enrich_with_links`` for rows that ``decode_route`` has decoded."""
+    carry = [c for c in decoded.columns if c not in (value, "post", "route", "reason")]
+    d = decoded
     kind = links.schema["jkey"].dataType
     if "reason" not in links.columns:
         links = links.withColumn("reason", F.lit(None).cast("string"))
+    # rows that look nothing up get a hash as key: they are spread, and what they may find is not used
     enriched = F.col("route") == "enriched"
-    # rows that look nothing up are spread by a hash under a mark no link has
-    d = (d.withColumn("_mark", F.when(enriched, F.lit(1)).otherwise(F.lit(0)))
-         .withColumn("_spread", F.when(enriched, F.lit(0)).otherwise(F.xxhash64(F.col(value), *[F.col(c) for c in carry])).cast("long"))
-         .withColumn("_jk", F.when(enriched, link_key(F.col("post")).cast(kind))))
-    l = links.where(F.col("jkey").isNotNull()).select(
-        F.lit(1).alias("_lmark"), F.lit(0).cast("long").alias("_lspread"), F.col("jkey").alias("_lk"), "urls",
-        F.col("reason").alias("_lreason"))
-    j = d.join(l, (d["_mark"] == l["_lmark"]) & (d["_spread"] == l["_lspread"]) & d["_jk"].eqNullSafe(l["_lk"]), "left")
+    rest = [F.xxhash64(F.lit(n), F.col(value), *[F.col(c) for c in carry]) for n in range(2)]
+    other = F.struct(*[r.cast(f.dataType).alias(f.name) for r, f in zip(rest, kind.fields)]) if isinstance(kind, T.StructType) else rest[0].cast(kind)
+    d = d.withColumn("_jk", F.when(enriched, link_key(F.col("post")).cast(kind)).otherwise(other))
+    l = links.where(F.col("jkey").isNotNull()).select(F.col("jkey").alias("_lk"), "urls", F.col("reason").alias("_lreason"))
+    j = d.join(l, d["_jk"] == l["_lk"], "left")
     new_post = F.col("post").withField("entities", entities_with_links(F.col("urls")))
     return _finish(j, new_post, F.col("_lreason"), carry, value)
 
@@ -114,6 +116,23 @@ def enrich_by_text(envelopes: DataFrame, annotator: Callable[[DataFrame], DataFr
     return enrich_with_links(envelopes, links, lambda post: text_key(post["text"]), value, strict)
 
 
+def enrich_by_column(envelopes: DataFrame, urls: Callable[[Column], Column], value: str = "value", strict: bool = False) -> DataFrame:
+    """JSON in, JSON out, with links that a column function finds in the post's text
+    (``annotate.Dictionary.links``): one projection, no shuffle, batch or stream."""
+    def fn(post: Column):
+        return post.withField("entities", entities_with_links(urls(post["text"]))), None
+    return enrich_rowwise(envelopes, fn, value, strict)
+
+
+def enrich_with_dictionary(envelopes: DataFrame, dictionary, value: str = "value", strict: bool = False) -> DataFrame:
+    """Links of a prepared ``annotate.Dictionary``: in one projection while it is small
+    enough to be sent, else looked up by text."""
+    if dictionary.sent is not None:
+        return enrich_by_column(envelopes, dictionary.links, value, strict)
+    from annolink.operators.annotate import dictionary_links_by_text
+    return enrich_by_text(envelopes, lambda texts: dictionary_links_by_text(texts, dictionary), value, strict)
+
+
 def sentiment_in_range(s: Column) -> Column:
     """In [0, 1]; null and NaN are not."""
     return F.coalesce((s >= 0) & (s <= 1) & ~F.isnan(s), F.lit(False))

@@ -32,8 +32,11 @@ def edit_ratio_exceeds(label, surface, ratio=config.EDIT_RATIO_MAX) -> Column:
     """``levenshtein(label, surface) / max(len) > ratio`` without dividing."""
     r = _ratio(ratio)
     lab, sf = col_of(label), col_of(surface)
-    longest = F.greatest(utf16_length(lab), utf16_length(sf)).cast("long")
-    return F.levenshtein(utf16_chars(lab), utf16_chars(sf)).cast("long") * r.denominator > longest * r.numerator
+    # characters are UTF-16 units unless a text has four-byte characters; no text of plain ASCII has
+    plain = (F.octet_length(lab) == F.length(lab)) & (F.octet_length(sf) == F.length(sf))
+    longest = F.when(plain, F.greatest(F.length(lab), F.length(sf))).otherwise(F.greatest(utf16_length(lab), utf16_length(sf)))
+    edits = F.when(plain, F.levenshtein(lab, sf)).otherwise(F.levenshtein(utf16_chars(lab), utf16_chars(sf)))
+    return edits.cast("long") * r.denominator > longest.cast("long") * r.numerator
 
 
 def gate_reason(similarity="similarity_score", second_rank="percentage_of_second_rank",

@@ -26,7 +26,7 @@ WIRE_USER = _struct(("id", S), ("name", S), ("screenName", S), ("location", S),
                     ("followersCount", S))
 WIRE_POST = _struct(("id", S), ("text", S), ("lang", S), ("user", WIRE_USER),
                     ("retweet_count", S), ("favorite_count", S), ("timestamp_ms", S),
-                    ("entities", WIRE_ENTITIES), ("_corrupt_record", S))
+                    ("entities", T.VariantType()), ("_corrupt_record", S))   # tells absent from JSON null
 
 WIRE_RESOURCE = _struct(("@URI", S), ("@support", S), ("@types", S), ("@surfaceForm", S),
                         ("@offset", S), ("@similarityScore", S),
