@@ -8,9 +8,17 @@ from __future__ import annotations
 
 TRIM = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 
-WORDS = """
-d0 AS (SELECT doc_id AS id, text, regexp_extract_all(text, '[A-Za-z]+') AS w,
-              string_split_regex(text, '[A-Za-z]+') AS g FROM documents),
+POST0 = """
+post0 AS (SELECT doc_id * 1000003 + i AS id, doc_id, i AS piece, text, lang, source, n_chars FROM (
+  SELECT doc_id, lang, source, n_chars, unnest(p) AS text, unnest(range(0, len(p))) AS i FROM (
+    SELECT *, CASE WHEN text IS NULL OR text = '' OR doc_id % 25 = 7 THEN [text]
+                   WHEN regexp_matches(text, '[\\x{10000}-\\x{10FFFF}]') THEN regexp_extract_all(text, '(?s).{1,130}')
+                   WHEN doc_id % 5 = 0 THEN regexp_extract_all(text, '(?s).{1,280}')
+                   ELSE regexp_extract_all(text, '(?s).{1,260}') END AS p FROM documents)))"""
+
+WORDS = POST0 + """,
+d0 AS (SELECT id, text, regexp_extract_all(text, '[A-Za-z]+') AS w,
+              string_split_regex(text, '[A-Za-z]+') AS g FROM post0),
 w0 AS (SELECT id, unnest(range(0, len(w))) AS pos, unnest(w) AS word, unnest(g[1:len(w)]) AS gap FROM d0),
 w1 AS (SELECT id, CAST(pos AS INTEGER) AS pos, word,
               CAST(sum(length(gap) + length(word)) OVER (PARTITION BY id ORDER BY pos
@@ -42,14 +50,17 @@ rs AS (SELECT *, 'https://en.wikipedia.org/wiki/' || split_part(uri, '/', -1) AS
 kept AS (SELECT * FROM rs WHERE reason = 'keep'),
 kept_n AS (SELECT id, count(*) AS n FROM kept GROUP BY id)"""
 
-POSTS = """
-posts AS (SELECT doc_id AS id, text, lang, doc_id % 97 AS user_id, source AS user_name,
-                 CAST(n_chars AS INTEGER) AS followers, CAST(doc_id % 10000 AS INTEGER) AS retweet_count,
+#: Needs POST0 before it.
+POSTS_ONLY = """
+posts AS (SELECT id, text, lang, id % 97 AS user_id, source AS user_name,
+                 CAST(n_chars AS INTEGER) AS followers, CAST(id % 10000 AS INTEGER) AS retweet_count,
                  CAST(n_chars % 100000 AS INTEGER) AS favorite_count,
-                 1700000000000 + doc_id * 1000 AS timestamp_ms,
+                 1700000000000 + doc_id * 1000 + piece AS timestamp_ms,
                  length(""" + TRIM.format(x="text") + """) AS units,
-                 doc_id % 10 <> 0 OR starts_with(text, '{') AS is_json
-          FROM documents)"""
+                 id % 10 <> 0 OR starts_with(text, '{') AS is_json
+          FROM post0)"""
+
+POSTS = POST0 + "," + POSTS_ONLY
 
 SUFFIX = """
 sfx AS (SELECT *, ((id % 23) - 1) / CAST(20 AS DOUBLE) AS senti,
@@ -84,9 +95,9 @@ gaz AS (SELECT sf AS surface_form,
                (ascii(substr(sf, 2, 1)) % 20) / CAST(100 AS DOUBLE) AS percentage_of_second_rank
         FROM gz_sf)"""
 
-DICT = GAZ + """,
-dt AS (SELECT doc_id AS id, regexp_extract_all(text, '[\\p{L}\\p{N}]+') AS w,
-              string_split_regex(text, '[\\p{L}\\p{N}]+') AS g FROM documents),
+DICT_OF_POSTS = POST0 + "," + GAZ + """,
+dt AS (SELECT id, regexp_extract_all(text, '[\\p{L}\\p{N}]+') AS w,
+              string_split_regex(text, '[\\p{L}\\p{N}]+') AS g FROM post0),
 tk AS (SELECT id, unnest(range(0, len(w))) AS k, unnest(w) AS word, unnest(g[1:len(w)]) AS gap FROM dt),
 tk2 AS (SELECT id, k, word,
                sum(length(gap) + length(word)) OVER (PARTITION BY id ORDER BY k
@@ -106,7 +117,10 @@ gk AS (SELECT id, unnest(list_reduce(l, lambda a, x: CASE
 dict AS (SELECT id, CAST(m.k AS INTEGER) AS pos, m.surface_form, m.uri, CAST(m.start AS INTEGER) AS "offset", m.support,
                 m.similarity_score, m.percentage_of_second_rank FROM gk)"""
 
-DICT_GATED = DICT + """,
+#: Over whole documents.
+DICT = DICT_OF_POSTS.replace("dt AS (SELECT id,", "dt AS (SELECT doc_id AS id,").replace("AS g FROM post0", "AS g FROM documents")
+
+DICT_GATED = DICT_OF_POSTS + """,
 dg AS (SELECT *, """ + GATE.format(s="similarity_score", r="percentage_of_second_rank", u="uri",
                                   f="surface_form") + """ AS reason FROM dict)"""
 
@@ -114,7 +128,7 @@ CLIENT = WORDS + """,
 cw AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY pos) - 1 AS pos, word AS surface_form, "offset"
        FROM w1 WHERE length(word) >= 9)"""
 
-ENRICH_STORED = "WITH " + GATED + "," + POSTS + """
+ENRICH_STORED = "WITH " + GATED + "," + POSTS_ONLY + """
 SELECT p.id AS key,
        CASE WHEN NOT p.is_json THEN 'passthrough' WHEN p.units > 280 THEN 'quarantine' ELSE 'enriched' END AS route,
        CASE WHEN p.is_json AND p.units > 280 THEN 'text_too_long' END AS reason,
@@ -123,7 +137,7 @@ SELECT p.id AS key,
        CASE WHEN p.is_json AND p.units <= 280 THEN length(p.text) END AS text_len
 FROM posts p LEFT JOIN kept_n k ON p.id = k.id"""
 
-ENRICH_DICTIONARY = "WITH " + DICT_GATED + "," + POSTS + """,
+ENRICH_DICTIONARY = "WITH " + DICT_GATED + "," + POSTS_ONLY + """,
 dn AS (SELECT id, count(*) AS n FROM dg WHERE reason = 'keep' GROUP BY id)
 SELECT p.id AS key,
        CASE WHEN NOT p.is_json THEN 'passthrough' WHEN p.units > 280 THEN 'quarantine' ELSE 'enriched' END AS route,
@@ -133,7 +147,7 @@ SELECT p.id AS key,
        CASE WHEN p.is_json AND p.units <= 280 THEN length(p.text) END AS text_len
 FROM posts p LEFT JOIN dn ON p.id = dn.id"""
 
-ENRICH_CLIENT = "WITH " + CLIENT + "," + POSTS + """,
+ENRICH_CLIENT = "WITH " + CLIENT + "," + POSTS_ONLY + """,
 dn AS (SELECT id, count(*) AS n FROM cw GROUP BY id),
 r AS (SELECT p.*, coalesce(n, 0) AS n,
              CASE WHEN NOT is_json THEN NULL WHEN units > 280 THEN 'text_too_long'
@@ -170,8 +184,8 @@ SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY pos) - 1 AS INTEGER)
        "offset" + length(surface_form) AS idx_end FROM kept""",
 
     "posts_without_links": "WITH " + GATED + """
-SELECT d.doc_id AS id, CAST(coalesce(k.n, 0) AS INTEGER) AS n_links, 0 AS n_hashtags
-FROM documents d LEFT JOIN kept_n k ON d.doc_id = k.id""",
+SELECT d.id, CAST(coalesce(k.n, 0) AS INTEGER) AS n_links, 0 AS n_hashtags
+FROM post0 d LEFT JOIN kept_n k ON d.id = k.id""",
 
     "enrich_stored": ENRICH_STORED,
 
@@ -180,7 +194,8 @@ FROM documents d LEFT JOIN kept_n k ON d.doc_id = k.id""",
     "json_guard_route": "WITH " + POSTS + """
 SELECT id AS key, CASE WHEN is_json THEN 'enrich' ELSE 'pass' END AS route FROM posts""",
 
-    "length_check": "WITH " + POSTS + "\nSELECT id, units, units <= 280 AS within_limit FROM posts",
+    "length_check": "WITH u AS (SELECT doc_id AS id, length(" + TRIM.format(x="text") + ") AS units FROM documents)"
+                    "\nSELECT id, units, units <= 280 AS within_limit FROM u",
 
     "decode_posts": "WITH " + POSTS + """
 SELECT id AS key, CASE WHEN units > 280 THEN 'text_too_long' END AS reason,
@@ -212,8 +227,8 @@ SELECT id, pos, CASE pos % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 EN
        CASE pos % 4 WHEN 0 THEN 'Place' WHEN 1 THEN 'Person' ELSE '' END AS type_class FROM ann""",
 
     "annotation_report": "WITH " + GATED + """
-SELECT p.doc_id AS id, """ + REPORT.replace("p.id", "p.doc_id") + """ AS report
-FROM documents p LEFT JOIN kept_n k ON p.doc_id = k.id""",
+SELECT p.id, """ + REPORT + """ AS report
+FROM post0 p LEFT JOIN kept_n k ON p.id = k.id""",
 
     "text_suffix_enrich": "WITH " + POSTS + "," + SUFFIX + """
 SELECT id AS key, route, reason,
@@ -228,10 +243,8 @@ SELECT event_type,
                         OR value / CAST(200 AS DOUBLE) < 0 OR value / CAST(200 AS DOUBLE) > 1) AS n_out_of_range
 FROM events GROUP BY event_type""",
 
-    "post_datetime": """
-SELECT doc_id AS id,
-       strftime(make_timestamp((1700000000000 + doc_id * 1000) * 1000), '%Y-%m-%dT%H:%M:%S') AS datetime
-FROM documents""",
+    "post_datetime": "WITH " + POSTS + """
+SELECT id, strftime(make_timestamp(timestamp_ms * 1000), '%Y-%m-%dT%H:%M:%S') AS datetime FROM posts""",
 
     "topic_fanout": "WITH " + POSTS + """
 SELECT t.topic, p.id AS key, lpad(upper(hex(p.id)), 16, '0') AS key_hex, p.is_json
@@ -254,24 +267,24 @@ FROM consumed GROUP BY id""",
 SELECT id, count(*) AS n_results FROM consumed WHERE id % 7 = 0 GROUP BY id""",
 
     "delivery_total": "WITH " + CONSUMED + """
-SELECT (SELECT count(*) FROM documents) AS n_inputs, count(*) AS n_delivered,
-       count(*) FILTER (WHERE enriched = 1) AS n_rich, 2 * (SELECT count(*) FROM documents) AS n_expected
+SELECT (SELECT count(*) FROM posts) AS n_inputs, count(*) AS n_delivered,
+       count(*) FILTER (WHERE enriched = 1) AS n_rich, 2 * (SELECT count(*) FROM posts) AS n_expected
 FROM consumed""",
 
     "positional_link_diff": "WITH " + GATED + """,
-c AS (SELECT d.doc_id AS id, CAST(coalesce(k.n, 0) AS INTEGER) AS n FROM documents d LEFT JOIN kept_n k ON d.doc_id = k.id)
+c AS (SELECT d.id, CAST(coalesce(k.n, 0) AS INTEGER) AS n FROM post0 d LEFT JOIN kept_n k ON d.id = k.id)
 SELECT id, n AS n_actual,
        CASE WHEN id % 13 = 0 THEN -1 WHEN id % 5 = 1 AND n > 0 THEN n - 1 ELSE n END AS n_expected,
        CASE WHEN id % 13 = 0 THEN -1 WHEN id % 5 = 0 THEN n WHEN id % 5 = 1 AND n > 0 THEN -1 ELSE 0 END AS n_mismatch
 FROM c""",
 
-    "track_terms": """
-WITH ws AS (SELECT doc_id, string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS w FROM documents)
-SELECT doc_id AS id FROM ws
+    "track_terms": "WITH " + POST0 + """,
+ws AS (SELECT id, string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS w FROM post0)
+SELECT id FROM ws
 WHERE list_has_any(w, ['that', 'with', 'released']) OR (list_contains(w, 'mit') AND list_contains(w, 'license'))""",
 
-    "message_dump_ingest": "WITH " + POSTS.replace("doc_id % 10 <> 0 OR", "doc_id % 50 <> 2 AND doc_id % 10 <> 0 OR") + """
-SELECT CASE WHEN id % 50 = 2 THEN 'oversize' WHEN NOT is_json THEN 'malformed_json' WHEN units > 280 THEN 'text_too_long' END AS reason,
+    "message_dump_ingest": "WITH " + POSTS.replace("id % 10 <> 0 OR", "id % 1000 <> 2 AND id % 10 <> 0 OR") + """
+SELECT CASE WHEN id % 1000 = 2 THEN 'oversize' WHEN NOT is_json THEN 'malformed_json' WHEN units > 280 THEN 'text_too_long' END AS reason,
        CASE WHEN is_json AND units <= 280 THEN id END AS id,
        CASE WHEN is_json AND units <= 280 THEN lang END AS lang,
        CASE WHEN is_json AND units <= 280 THEN user_id END AS user_id,
@@ -295,14 +308,14 @@ FROM dg WHERE reason = 'keep'""",
 
     "stream_enrich": ENRICH_STORED,
 
-    "stream_report": "WITH " + GATED + "," + POSTS + """
+    "stream_report": "WITH " + GATED + "," + POSTS_ONLY + """
 SELECT p.id, """ + REPORT + """ AS report
 FROM posts p LEFT JOIN kept_n k ON p.id = k.id WHERE p.is_json AND p.units <= 280""",
 
     "client_annotate": "WITH " + CLIENT + """
 SELECT w.id, CAST(w.pos AS INTEGER) AS pos, w.surface_form, w."offset", CAST(NULL AS VARCHAR) AS reason
-FROM cw w JOIN documents d ON d.doc_id = w.id WHERE NOT contains(d.text, chr(92))
-UNION ALL SELECT doc_id, NULL, NULL, NULL, 'client_error: status 500' FROM documents WHERE contains(text, chr(92))""",
+FROM cw w JOIN post0 d ON d.id = w.id WHERE NOT contains(d.text, chr(92))
+UNION ALL SELECT id, NULL, NULL, NULL, 'client_error: status 500' FROM post0 WHERE contains(text, chr(92))""",
 
     "enrich_dictionary": ENRICH_DICTIONARY,
 
@@ -310,12 +323,43 @@ UNION ALL SELECT doc_id, NULL, NULL, NULL, 'client_error: status 500' FROM docum
 
     "enrich_client": ENRICH_CLIENT,
 
-    "track_terms_join": """
-WITH t AS (SELECT item_id, w FROM (SELECT item_id, string_split_regex(text, '[^A-Za-z]+') AS w FROM benchmark) WHERE len(w) > 4),
-ws AS (SELECT doc_id, string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS d,
-              regexp_extract_all(lower(text), '[#@][\\p{L}\\p{N}]+') AS m FROM documents)
-SELECT DISTINCT doc_id AS id FROM ws JOIN t ON CASE item_id % 3
+    "track_terms_join": "WITH " + POST0 + """,
+t AS (SELECT item_id, w FROM (SELECT item_id, string_split_regex(text, '[^A-Za-z]+') AS w FROM benchmark) WHERE len(w) > 4),
+ws AS (SELECT id, string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS d,
+              regexp_extract_all(lower(text), '[#@][\\p{L}\\p{N}]+') AS m FROM post0)
+SELECT DISTINCT id FROM ws JOIN t ON CASE item_id % 3
   WHEN 0 THEN list_contains(d, lower(w[2]))
   WHEN 1 THEN list_contains(d, lower(w[2])) AND list_contains(d, lower(w[4]))
   ELSE list_contains(m, '#' || lower(w[2])) END""",
+
+    "stream_topics": "WITH " + CONSUMED + """
+SELECT CASE WHEN enriched = 1 THEN 'enriched_twitter_feed' ELSE 'raw_twitter_feed' END AS topic, c.id,
+       length(p.text) + 10 * enriched AS units
+FROM consumed c JOIN posts p ON p.id = c.id""",
+
+    "stream_track_landing": "WITH " + POSTS + """,
+m AS (SELECT id, CASE WHEN id % 10 = 0 THEN 'malformed_json' WHEN id % 1000 = 2 THEN 'oversize' WHEN units > 280 THEN 'text_too_long' END AS reason,
+             string_split_regex(lower(text), '[^\\p{L}\\p{N}]+') AS w FROM posts)
+SELECT 'accepted' AS sink, id, NULL AS reason, CAST(1 AS BIGINT) AS n FROM m
+WHERE reason IS NULL AND (list_has_any(w, ['that', 'with', 'released']) OR (list_contains(w, 'mit') AND list_contains(w, 'license')))
+UNION ALL SELECT 'rejected' AS sink, NULL AS id, reason, count(*) AS n FROM m WHERE reason IS NOT NULL GROUP BY reason""",
+
+    "stream_drain": """
+SELECT event_id AS "offset", user_id, props, CASE WHEN row_number() OVER (ORDER BY event_id) <= 1000 THEN 1 ELSE 2 END AS run
+FROM events ORDER BY event_id LIMIT 2000""",
+
+    "stream_report_text": "WITH " + GATED + "," + POSTS_ONLY + """,
+t AS (SELECT p.lang, """ + REPORT + """ AS report FROM posts p LEFT JOIN kept_n k ON p.id = k.id WHERE p.is_json AND p.units <= 280)
+SELECT lang, line FROM (SELECT lang, unnest(string_split(report, chr(10))) AS line FROM t) WHERE line <> ''""",
+
+    "roundtrip_entities": "WITH " + POST0 + """,
+e AS (SELECT id, lang, regexp_extract_all(text, '[A-Za-z]+')[1:2] AS w FROM post0),
+h AS (SELECT id, unnest(range(0, len(w))) AS pos, unnest(w) AS word FROM e WHERE id % 4 <> 3)
+SELECT id AS key, 'hashtag' AS kind, CAST(pos AS INTEGER) AS pos, '#' || word AS label, NULL AS url, NULL AS expanded,
+       CAST(pos * 100 AS INTEGER) AS "first", CAST(pos * 100 + length(word) AS INTEGER) AS "last" FROM h
+UNION ALL SELECT id, 'url', 0, lang, 'https://e.org/?a=1&b=' || id, '<x> "y"', CAST(id % 7 AS INTEGER), CAST(id % 7 + 5 AS INTEGER)
+FROM e WHERE id % 4 <> 3 AND id % 3 = 0
+UNION ALL SELECT id, 'none', 0, NULL, NULL, NULL, NULL, NULL FROM e WHERE id % 4 = 3""",
 }
+ORACLE["stream_fanout"] = """WITH """ + POSTS + """
+SELECT t.topic, p.id AS key, p.is_json FROM posts p, (VALUES ('raw_twitter_feed'), ('enriched_twitter_feed')) t(topic)"""

@@ -21,7 +21,9 @@ from annolink.functions.text import comma_list, java_trim, page_label, page_name
 from annolink.operators import annotate, audit, codec, enrich, gate, guard, link, report
 from annolink.operators.joins import text_key
 from annolink.session import scratch_path
+from annolink.schema import ENTITIES
 from annolink.sources import derived, dumps, topics
+from annolink.sources.links import write_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,7 @@ except Exception:  # pragma: no cover
     pass
 
 SUFFIX = " (checked)"
+URLS_TYPE = ENTITIES["urls"].dataType
 TRACK_TERMS = "that, with, released, mit license"
 
 
@@ -86,14 +89,22 @@ def _suffix_frame(spark, sf):
 
 
 def _rich_topic(spark, sf):
-    """The rich topic as the topology has it: the enrichment's output written
-    once (all routes, partitioned by route) and read back by consumers."""
-    path = _stream_dir(spark, "rich-topic")
-    topics.write_routes(_suffix_frame(spark, sf), path)
-    out = topics.read_routes(spark, path)
+    """What the enrichment puts on the rich topic (quarantined posts stay away)."""
+    out = _suffix_frame(spark, sf).where(F.col("route") != "quarantine")
     return out.select(F.lit(config.RICH_TOPIC).alias("topic"), "key", "value", "offset")
 
 
+def _gazetteer(spark, sf):
+    return annotate.Dictionary(derived.gazetteer_from_benchmark(spark, sf))
+
+
+def _stream_source(spark, df, name, files=8):
+    """``df`` as a folder of message files in order of arrival; returns the base folder."""
+    base = _stream_dir(spark, name)
+    df.repartitionByRange(files, "offset").write.parquet(os.path.join(base, "in"))
+    return base
+
+
 def _flat_post(p="post"):
     c = F.col(p)
     return [c["id"].alias("id"), c["lang"].alias("lang"), c["user"]["id"].alias("user_id"),
@@ -269,11 +280,11 @@ def q_track_terms(spark, sf):
 
 
 def q_message_dump_ingest(spark, sf):
-    """One message in fifty is padded to the size limit exactly, one in fifty over it."""
+    """One message in a thousand is padded to the size limit exactly, one over it."""
     lines = derived.envelopes_from_documents(spark, sf).select("key", "value")
     room = F.lit(config.MAX_MESSAGE_BYTES) - F.octet_length("value")
-    padded = F.concat("value", F.repeat(F.lit(" "), F.when(F.col("key") % 50 == 1, room).otherwise(room + 1).cast("int")))
-    lines = lines.withColumn("value", F.when(F.col("key") % 50 == 1, padded).when(F.col("key") % 50 == 2, padded)
+    padded = F.concat("value", F.repeat(F.lit(" "), F.when(F.col("key") % 1000 == 1, room).otherwise(room + 1).cast("int")))
+    lines = lines.withColumn("value", F.when(F.col("key") % 1000 == 1, padded).when(F.col("key") % 1000 == 2, padded)
                              .otherwise(F.col("value")))
     d = dumps.ingest_lines(lines.select("value"))
     return d.select("reason", *_flat_post())
@@ -324,10 +335,8 @@ def q_client_annotate(spark, sf):
 
 
 def q_enrich_dictionary(spark, sf):
-    """JSON posts, looked up by their text in the gazetteer, back to JSON."""
-    gaz = derived.gazetteer_from_benchmark(spark, sf)
-    return _route_summary(enrich.enrich_by_text(derived.envelopes_from_documents(spark, sf),
-                                                lambda texts: annotate.dictionary_links_by_text(texts, gaz)))
+    """JSON posts with the links that the gazetteer finds in their text, back to JSON."""
+    return _route_summary(enrich.enrich_with_dictionary(derived.envelopes_from_documents(spark, sf), _gazetteer(spark, sf)))
 
 
 def q_enrich_client(spark, sf):
@@ -337,16 +346,13 @@ def q_enrich_client(spark, sf):
 
 
 def q_stream_enrich_dictionary(spark, sf):
+    """The same as a stream, three files a trigger."""
     from annolink.streaming import jobs
-    base = _stream_dir(spark, "stream-dictionary")
-    src = os.path.join(base, "in")
-    derived.envelopes_from_documents(spark, sf).write.mode("overwrite").parquet(src)
-    gaz = derived.gazetteer_from_benchmark(spark, sf)
-    out = jobs.run_batch_stream(
-        spark, src, os.path.join(base, "out"),
-        lambda batch: enrich.enrich_by_text(batch, lambda texts: annotate.dictionary_links_by_text(texts, gaz)),
-        checkpoint=os.path.join(base, "ckpt"), name="enrich_dictionary")
-    return _route_summary(out.drop("batch"))
+    base = _stream_source(spark, derived.envelopes_from_documents(spark, sf), "stream-dictionary")
+    dictionary = _gazetteer(spark, sf)
+    out = jobs.run_enrich_stream(spark, f"{base}/in", f"{base}/out", lambda batch: enrich.enrich_with_dictionary(batch, dictionary),
+                                 checkpoint=f"{base}/ckpt", max_files_per_trigger=3, name="enrich_dictionary")
+    return _route_summary(out)
 
 
 def q_track_terms_join(spark, sf):
@@ -363,19 +369,96 @@ def _stream_dir(spark, name):
 
 
 def q_stream_enrich(spark, sf):
-    """The stored-annotation enrichment as a Structured Streaming query (file
-    source -> stream-static join -> parquet sink, availableNow), read back."""
+    """The stored-annotation enrichment as a stream: links grouped once into a bucketed
+    table, of which every micro-batch (two files) reads the id ranges it needs."""
     from annolink.streaming import jobs
-    base = _stream_dir(spark, "stream-enrich")
-    src = os.path.join(base, "in")
-    derived.envelopes_from_documents(spark, sf).write.mode("overwrite").parquet(src)
-    links = _stored_links(spark, sf).withColumnRenamed("id", "jkey")
-    out = jobs.run_enrich_stream(spark, src, os.path.join(base, "out"),
-                                 lambda env: enrich.enrich_with_links(env, links, lambda p: p["id"]),
-                                 checkpoint=os.path.join(base, "ckpt"))
+    base = _stream_source(spark, derived.envelopes_from_documents(spark, sf), "stream-enrich")
+    span = derived.max_post_id(spark, sf) // 16 + 1
+    table = write_links(_stored_links(spark, sf).withColumnRenamed("id", "jkey"), f"{base}/links", span)
+    out = jobs.run_stored_enrich_stream(spark, f"{base}/in", f"{base}/out", table, checkpoint=f"{base}/ckpt", max_files_per_trigger=2)
     return _route_summary(out)
 
 
+def q_stream_topics(spark, sf):
+    """Raw and rich topic consumed together as one stream from topic folders."""
+    from annolink.streaming import jobs
+    base = _stream_dir(spark, "stream-topics")
+    both = topics.union_topics(derived.envelopes_from_documents(spark, sf), _rich_topic(spark, sf))
+    topics.write_topics(both, f"{base}/topics")
+    stream = topics.topic_stream(spark, [config.RAW_TOPIC, config.RICH_TOPIC], path=f"{base}/topics", per_trigger=4)
+    return jobs.run_consume_topics(stream, f"{base}/out", lambda posts: posts.select("topic", "id", utf16_length("text").alias("units")),
+                                   checkpoint=f"{base}/ckpt", keep=["topic"])
+
+
+def q_stream_fanout(spark, sf):
+    """Every message of a stream to two topics."""
+    from annolink.streaming import jobs
+    base = _stream_source(spark, derived.envelopes_from_documents(spark, sf).drop("topic"), "stream-fanout")
+    out = jobs.run_fan_out_stream(spark, f"{base}/in", f"{base}/out", f"{config.RAW_TOPIC}, {config.RICH_TOPIC}", checkpoint=f"{base}/ckpt",
+                                  max_files_per_trigger=3)
+    return out.select("topic", "key", guard.is_json_object("value").alias("is_json"))
+
+
+def q_stream_track_landing(spark, sf):
+    """Message dumps landing as text files: tracked posts, and messages set aside.  One
+    post in ten is broken, one in a thousand over the size limit."""
+    from annolink.streaming import jobs
+    base = _stream_dir(spark, "stream-landing")
+    room = F.lit(config.MAX_MESSAGE_BYTES + 1) - F.octet_length("value")
+    posts = codec.encode_posts(derived.posts_from_documents(spark, sf))
+    lines = posts.select(F.when(F.col("key") % 10 == 0, F.concat(F.lit("{broken "), F.col("key").cast("string")))
+                         .when(F.col("key") % 1000 == 2, F.concat("value", F.repeat(F.lit(" "), room.cast("int")))).otherwise(F.col("value")).alias("value"))
+    lines.write.text(f"{base}/in")
+    accepted, rejected = jobs.run_track_stream(spark, f"{base}/in", f"{base}/out", TRACK_TERMS, checkpoint=f"{base}/ckpt", max_files_per_trigger=3)
+    none = F.lit(None)
+    counted = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return (accepted.select(F.lit("accepted").alias("sink"), "id", none.cast("string").alias("reason"), F.lit(1).cast("long").alias("n"))
+            .unionByName(counted.select(F.lit("rejected").alias("sink"), none.cast("long").alias("id"), "reason", "n")))
+
+
+def q_stream_drain(spark, sf):
+    """Twice the next 1000 messages of the events topic (the limit is the feature)."""
+    from annolink.streaming import jobs
+    base = _stream_dir(spark, "stream-drain")
+    ev = derived.table(spark, sf, "events", parallel=False).select(F.col("event_id").alias("offset"), "user_id", "props")
+    last = ev.agg(F.max("offset")).first()[0] or 0
+    for k in range(4):      # messages arrive file by file
+        ev.where(F.floor(F.col("offset") * 4 / (last + 1)) == k).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    runs = [jobs.drain(spark, f"{base}/in", f"{base}/drain", 1000).withColumn("run", F.lit(k)) for k in (1, 2)]
+    return runs[0].unionByName(runs[1])
+
+
+def q_stream_report_text(spark, sf):
+    """The report of the rich topic as lines of text files by language, read back."""
+    from annolink.streaming import jobs
+    base = _stream_dir(spark, "stream-report-text")
+    topics.write_routes(_enrich_stored_frame(spark, sf), f"{base}/in")
+    return jobs.run_report_stream(spark, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ckpt", routes=("enriched", "passthrough")).select(
+        "lang", F.col("value").alias("line"))
+
+
+def q_roundtrip_entities(spark, sf):
+    """Hashtags and urls through the encoder and back: a hashtag for each of the first
+    words of a post, a url for every third post."""
+    p = derived.posts_from_documents(spark, sf).withColumn("w", F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), 1, 2))
+    tags = F.transform("w", lambda w, i: F.struct(F.array(i * 100, i * 100 + F.length(w)).alias("indices"), F.concat(F.lit("#"), w).alias("text")))
+    url = F.struct(F.concat(F.lit("https://e.org/?a=1&b="), F.col("id").cast("string")).alias("url"), F.lit("<x> \"y\"").alias("expanded_url"),
+                   F.col("lang").alias("display_url"), F.array((F.col("id") % 7).cast("int"), (F.col("id") % 7 + 5).cast("int")).alias("indices"))
+    urls = F.when(F.col("id") % 3 == 0, F.array(url)).otherwise(F.array().cast(URLS_TYPE))
+    p = p.withColumn("entities", F.when(F.col("id") % 4 != 3, F.struct(tags.alias("hashtags"), urls.alias("urls")))).drop("w")
+    e = codec.decode_posts(codec.encode_posts(p), max_units=1 << 30).select("key", F.col("post.entities").alias("e"))
+
+    def rows(kind, field, **cols):
+        x = e.select("key", F.posexplode(f"e.{field}").alias("pos", "x"))
+        return x.select("key", F.lit(kind).alias("kind"), "pos", *[F.col(f"x.{c}").alias(n) if c else F.lit(None).cast("string").alias(n)
+                                                                  for n, c in cols.items()], F.get("x.indices", 0).alias("first"), F.get("x.indices", 1).alias("last"))
+
+    absent = e.where("e is null").select("key", F.lit("none").alias("kind"), F.lit(0).alias("pos"), *[F.lit(None).cast("string").alias(c) for c in ("label", "url", "expanded")],
+                                         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
+    return (rows("hashtag", "hashtags", label="text", url=None, expanded=None)
+            .unionByName(rows("url", "urls", label="display_url", url="url", expanded="expanded_url")).unionByName(absent))
+
+
 def q_stream_report(spark, sf):
     """Consumer stream: rich topic files -> guard -> decode -> report lines."""
     from annolink.streaming import jobs
@@ -427,4 +510,10 @@ QUERIES: dict[str, Query] = {
     "track_terms_join": q_track_terms_join,
     "stream_enrich": q_stream_enrich,
     "stream_report": q_stream_report,
+    "stream_topics": q_stream_topics,
+    "stream_fanout": q_stream_fanout,
+    "stream_track_landing": q_stream_track_landing,
+    "stream_drain": q_stream_drain,
+    "stream_report_text": q_stream_report_text,
+    "roundtrip_entities": q_roundtrip_entities,
 }

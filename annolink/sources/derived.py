@@ -1,8 +1,8 @@
 """Model inputs derived by Spark from the given tables (so work grows with them).
 
-* posts / envelopes from ``documents`` (whole texts; the model's 280-unit limit
-  routes long ones to quarantine, nothing is cut);
-* a stored annotation table from the words of ``documents``;
+* posts / envelopes from ``documents`` (each cut into consecutive posts, nothing
+  lost; a few stay whole and meet the model's 280-unit limit);
+* a stored annotation table from the words of those posts;
 * annotation service responses (JSON) rebuilt from that table;
 * a gazetteer (surface forms -> pages) from the words of ``benchmark``.
 The recipes are deterministic arithmetic so DuckDB can compute the same rows.
@@ -26,22 +26,46 @@ def table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) ->
     return spread(df) if parallel else df
 
 
-def posts_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Post ids: a document's id times this, plus the number of the piece.
+PIECES = 1000003
+
+
+def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, doc_id, piece, text, lang, source, n_chars)``: every document, without
+    loss, as consecutive posts of at most 260 or 280 (every fifth document) UTF-16
+    units.  One document in 25 stays whole, so that long posts occur too."""
     d = table(spark, sf_dir, "documents")
-    user = F.struct((F.col("doc_id") % 97).alias("id"), F.col("source").alias("name"),
+    whole = F.col("text").isNull() | (F.col("text") == "") | (F.col("doc_id") % 25 == 7)
+
+    def cut(width: int):
+        return F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % width), F.lit(0))
+
+    pieces = (F.when(whole, F.array("text")).when(F.col("text").rlike(r"[\x{10000}-\x{10FFFF}]"), cut(130))
+              .when(F.col("doc_id") % 5 == 0, cut(280)).otherwise(cut(260)))
+    p = d.select("doc_id", "lang", "source", "n_chars", F.posexplode(pieces).alias("piece", "text"))
+    return p.select((F.col("doc_id") * PIECES + F.col("piece")).alias("id"), "doc_id", "piece", "text", "lang", "source", "n_chars")
+
+
+def posts_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    user = F.struct((F.col("id") % 97).alias("id"), F.col("source").alias("name"),
                     F.lit(None).cast("string").alias("screenName"),
                     F.lit(None).cast("string").alias("location"),
                     F.col("n_chars").cast("int").alias("followersCount"))
-    return d.select(
-        F.col("doc_id").alias("id"), "text", "lang", user.alias("user"),
-        (F.col("doc_id") % 10000).cast("int").alias("retweet_count"),
+    return post_texts(spark, sf_dir).select(
+        "id", "text", "lang", user.alias("user"),
+        (F.col("id") % 10000).cast("int").alias("retweet_count"),
         (F.col("n_chars") % 100000).cast("int").alias("favorite_count"),
-        (F.lit(BASE_TIME_MS) + F.col("doc_id") * 1000).alias("timestamp_ms"),
+        (F.lit(BASE_TIME_MS) + F.col("doc_id") * 1000 + F.col("piece")).alias("timestamp_ms"),
         F.lit(None).cast("struct<hashtags:array<struct<indices:array<int>,text:string>>,"
                          "urls:array<struct<url:string,expanded_url:string,display_url:string,"
                          "indices:array<int>>>>").alias("entities"))
 
 
+def max_post_id(spark: SparkSession, sf_dir: str) -> int:
+    """An upper bound of the post ids, from the documents' ids alone."""
+    return ((table(spark, sf_dir, "documents", parallel=False).agg(F.max("doc_id")).first()[0] or 0) + 1) * PIECES
+
+
 def envelopes_from_documents(spark: SparkSession, sf_dir: str,
                              topic: str = config.RAW_TOPIC) -> DataFrame:
     """``(topic, key, value, offset)``; every tenth value is the plain text (not
@@ -60,9 +84,9 @@ def _types_csv(pos):
             .otherwise(F.lit(",")))
 
 
-def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, pos, word, offset)`` for every ASCII letter run of every document."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+def post_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, pos, word, offset)`` for every ASCII letter run of every post."""
+    d = post_texts(spark, sf_dir).select("id", "text")
     sp = d.select("id", word_spans("text", ASCII_WORD_PATTERN).alias("s"))
     z = sp.select("id", F.posexplode(F.arrays_zip(F.col("s.words").alias("w"),
                                                   F.col("s.starts").alias("o"))).alias("pos", "z"))
@@ -73,7 +97,7 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_annotations(spark: SparkSession, sf_dir: str, with_types_csv: bool = False) -> DataFrame:
     """Stored annotation table: every word of >= 5 letters is a candidate entity."""
     from annolink.functions.text import comma_list
-    w = document_words(spark, sf_dir).where(F.length("word") >= 5)
+    w = post_words(spark, sf_dir).where(F.length("word") >= 5)
     idc, pos, word = F.col("id"), F.col("pos"), F.col("word")
     m3 = pos % 3
     uri = F.concat(F.lit(RESOURCE_PREFIX),
@@ -89,8 +113,8 @@ def stored_annotations(spark: SparkSession, sf_dir: str, with_types_csv: bool =
 
 
 def annotation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, response)``: one annotation-service JSON response per document,
-    rebuilt from the stored table (numbers quoted every other row; documents
+    """``(id, response)``: one annotation-service JSON response per post,
+    rebuilt from the stored table (numbers quoted every other row; posts
     without candidates get no ``Resources`` key at all)."""
     a = stored_annotations(spark, sf_dir, with_types_csv=True)
     def res_json(quoted: bool):
@@ -104,7 +128,7 @@ def annotation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     res_json = F.when(F.col("pos") % 2 == 0, res_json(True)).otherwise(res_json(False))
     grouped = (a.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", res_json.alias("j"))))
                                    .alias("rs")))
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    d = post_texts(spark, sf_dir).select("id", "text")
     j = d.join(grouped, "id", "left")
     body = F.array_join(F.transform("rs", lambda x: x["j"]), ",")
     head = F.to_json(F.struct(F.col("text").alias("@text"), F.lit("0.7").alias("@confidence"),

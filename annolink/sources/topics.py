@@ -2,12 +2,14 @@
 
 * broker adapter (options only; needs the Kafka connector on the classpath);
 * file-backed topics (parquet partitioned by ``topic``) for tests and for
-  clusters without a broker;
+  clusters without a broker, batch or as one stream of several topics;
 * fan-out to several topics, union of topics, bounded drain in arrival order.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from annolink import config
@@ -22,18 +24,59 @@ def subscription(topics) -> list[str]:
 
 # ------------------------------------------------------------------ broker
 
-def kafka_reader(spark: SparkSession, servers: str, topics, streaming: bool = True,
+def start_option(start) -> str:
+    """``earliest`` / ``latest``, or ``{topic: {partition: offset}}`` as the broker's JSON."""
+    if isinstance(start, str):
+        return start
+    return json.dumps({t: {str(p): int(o) for p, o in parts.items()} for t, parts in start.items()})
+
+
+def kafka_options(servers: str, topics, start="earliest", max_offsets_per_trigger: int | None = None, **options) -> dict[str, str]:
+    """Options of a broker subscription.  Records per trigger are bounded only when asked for."""
+    out = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(subscription(topics)), "startingOffsets": start_option(start)}
+    if max_offsets_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out | {k: str(v) for k, v in options.items()}
+
+
+def kafka_reader(spark: SparkSession, servers: str, topics, streaming: bool = True, start="earliest",
                  max_offsets_per_trigger: int | None = None, **options):
-    """Configured reader for a broker subscription, from the beginning of the
-    log.  Records per trigger are bounded only when asked for."""
+    """Configured reader for a broker subscription, from the beginning of the log
+    unless ``start`` says otherwise."""
     r = (spark.readStream if streaming else spark.read).format("kafka")
-    r = r.option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(subscription(topics)))
-    r = r.option("startingOffsets", "earliest")
-    if streaming and max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    for k, v in options.items():
-        r = r.option(k, v)
-    return r
+    return r.options(**kafka_options(servers, topics, start, max_offsets_per_trigger if streaming else None, **options))
+
+
+def topic_stream(spark: SparkSession, topics, path: str | None = None, servers: str | None = None, start="earliest",
+                 per_trigger: int | None = None) -> DataFrame:
+    """Several topics as one stream of envelopes ``(topic, key, value, offset)``.
+
+    By the same arguments from a broker (``servers``) or from topic folders below
+    ``path`` (``topic=<name>``; only the subscribed ones are listed and read).  ``start``:
+    ``earliest``, or ``{topic: {partition: offset}}`` of the first message to take (a
+    folder is partition 0; topics not named start at their first message).  ``per_trigger`` bounds what a
+    trigger takes in: messages of the broker, files of each folder."""
+    names = subscription(topics)
+    if not names:
+        raise ValueError("no topic to subscribe to")
+    if (path is None) == (servers is None):
+        raise ValueError("name either a folder of topics or a broker")
+    if servers is not None:
+        return from_kafka_records(kafka_reader(spark, servers, names, True, start, per_trigger).load()).drop("partition")
+    if isinstance(start, str) and start != "earliest":
+        raise ValueError("topic folders are read from their first message or from given offsets")
+    first = {} if isinstance(start, str) else {t: int(parts.get(0, 0)) for t, parts in start.items()}
+    out = None
+    for name in names:
+        folder = f"{path}/topic={name}"
+        r = spark.readStream.schema(spark.read.option("recursiveFileLookup", "true").parquet(folder).schema).option("recursiveFileLookup", "true")
+        if per_trigger:
+            r = r.option("maxFilesPerTrigger", str(per_trigger))
+        one = r.parquet(folder).select(F.lit(name).alias("topic"), "key", "value", "offset")
+        if first.get(name, 0) > 0:
+            one = one.where(F.col("offset") >= first[name])
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def kafka_writer(df: DataFrame, servers: str, checkpoint: str | None = None):
