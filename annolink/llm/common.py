@@ -55,6 +55,19 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Text bytes of one Arrow batch, beside its record limit: what a worker holds does
+#: not grow with the length of texts.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the session's Arrow batches, unless it has a smaller bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(name, None)
+    if given is None or not given.isdigit() or int(given) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name`` or a variant of it that is no column of ``df``."""
     taken = {c.lower() for c in df.columns}

@@ -10,7 +10,8 @@ logistic function of its largest marginal and of their sum; offending offsets
 are the tokens with a marginal of at least one half.
 
 Everything is learned from a sample of bounded size (``SAMPLE_CHARS`` characters
-per label); the field's weights from ``FIT_LINES`` lines a side drawn from all of it.
+per label); the field's weights from ``FIT_TOKENS`` tokens a side, in lines (cut to
+``FIT_SEQUENCE`` tokens) drawn from all of it.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from annolink.llm.bloom import blocks_of, with_possible
-from annolink.llm.common import byte_class, by_value, mix64, stored, text_slices, words_of
+from annolink.llm.common import bound_batches, byte_class, by_value, mix64, stored, text_slices, words_of
 from annolink.llm.langid import drawn, sampling_rates
 
 by_value(__name__)
@@ -33,7 +34,9 @@ WORD = byte_class(r"[0-9A-Za-z\x80-\xff]")
 PREFIXES = (4, 5, 6)
 #: A feature counts if chance would give its toxic share with p < 10^-MIN_EVIDENCE.
 MIN_EVIDENCE, MIN_SHARE = 6.0, 0.8
-FIT_LINES, STEPS, RATE, L2 = 20_000, 60, 0.5, 1e-4
+STEPS, RATE, L2 = 60, 0.5, 1e-4
+#: Tokens a side from which the field's weights are fitted, and of one sequence there.
+FIT_TOKENS, FIT_SEQUENCE = 600_000, 256
 _LINE_FEED = 10
 
 
@@ -209,8 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, label: str = "toxic",
 
 
 def _fit_field(model: Model, parts) -> None:
-    """Gradient ascent on the log-likelihood over up to ``FIT_LINES`` lines with a
-    feature and as many others, drawn evenly from all parts."""
+    """Gradient ascent on the log-likelihood over lines with a feature, of up to
+    ``FIT_TOKENS`` tokens, and as many others, drawn evenly from all parts."""
     rng = np.random.default_rng(3)
     held, many = [], 0
 
@@ -218,7 +221,8 @@ def _fit_field(model: Model, parts) -> None:
         ids, tags, size, draw, side = (np.concatenate(x) for x in zip(*held))
         stay = np.ones(len(size), bool)
         for group in (np.flatnonzero(side), np.flatnonzero(~side)):
-            stay[group[np.argsort(draw[group], kind="stable")[FIT_LINES:]]] = False
+            order = group[np.argsort(draw[group], kind="stable")]
+            stay[order[np.cumsum(size[order]) > FIT_TOKENS]] = False
         mine = np.repeat(stay, size)
         return ids[mine], tags[mine], size[stay], draw[stay], side[stay]
 
@@ -226,14 +230,18 @@ def _fit_field(model: Model, parts) -> None:
         f = known(model.features, f).astype(np.int32)
         flag = (f >= 0).any(axis=1)
         size = np.diff(np.append(h, len(f)))
+        pieces = -(-size // FIT_SEQUENCE)       # long lines are several sequences
+        nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        h = np.repeat(h, pieces) + FIT_SEQUENCE * nth
+        size = np.diff(np.append(h, len(f)))
         line = np.repeat(np.arange(len(h)), size)
         has = np.zeros(len(h), bool)
         has[line[flag]] = True
         held.append((f, flag & toxic, size, rng.random(len(h)), has))
-        many += len(h)
-        if many > 4 * FIT_LINES:
+        many += len(f)
+        if many > 4 * FIT_TOKENS:
             held = [drawn_lines()]
-            many = len(held[0][2])
+            many = len(held[0][0])
     if not held:
         return
     ids, tags, size, _, _ = drawn_lines()
@@ -293,11 +301,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     A null or empty text has no tokens and gets the score of no evidence.  Rows
     are scored one by one, whole.  The new names must not be columns of ``docs``.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    bound_batches(docs.sparkSession)
+    # plain values, since workers need not know the class
+    sent = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias, model.before, model.after, model.trans, model.doc))
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model(*sent.value)
         for batch in batches:
             scores, found = [], []
             for _, raw, offs in text_slices(batch.column(text)):
