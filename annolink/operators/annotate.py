@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from annolink.functions.tokens import WORD_PATTERN, _utf16_starts, word_spans
 from annolink.operators.codec import decode_annotation_response, response_to_rows
 from annolink.functions.text import utf16_length
-from annolink.operators.joins import hot_keys, salted_join, text_key
+from annolink.operators.joins import distinct_texts, hot_keys, salted_join, text_key
 from annolink.operators.gate import gate_passes
 from annolink.operators.link import entities_with_links, group_links, kept_links, link_struct, links_from_array
 from annolink.operators.lookup import SENT_BYTES, bloom_of, in_process, rows_if_small
@@ -214,14 +214,6 @@ def _grams_udf(pattern: str, max_words: int, first_words):
     return grams
 
 
-def distinct_texts(posts: DataFrame, text: str = "text") -> DataFrame:
-    """One row per distinct text with its 128-bit key.  Copies collapse in the
-    map-side partial aggregation, so a text repeated in a third of all rows
-    costs one row per map task before the shuffle."""
-    keyed = posts.where(F.col(text).isNotNull()).select(text_key(text).alias("tkey"), F.col(text).alias("text"))
-    return keyed.groupBy("tkey").agg(F.any_value("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-
-
 def dictionary_annotations_by_text(texts: DataFrame, dictionary: Dictionary, text: str = "text",
                                    uniq: DataFrame | None = None) -> DataFrame:
     """Distinct texts -> ``(tkey, pos, annotation...)``, for a gazetteer of any size.

@@ -13,6 +13,7 @@ are not enriched get a hash as key, so they do not pile up in one partition).
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -21,8 +22,9 @@ from annolink import config, schema
 from annolink.functions.text import java_trim, utf16_length
 from annolink.operators.codec import _bind_once, decode_posts, post_json
 from annolink.operators.guard import is_json_object
-from annolink.operators.joins import text_key
+from annolink.operators.joins import distinct_texts, hot_keys, salted_join, text_key
 from annolink.operators.link import entities_with_links
+from annolink.session import scratch_path
 
 
 def _post_value(p: Column) -> Column:
@@ -84,8 +86,10 @@ def enrich_with_links(envelopes: DataFrame, links: DataFrame, link_key: Callable
     return attach_links(decode_route(envelopes, value, strict), links, link_key, value)
 
 
-def attach_links(decoded: DataFrame, links: DataFrame, link_key: Callable[[Column], Column], value: str = "value") -> DataFrame:
-    """``enrich_with_links`` for rows that ``decode_route`` has decoded."""
+def attach_links(decoded: DataFrame, links: DataFrame, link_key: Callable[[Column], Column], value: str = "value",
+                 hot: DataFrame | None = None) -> DataFrame:
+    """``enrich_with_links`` for rows that ``decode_route`` has decoded.  ``hot``
+    (``joins.hot_keys`` with the key as ``jkey``): keys whose rows are split over several tasks."""
     carry = [c for c in decoded.columns if c not in (value, "post", "route", "reason")]
     d = decoded
     kind = links.schema["jkey"].dataType
@@ -97,7 +101,10 @@ def attach_links(decoded: DataFrame, links: DataFrame, link_key: Callable[[Colum
     other = F.struct(*[r.cast(f.dataType).alias(f.name) for r, f in zip(rest, kind.fields)]) if isinstance(kind, T.StructType) else rest[0].cast(kind)
     d = d.withColumn("_jk", F.when(enriched, link_key(F.col("post")).cast(kind)).otherwise(other))
     l = links.where(F.col("jkey").isNotNull()).select(F.col("jkey").alias("_lk"), "urls", F.col("reason").alias("_lreason"))
-    j = d.join(l, d["_jk"] == l["_lk"], "left")
+    if hot is None:
+        j = d.join(l, d["_jk"] == l["_lk"], "left")
+    else:
+        j = salted_join(d, l.withColumnRenamed("_lk", "_jk"), "_jk", hot.withColumnRenamed("jkey", "_jk"), [value, *carry], "left")
     new_post = F.col("post").withField("entities", entities_with_links(F.col("urls")))
     return _finish(j, new_post, F.col("_lreason"), carry, value)
 
@@ -111,9 +118,15 @@ def enrich_by_text(envelopes: DataFrame, annotator: Callable[[DataFrame], DataFr
     (``annotate.dictionary_links_by_text``, ``client_links_by_text``).  A reason
     sends the post to quarantine; a text without a row gets empty links.
     """
-    posts = decode_route(envelopes, value, strict).where(F.col("route") == "enriched")
-    links = annotator(posts.select(F.col("post.text").alias("text"))).withColumnRenamed("tkey", "jkey")
-    return enrich_with_links(envelopes, links, lambda post: text_key(post["text"]), value, strict)
+    decoded = decode_route(envelopes, value, strict)
+    posts = decoded.where(F.col("route") == "enriched").select(F.col("post.text").alias("text"))
+    # the different texts with their copies, written once: for the annotator, and to find hot ones
+    path = scratch_path(envelopes.sparkSession, f"texts-{uuid.uuid4().hex}")
+    distinct_texts(posts).write.parquet(path)
+    uniq = envelopes.sparkSession.read.parquet(path)
+    links = annotator(uniq.select("text")).withColumnRenamed("tkey", "jkey")
+    hot = hot_keys(uniq.withColumnRenamed("tkey", "jkey"), key="jkey")
+    return attach_links(decoded, links, lambda post: text_key(post["text"]), value, hot)
 
 
 def enrich_by_column(envelopes: DataFrame, urls: Callable[[Column], Column], value: str = "value", strict: bool = False) -> DataFrame:

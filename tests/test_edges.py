@@ -181,6 +181,45 @@ def test_lenient_json(spark):
     assert decode_one(spark, bare.replace(", entities: null", ""))["reason"] is None
 
 
+def test_entities_are_read_from_the_parse(spark):
+    """Absent and null entities are told apart by the parse, not by what the text says."""
+    lenient = "{id: 1, text: 'see , entities: null here', lang: 'en', retweet_count: 1, favorite_count: 1, timestamp_ms: 3}"
+    row = decode_one(spark, lenient)
+    assert row["reason"] is None and row["post"]["entities"] is None
+    full = lenient.replace("timestamp_ms", "entities: {urls: [], hashtags: [{text: 5, indices: ['1', 2.0, 9]}], more: {x: null}}, timestamp_ms")
+    entities = decode_one(spark, full)["post"]["entities"]
+    assert [(h["text"], h["indices"]) for h in entities["hashtags"]] == [("5", [1, 2])] and entities["urls"] == []
+    for shape in ("3", "[]", "'text'", "{hashtags: 1, urls: []}", "{hashtags: [], urls: {}}"):
+        assert decode_one(spark, full.replace(full[full.index("{urls"):full.index(", timestamp")], shape))["reason"] == "invalid_entities"
+    for twice in ("{urls: [], urls: [], hashtags: []}",):       # a repeated key: rejected or read, but no failed job
+        assert decode_one(spark, full.replace(full[full.index("{urls"):full.index(", timestamp")], twice))["reason"] in (None, "malformed_json", "invalid_entities")
+
+
+def test_one_parse_a_post(spark):
+    from annolink.operators import enrich
+    df = spark.createDataFrame([(1, post())], "key long, value string")
+    valid = codec.valid_posts(codec.decode_posts(guard.json_guard_drop(df))).where("retweet_count >= 0").select("id", "text")
+    rich = enrich.enrich_rowwise(df, lambda p: (p, None)).where("route = 'enriched'")
+    for plan in (valid, rich):
+        assert plan._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert valid.count() == 1 and rich.count() == 1
+
+
+def test_hot_texts_are_split(spark, monkeypatch):
+    from annolink.operators import enrich, joins
+    from annolink.operators.annotate import Dictionary, dictionary_links_by_text
+    rows = [(i, post(id=i, text="the tarn" if i < 50 else f"tarn {i}")) for i in range(60)] + [(99, "plain"), (98, None)]
+    df = spark.createDataFrame(rows, "key long, value string")
+    gaz = spark.createDataFrame([("tarn", "http://e/Tarn", 1, ["x"], 0.9, 0.0)], "surface_form string, uri string, support int, types array<string>, "
+                                "similarity_score double, percentage_of_second_rank double")
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", ("tkey", "copies", 10))
+    out = enrich.enrich_by_text(df, lambda texts: dictionary_links_by_text(texts, gaz)).collect()
+    got = {r["key"]: (r["route"], len(json.loads(r["value"])["entities"]["urls"]) if r["route"] == "enriched" else None) for r in out}
+    assert len(out) == 62 and got == {i: ("enriched", 1) for i in range(60)} | {99: ("passthrough", None), 98: ("passthrough", None)}
+    by_column = enrich.enrich_with_dictionary(df, Dictionary(gaz)).collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(map(tuple, by_column), key=repr)
+
+
 def test_checkpoint_folder_is_the_clusters(spark, tmp_path):
     from annolink.session import ensure_checkpoint_dir
     assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
