@@ -76,6 +76,14 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def no_clash(df: DataFrame, *names: str | None) -> None:
+    """Raises if a column to be added is there already (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    for name in names:
+        if name and name.lower() in taken:
+            raise ValueError(f"there is a column {name!r} already: choose another name for the new one")
+
+
 # ------------------------------------------------- whole texts as numpy arrays
 
 #: Text bytes handled at once inside a task: bounds the arrays below.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from annolink.llm.bloom import blocks_of, with_possible
-from annolink.llm.common import bound_batches, byte_class, by_value, mix64, stored, text_slices, words_of
+from annolink.llm.common import bound_batches, byte_class, by_value, mix64, no_clash, stored, text_slices, words_of
 from annolink.llm.langid import drawn, sampling_rates
 
 by_value(__name__)
@@ -299,8 +299,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     ``array<struct<start, end, p>>`` in code points, end exclusive.
 
     A null or empty text has no tokens and gets the score of no evidence.  Rows
-    are scored one by one, whole.  The new names must not be columns of ``docs``.
+    are scored one by one, whole.  A new name that is a column of ``docs`` raises.
     """
+    no_clash(docs, name, spans)
     bound_batches(docs.sparkSession)
     # plain values, since workers need not know the class
     sent = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.bias, model.before, model.after, model.trans, model.doc))
