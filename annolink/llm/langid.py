@@ -22,14 +22,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from annolink.llm.common import by_value, stored, text_slices
+from annolink.llm.common import bound_batches, by_value, no_clash, stored, text_slices
 
 by_value(__name__)
 
 #: Characters of labelled text sampled per language (expected).  More than
-#: ``MAX_LANGS`` languages share the characters of so many, which bounds the sample.
+#: ``SAMPLE_LANGS`` languages share the characters of so many, which bounds the sample.
 SAMPLE_CHARS = 1_500_000
+SAMPLE_LANGS = 8
+#: Up to so many languages the layers are folded into one.
 MAX_LANGS = 64
+#: Text judged at once, in bytes.
+JUDGED_BYTES = 1 << 19
 DIM, BITS, EPOCHS, RATE, SEED = 16, 16, 3, 0.5, 7
 REJECT_SHARE, MAX_THRESHOLD = 0.001, 0.5
 UNDETERMINED = "und"
@@ -119,7 +123,7 @@ def sampled(labelled: DataFrame, label: str, chars: int, max_labels: int) -> Dat
 
 def fit(docs: DataFrame, label: str = "lang", sample_chars: int = SAMPLE_CHARS) -> Model | None:
     """Train on ``docs(doc_id, text, lang)``; None if there is nothing to learn from."""
-    rows = sampled(docs, label, sample_chars, MAX_LANGS).orderBy("doc_id", "text").toArrow()
+    rows = sampled(docs, label, sample_chars, SAMPLE_LANGS).orderBy("doc_id", "text").toArrow()
     texts, names = rows.column("text").to_pylist(), rows.column(label).to_pylist()
     langs = sorted(set(names))
     if not langs:
@@ -132,18 +136,19 @@ def fit(docs: DataFrame, label: str = "lang", sample_chars: int = SAMPLE_CHARS)
         kept_out[:] = False
     lines = [(t.encode(), k) for t, k, out in zip(texts, y, kept_out) if not out
              for t in t.split("\n") if has_letter(t)]
+    truth = np.array([k for t, k, out in zip(texts, y, kept_out) if out and has_letter(t)])
+    held = [t.encode() for t, out in zip(texts, kept_out) if out and has_letter(t)]
+    del rows, texts
     emb = rng.normal(0, 0.1, (3 << BITS, DIM)).astype(np.float32)
     out = np.zeros((DIM, len(langs)), np.float32)
     bias = np.zeros(len(langs), np.float32)
-    grams = []
-    for raw, k in lines:
-        ids, _ = gram_ids(raw, np.array([0, len(raw)]))
-        grams.append((*np.unique(ids, return_counts=True), ids.size, k))
-    steps, step = max(1, EPOCHS * len(grams)), 0
+    steps, step = max(1, EPOCHS * len(lines)), 0
     for _ in range(EPOCHS):
-        for i in rng.permutation(len(grams)):
-            ids, count, size, k = grams[i]
-            share = (count / size).astype(np.float32)
+        for i in rng.permutation(len(lines)):   # a line's grams are made when it is its turn
+            raw, k = lines[i]
+            ids, _ = gram_ids(raw, np.array([0, len(raw)]))
+            ids, count = np.unique(ids, return_counts=True)
+            share = (count / count.sum()).astype(np.float32)
             rows_ = emb[ids]
             mean = share @ rows_
             z = mean @ out + bias
@@ -161,11 +166,8 @@ def fit(docs: DataFrame, label: str = "lang", sample_chars: int = SAMPLE_CHARS)
         model = Model(langs, np.ascontiguousarray((emb @ out).T), bias, 1.0, 0.0)
     else:
         model = Model(langs, np.ascontiguousarray(emb.T), bias, 1.0, 0.0, out)
-    held = [t for t, o in zip(texts, kept_out) if o and has_letter(t)]
     if held:
-        truth = np.array([k for t, k, o in zip(texts, y, kept_out) if o and has_letter(t)])
-        raw = [t.encode() for t in held]
-        z = np.concatenate([logits(model, r, np.array([0, len(r)])) for r in raw])
+        z = np.concatenate([logits(model, r, np.array([0, len(r)])) for r in held])
         grid = np.geomspace(0.05, 5, 41)
         loss = [-np.log(softmax(z / t)[np.arange(len(z)), truth] + 1e-12).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
@@ -180,7 +182,7 @@ def _judge(model: Model, column: pa.Array):
     """Language, score and rejection of each text of an Arrow column."""
     langs, scores = [], []
     nulls = column.is_null().to_pylist()
-    for at, raw, offs in text_slices(column):
+    for at, raw, offs in text_slices(column, JUDGED_BYTES):
         p = softmax(logits(model, raw, offs) / model.temperature)
         best = p.argmax(axis=1)
         for i in range(len(offs) - 1):
@@ -196,16 +198,20 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", lang: str
     """``docs`` with the predicted language, its probability and the rejection.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected;
-    without a model every text is.  Rows are judged one by one, whole.  The new
-    names must not be columns of ``docs``.
+    without a model every text is.  Rows are judged one by one, whole.  A new
+    name that is a column of ``docs`` raises.
     """
+    no_clash(docs, lang, score, rejected)
     if model is None:
         return docs.withColumns({lang: F.lit(UNDETERMINED), score: F.lit(0.0), rejected: F.lit(True)})
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # max(MAX_LANGS, DIM) x 3 x 2^BITS floats, and DIM + 1 a language, at most
+    bound_batches(docs.sparkSession)
+    # plain values, since workers need not know the class: max(MAX_LANGS, DIM) x 3 x 2^BITS floats, and DIM + 1 a language, at most
+    sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.scores, model.bias, model.temperature, model.threshold, model.out))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Model(*sent.value)
         for batch in batches:
-            langs, scores, out = _judge(sent.value, batch.column(text))
+            langs, scores, out = _judge(judge, batch.column(text))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(out, pa.bool_())],
                 names=[*batch.schema.names, lang, score, rejected])
