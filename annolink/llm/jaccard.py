@@ -1,9 +1,9 @@
 """N-gram Jaccard self-join of documents by signature trees.
 
 A document is its set of word shingles.  Equal sets form one class.  The join
-brings classes together that share one of the smallest shingle hashes (any two
-sets as similar as asked share one of the first ``n - ceil(s n) + 1``), within
-neighbouring size bands; the pairs of a group count one for each hash shared, and as
+brings classes together that share one of their first shingles (any two
+sets as similar as asked share one of the first ``n - ceil(s n) + 1`` of any one
+order; here the rarest come first), within neighbouring size bands; the pairs of a group count one for each hash shared, and as
 many as similar sets must share are asked for.  In a group a signature tree is built: leaves
 hold the members' token bitmaps, inner nodes their OR, the range of sizes and the
 largest number of tokens that share a bit.  A dual traversal drops pairs of
@@ -39,6 +39,11 @@ CHAIN_TOKENS = 2        # shared shingles of a class that are chained first
 SALT_ROWS = 4096        # longest chain
 BLOCK, LEAF, FAN = 2048, 16, 8
 
+#: How often shingles occur is counted by this many bits of their hash.
+FREQUENCY_BITS = 22
+#: A task reports the counts that exceed the average by this factor.
+COMMON = 4
+
 _SKETCH = arrow_schema(doc_id=pa.int64(), n=pa.int64(), f1=pa.int64(), f2=pa.int64(),
                        prefix=pa.list_(pa.int64()), bits=pa.list_(pa.int64()))
 
@@ -84,18 +89,47 @@ def _bitmaps(rows: np.ndarray, grams: np.ndarray, n_rows: int) -> np.ndarray:
     return out
 
 
-def _sketch(k: int, percent: int):
+def _counted(k: int):
+    """Texts -> ``bucket, n``: hash buckets of shingles that are common in this task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, shift = np.zeros(1 << FREQUENCY_BITS, np.uint32), np.uint64(64 - FREQUENCY_BITS)
+        for batch in batches:
+            for _, raw, offs in text_slices(batch.column(0)):
+                row, _, _, h = words_of(raw, offs, WORD)
+                g = gram_hash(h, k)
+                if len(g):
+                    np.add.at(table, (g[row[:len(g)] == row[k - 1:]] >> shift).astype(np.int64), 1)
+        common = np.flatnonzero(table > COMMON * (1 + table.mean()))
+        yield pa.RecordBatch.from_arrays([pa.array(common.astype(np.int32)), pa.array(table[common].astype(np.int64))], names=["bucket", "n"])
+    return run
+
+
+def common_buckets(docs: DataFrame, k: int) -> np.ndarray:
+    """Eight steps of commonness for each doubling, by hash bucket; 0 where nothing was
+    reported.  At most 2^FREQUENCY_BITS counts come to the driver, whatever the corpus.
+    They only order shingles: which pairs are found doesn't depend on them."""
+    counts = docs.select("text").mapInArrow(_counted(k), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(1 << FREQUENCY_BITS, np.uint8)
+    out[counts["bucket"].to_numpy(np.int64)] = np.minimum(255, 1 + 8 * np.log2(counts["n"].to_numpy(np.float64))).astype(np.uint8)
+    return out
+
+
+def _sketch(k: int, percent: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift = np.uint64(64 - FREQUENCY_BITS)
         for batch in batches:
             for at, raw, offs in text_slices(batch.column(1)):
                 size = len(offs) - 1
                 rows, grams = shingle_sets(raw, offs, k)
                 n, f1, f2 = _prints(rows, grams, size)
                 keep = n - -(-percent * n // 100) + 1
+                bits = _bitmaps(rows, grams, size)
+                # each row's shingles from the rarest on, ties by hash
+                order = np.argsort(rows * 256 + common.value[(grams >> shift).astype(np.int64)], kind="stable")
+                grams = grams[order]
                 place = np.arange(len(rows)) - (np.cumsum(n) - n)[rows]
                 short = place < keep[rows]
                 held = np.bincount(rows[short], minlength=size)
-                bits = _bitmaps(rows, grams, size)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, size), pa.array(n.astype(np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held)).astype(np.int32)), pa.array(grams[short].view(np.int64))),
@@ -214,10 +248,32 @@ def _candidates(percent: int, words: int):
         if held is not None:
             yield from emit(held, np.empty(0, int))
 
+    def leaves(key, cid, n, comp, side, own, bits):
+        """All groups of one leaf at once: each member and the one ``d`` places behind."""
+        group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
+        found = []
+        for d in range(1, len(key)):
+            i = np.flatnonzero(group[:-d] == group[d:])
+            if not len(i):
+                break
+            j = i + d
+            fit = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            fit &= (own[i] == key[i, 1]) | (own[j] == key[i, 1])
+            i, j = i[fit], j[fit]
+            swap = cid[i] > cid[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            found.append((cid[i], cid[j], n[i], n[j]))
+        return found
+
     def emit(cols, cuts):
         key = cols[0]
         if not len(key):
             return
+        if not words:
+            found = leaves(*cols)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], names=["a", "b", "na", "nb"])
+            return
         out = [pairs(*[c[lo:hi] for c in cols[1:]], key[lo, 1], key[lo, 2] != key[lo, 3])
                for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(key)))]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out)], names=["a", "b", "na", "nb"])
@@ -257,8 +313,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     sets by their size and two 64-bit sums.  Other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    common = docs.sparkSession.sparkContext.broadcast(common_buckets(docs, k))  # 4 MB
     sketch = stored(docs.mapInArrow(
-        _sketch(k, percent), "doc_id long, n long, f1 long, f2 long, prefix array<long>, bits array<long>"), "sketch")
+        _sketch(k, percent, common), "doc_id long, n long, f1 long, f2 long, prefix array<long>, bits array<long>"), "sketch")
     classes = stored(sketch.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2")
                      .agg(F.min(F.struct("doc_id", "prefix", "bits")).alias("one"))
                      .select("n", "f1", "f2", F.col("one.doc_id").alias("rep"), F.col("one.prefix").alias("prefix"), F.col("one.bits").alias("bits"))
