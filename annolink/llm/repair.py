@@ -31,7 +31,7 @@ from annolink.llm.common import by_value, stored
 
 by_value(__name__)
 
-#: Rows of a conversation decided together.
+#: Rows of a conversation decided together, as a power of two.
 BLOCK_BITS = 10
 #: White space: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -50,7 +50,7 @@ LEGAL = {(0, 1), (1, 2), (2, 1)}
 
 _KEY = "conv_id long, turn long, role string, h1 long, h2 long"
 _SUMMARY = ("conv_id long, block long, first_cls int, last_cls int, first_turn long, last_turn long, least long, turns long, "
-            "blank long, duplicate long, truncated long, illegal long, paths array<struct<cost:long,letters:long,digits:binary>>")
+            "blank long, duplicate long, truncated long, illegal long, steps array<int>, paths array<struct<cost:long,letters:long,digits:binary>>")
 _PLAN = ("conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, "
          "pieces array<struct<block:long,edits:string>>")
 
@@ -78,12 +78,8 @@ def letters(path) -> str:
     return oct(path[2])[2:].translate(str.maketrans("1234", LETTERS)) if path[1] else ""
 
 
-def block_paths(steps: list[tuple[int, int, int]]) -> list[list]:
-    """``steps`` are (initial, extra cost of staying, copies that must go after it), with
-    the initial -1 for none but those copies.  Returns the least path from each state
-    to each state, None where there is none."""
-    width = sum((k >= 0) + gone + 2 for k, _, gone in steps)
-    bits = 3 * width
+def _least(steps: list[tuple[int, int, int]], after: list, bits: int) -> list:
+    """Least weight from each state, through ``steps``, to the weights ``after``."""
     low = (1 << bits) - 1
 
     def ahead(weight, digits, n, cost):
@@ -91,29 +87,43 @@ def block_paths(steps: list[tuple[int, int, int]]) -> list[list]:
         rest = weight & low
         return weight - rest + (cost << bits) + (digits << bits - 3 * n) + (rest >> 3 * n)
 
-    table = [[None] * 4 for _ in range(4)]
-    for end in range(4):
-        after = [0 if q == end else None for q in range(4)]
-        for initial, extra, gone in reversed(steps):
-            if gone:
-                run = ((1 << 3 * gone) - 1) // 7      # D, gone times over
-                after = [None if w is None else ahead(w, run, gone, COST_DELETE * gone) for w in after]
-            if initial >= 0:
-                here = [None if w is None else ahead(w, DELETE, 1, COST_DELETE) for w in after]
-                edges = [(q, t, KEEP, extra) for q, t in KEEPS[initial]] + [(q, NEXT[q], REROLE, COST_REROLE + extra) for q in range(4)]
-                for q, t, letter, cost in edges:
-                    if after[t] is not None:
-                        w = ahead(after[t], letter, 1, cost)
-                        here[q] = w if here[q] is None else min(here[q], w)
-                after = here
-            # at most two inserts in a row lead to a state that fewer don't
-            one = [None if after[NEXT[q]] is None else ahead(after[NEXT[q]], INSERT, 1, COST_INSERT) for q in range(4)]
-            two = [None if one[NEXT[q]] is None else ahead(one[NEXT[q]], INSERT, 1, COST_INSERT) for q in range(4)]
-            after = [min((w for w in (after[q], one[q], two[q]) if w is not None), default=None) for q in range(4)]
-        for q in range(4):
-            if after[q] is not None:
-                table[q][end] = unpacked(after[q], width)
-    return table
+    for initial, extra, gone in reversed(steps):
+        if gone:
+            run = ((1 << 3 * gone) - 1) // 7      # D, gone times over
+            after = [None if w is None else ahead(w, run, gone, COST_DELETE * gone) for w in after]
+        if initial >= 0:
+            here = [None if w is None else ahead(w, DELETE, 1, COST_DELETE) for w in after]
+            edges = [(q, t, KEEP, extra) for q, t in KEEPS[initial]] + [(q, NEXT[q], REROLE, COST_REROLE + extra) for q in range(4)]
+            for q, t, letter, cost in edges:
+                if after[t] is not None:
+                    w = ahead(after[t], letter, 1, cost)
+                    here[q] = w if here[q] is None else min(here[q], w)
+            after = here
+        # at most two inserts in a row lead to a state that fewer don't
+        one = [None if after[NEXT[q]] is None else ahead(after[NEXT[q]], INSERT, 1, COST_INSERT) for q in range(4)]
+        two = [None if one[NEXT[q]] is None else ahead(one[NEXT[q]], INSERT, 1, COST_INSERT) for q in range(4)]
+        after = [min((w for w in (after[q], one[q], two[q]) if w is not None), default=None) for q in range(4)]
+    return after
+
+
+def _width(steps: list[tuple[int, int, int]]) -> int:
+    """Letters that the least path may have: the rows', and two inserts before each."""
+    return sum((k >= 0) + gone + 2 for k, _, gone in steps)
+
+
+def block_paths(steps: list[tuple[int, int, int]]) -> list[list]:
+    """``steps`` are (initial, extra cost of staying, copies that must go after it), with
+    the initial -1 for none but those copies.  Returns the least path from each state
+    to each state, None where there is none."""
+    width = _width(steps)
+    ends = [_least(steps, [0 if q == end else None for q in range(4)], 3 * width) for end in range(4)]
+    return [[None if w[q] is None else unpacked(w[q], width) for w in ends] for q in range(4)]
+
+
+def whole_path(steps: list[tuple[int, int, int]]) -> tuple:
+    """The least path of a conversation of one block."""
+    width = _width(steps) + 2
+    return unpacked(_least(steps, [scalar(p, width) for p in CLOSE], 3 * width)[START], width)
 
 
 def chain(blocks: list[list[list]]) -> tuple[tuple, list[str]]:
@@ -143,6 +153,7 @@ def chain(blocks: list[list[list]]) -> tuple[tuple, list[str]]:
 # ------------------------------------------------------------- tasks' loops
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last_of = (1 << BLOCK_BITS) - 1
     for batch in batches:
         out = []
         for conv, block, rows in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "block", "rows"))):
@@ -164,21 +175,36 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     n["duplicate"] += copies - 1
                     n["truncated"] += r["cut"]
                     steps.append((cls, COST_TRUNCATED * r["cut"], copies - 1))
-            paths = [p and {"cost": p[0], "letters": p[1], "digits": p[2].to_bytes((p[2].bit_length() + 7) // 8, "big")}
-                     for row in block_paths(steps) for p in row]
+            # rows before or behind would stand in this block; only a range's last block may be wrong about that
+            alone = rows[0]["at"] & last_of > 0 and rows[-1]["at"] & last_of < last_of
+            paths = None if alone else [p and {"cost": p[0], "letters": p[1], "digits": p[2].to_bytes((p[2].bit_length() + 7) // 8, "big")}
+                                        for row in block_paths(steps) for p in row]
             out.append({"conv_id": conv, "block": block, "first_cls": rows[0]["cls"], "last_cls": last, "first_turn": rows[0]["turn"],
                         "last_turn": rows[-1]["turn"], "least": next((r["turn"] for r in rows if r["turn"] is not None), None),
-                        "turns": turns, **n, "paths": paths})
+                        "turns": turns, **n, "steps": [x for step in steps for x in step] if alone else None, "paths": paths})
         yield _batch(out, _SUMMARY_ARROW)
 
 
+def _steps(block: dict) -> list[tuple[int, int, int]]:
+    flat = block["steps"]
+    return list(zip(flat[::3], flat[1::3], flat[2::3]))
+
+
+def _table(block: dict) -> list[list]:
+    if block["paths"] is None:
+        return block_paths(_steps(block))
+    return [[p and (p["cost"], p["letters"], int.from_bytes(p["digits"], "big")) for p in block["paths"][4 * q:4 * q + 4]] for q in range(4)]
+
+
 def _plans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for conv, blocks in zip(batch.column("conv_id").to_pylist(), batch.column("blocks").to_pylist()):
-            tables = [[[p and (p["cost"], p["letters"], int.from_bytes(p["digits"], "big")) for p in b["paths"][4 * q:4 * q + 4]]
-                       for q in range(4)] for b in blocks]
-            total, pieces = chain(tables)
+            if len(blocks) == 1 and blocks[0]["steps"] is not None:
+                total = whole_path(_steps(blocks[0]))
+                pieces = [letters(total)]
+            else:
+                total, pieces = chain([_table(b) for b in blocks])
             n = {k: sum(b[k] for b in blocks) for k in ("blank", "duplicate", "truncated", "illegal")}
             turns, last = 0, None
             for a, b in zip([None, *blocks], blocks):
@@ -262,7 +288,7 @@ _LONG, _TEXT = pa.int64(), pa.string()
 _PATH = pa.struct([("cost", _LONG), ("letters", _LONG), ("digits", pa.binary())])
 _COUNTS = [(n, _LONG) for n in ("blank", "duplicate", "truncated", "illegal")]
 _SUMMARY_ARROW = pa.schema([("conv_id", _LONG), ("block", _LONG), ("first_cls", pa.int32()), ("last_cls", pa.int32()), ("first_turn", _LONG),
-                            ("last_turn", _LONG), ("least", _LONG), ("turns", _LONG), *_COUNTS, ("paths", pa.list_(_PATH))])
+                            ("last_turn", _LONG), ("least", _LONG), ("turns", _LONG), *_COUNTS, ("steps", pa.list_(pa.int32())), ("paths", pa.list_(_PATH))])
 _PLAN_ARROW = pa.schema([("conv_id", _LONG), ("gaps", _LONG), *_COUNTS, ("cost", _LONG), ("audit", _TEXT),
                          ("pieces", pa.list_(pa.struct([("block", _LONG), ("edits", _TEXT)])))])
 _EDITS_ARROW = pa.schema([("conv_id", _LONG), ("turn", _LONG), ("role", _TEXT), ("h1", _LONG), ("h2", _LONG), ("edits", _TEXT)])

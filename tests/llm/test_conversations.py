@@ -163,3 +163,14 @@ def test_cheapest_edit_among_all(n):
                     options.append((cost, audit))
         best, pieces = repair.chain([repair.block_paths(steps)])
         assert (best[0], "".join(pieces)) == min(options)
+
+
+def test_a_block_alone_and_blocks_in_a_chain_agree():
+    rng = random.Random(11)
+    for _ in range(300):
+        steps = [(k := rng.choice([-1, 0, 1, 2, 2, 1, 3]), 3 * rng.randint(0, 1) if k >= 0 else 0, rng.randint(0, 2) + (k < 0)) for _ in range(rng.randint(1, 12))]
+        path = repair.whole_path(steps)
+        cut = rng.randint(0, len(steps) - 1)
+        for parts in ([steps], [steps[:cut], steps[cut:]] if cut else [steps]):
+            total, pieces = repair.chain([repair.block_paths(p) for p in parts])
+            assert (total[0], "".join(pieces)) == (path[0], repair.letters(path))
