@@ -7,10 +7,18 @@ that the entity is there: with document counts over the whole corpus,
     IC(e)     = log2(N / n(e))                      information in the entity
     PMI(e; t) = log2(N n(e, t) / (n(e) n(t)))       what the word tells of it
 
-Their ratio is the disclosed share.  Words of a document that holds the entity
-are generalised (to their initial) from ``GENERALISE`` of it on and removed
-from ``REMOVE`` on.  Copies of a text count in the probabilities, but a pair is
-judged only when at least ``SUPPORT`` different texts hold both.
+Their ratio is the disclosed share.  The chance of the entity given the word,
+n(e, t) / n(t), is estimated with half a sighting more of each outcome, so rare words
+and entities are judged too, with less confidence:
+``PMI = log2(N (n(e, t) + 1/2) / (n(e) (n(t) + 1)))``.  Words of a document that holds the entity are generalised (to their initial) from ``GENERALISE`` of it on and
+removed from ``REMOVE`` on.  Copies of a text count.
+
+Entities that stand in the same texts share all counts and are judged as one; of an
+entity in one text, n(e, t) is known without a join.  No word with
+
+    n(t) + 1 > (m + 1/2) (N / m) ^ (1 - GENERALISE),  m = max n(e)
+
+can reach the share, so the common words stay where they are.
 """
 
 from __future__ import annotations
@@ -30,9 +38,13 @@ PATTERNS = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9][\x20().0-9-]"),
 }
 KINDS = tuple(PATTERNS)
-GENERALISE, REMOVE, SUPPORT, MIN_LETTERS = 0.75, 0.95, 3, 3
+GENERALISE, REMOVE, MIN_LETTERS = 0.75, 0.95, 3
 #: Words of the co-occurrence statistics.
 WORD = r"\p{L}{%d,}+" % MIN_LETTERS
+#: Texts are cut behind a word, so that a row has about so many characters.
+PIECE = r"(?s).{1,4000}\p{L}*+"
+#: Most common words that are sent to the workers, to be left out there.
+SENT_WORDS = 20_000
 
 
 def _digits(value: Column) -> Column:
@@ -63,17 +75,32 @@ def spans_of(text: Column, pattern: Column, possible: Column) -> Column:
     whole = F.concat(F.lit(r"\G(?s)(.*?)("), pattern, F.lit(")"))
     lens = F.transform(F.regexp_extract_all(text, whole, F.lit(0)), F.length)
     value = F.regexp_extract_all(text, whole, F.lit(2))
-
-    def places(once: Column) -> Column:
-        def place(v: Column, i: Column) -> Column:
-            upto = F.aggregate(F.slice(once["lens"], 1, i + 1), F.lit(0), lambda s, x: s + x)
-            return F.struct((upto - F.length(v)).alias("start"), upto.alias("end"), v.alias("value"))
-        return F.transform(once["value"], place)
-
-    # one element: its fields are evaluated once, not again for every match
-    found = F.get(F.transform(F.array(F.struct(lens.alias("lens"), value.alias("value"))), places), F.lit(0))
+    total = lambda x: F.aggregate(x, F.lit(0), lambda s, y: s + y)
+
+    def chunks(once: Column) -> Column:
+        # chunks of about the root of the number of matches: their sums, and the sums before them
+        width = F.ceil(F.sqrt(F.size(once["lens"]) + 1)).cast("int")
+        sums = F.transform(F.sequence(F.lit(0), (F.size(once["lens"]) / width).cast("int")), lambda c: total(F.slice(once["lens"], c * width + 1, width)))
+        return F.struct(once["lens"].alias("lens"), once["value"].alias("value"), width.alias("width"), sums.alias("sums"))
+
+    def before(x: Column) -> Column:
+        upto = F.transform(x["sums"], lambda _, c: total(F.slice(x["sums"], F.lit(1), c)))
+        return F.struct(x["lens"].alias("lens"), x["value"].alias("value"), x["width"].alias("width"), upto.alias("upto"))
+
+    def ends(x: Column) -> Column:
+        w = x["width"]
+        end = F.transform(x["lens"], lambda _, i: F.get(x["upto"], (i / w).cast("int")) + total(F.slice(x["lens"], (i / w).cast("int") * w + 1, i % w + 1)))
+        return F.struct(x["value"].alias("value"), end.alias("end"))
+
+    def places(x: Column) -> Column:
+        return F.transform(x["value"], lambda v, i: F.struct((F.get(x["end"], i) - F.length(v)).alias("start"), F.get(x["end"], i).alias("end"), v.alias("value")))
+
+    # one element: each step is evaluated once, not again for every match
+    found = F.array(F.struct(lens.alias("lens"), value.alias("value")))
+    for step in (chunks, before, ends, places):
+        found = F.transform(found, step)
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(possible, found).otherwise(none)
+    return F.when(possible, F.get(found, F.lit(0))).otherwise(none)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -116,35 +143,61 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(kind + ":"), plain)
 
 
-def disclosing_terms(docs: DataFrame, held: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE,
-                     support: int = SUPPORT) -> DataFrame:
-    """``entity, term, share``: words whose disclosed share reaches ``generalise``.
-
-    ``held(tkey, text, copies, entities)``: the different texts with entities.
-    """
-    of = held.select("tkey", "copies", F.explode("entities").alias("entity"))
-    known = of.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts")) \
-        .where(F.col("texts") >= support).select("entity", "n_e")
-    carriers = of.join(known, "entity").select("tkey", "entity", "copies", "n_e")
-    by_text = carriers.groupBy("tkey").agg(F.collect_list(F.struct("entity", "n_e")).alias("of"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    together = (held.select("tkey", "copies", "text").join(by_text, "tkey")
-                .select("copies", "of", F.explode(words).alias("term"))
-                .select("copies", "term", F.explode("of").alias("e"))
-                .groupBy(F.col("e.entity").alias("entity"), F.col("e.n_e").alias("n_e"), "term")
-                .agg(F.sum("copies").alias("n_et"), F.count("*").alias("texts"))
-                .where(F.col("texts") >= support))
-    corpus = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.col("text").cast("string")), F.lit(WORD), F.lit(0)))).alias("term")) \
-        .groupBy("term").agg(F.count("*").alias("n_t"))
-    total = docs.select(F.count("*").alias("total"))
-    n = F.col("total").cast("double")
-    pmi = F.log2(n * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    ic = F.log2(n / F.col("n_e"))
-    return (together.join(corpus, "term").join(F.broadcast(total))  # one row
-            .select("entity", "term", F.when(ic > 0, pmi / ic).alias("share"))
-            .where(F.col("share") >= generalise)
-            .withColumn("action", F.when(F.col("share") >= remove, "removed").otherwise("generalised")))
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
+
+
+def _share(n_e: Column, n_et: Column, n_t: Column, total: int) -> Column:
+    """The disclosed share; null where the entity is in every text."""
+    ic = F.log2(F.lit(float(total)) / n_e)
+    return F.when(ic > 0, F.log2(F.lit(float(total)) * (n_et + 0.5) / (n_e * (n_t + 1))) / ic)
+
+
+def _action(share: Column, generalise: float, remove: float) -> Column:
+    return F.when(share >= remove, "removed").when(share >= generalise, "generalised")
+
+
+def telling_words(texts: DataFrame, held: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """``tid, start, end, value, action``: the words of ``held(tid, text, copies, entities)``,
+    the different texts with entities, that disclose one of them.  ``texts(text)`` is the
+    corpus, with copies."""
+    total = texts.count()
+    corpus = stored(texts.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t")), "pii-corpus")
+    # entities of the same texts are one class
+    of = held.select("tid", "copies", F.explode("entities").alias("entity"))
+    entities = of.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts"),
+                                        *[F.sum(F.pmod(F.xxhash64(F.lit(k), "tid"), F.lit(1 << 31))).alias(f"s{k}") for k in (1, 2)])
+    classes = stored(of.join(entities, "entity").select("tid", "n_e", "texts", F.xxhash64("n_e", "texts", "s1", "s2").alias("cls")).distinct(), "pii-classes")
+    top = classes.agg(F.max("n_e")).first()[0]
+    if not total or top is None:
+        none = F.lit(None)
+        return held.select("tid", none.cast("int").alias("start"), none.cast("int").alias("end"), none.cast("string").alias("value"),
+                           none.cast("string").alias("action")).where(F.lit(False))
+    bound = (top + 0.5) * (total / top) ** (1 - generalise)
+    rare = corpus.where(F.col("n_t") + 1 <= bound)
+    common = corpus.where(F.col("n_t") + 1 > bound).orderBy(F.col("n_t").desc(), "term").limit(SENT_WORDS).select("term")
+
+    # every occurrence of a rare word, with its place in the text
+    pieces = held.select("tid", F.regexp_extract_all("text", F.lit(PIECE), F.lit(0)).alias("p")).select("tid", F.col("p"), F.transform("p", F.length).alias("n"))
+    pieces = pieces.select("tid", F.posexplode("p").alias("i", "piece"), "n").select(
+        "tid", "piece", F.aggregate(F.slice("n", F.lit(1), F.col("i")), F.lit(0), lambda s, x: s + x).alias("offset"))
+    words = pieces.select("tid", "offset", F.explode(spans_of(F.col("piece"), F.lit(WORD), F.lit(True))).alias("w"))
+    words = words.select("tid", (F.col("offset") + F.col("w.start")).cast("int").alias("start"), F.col("w.value").alias("value"), F.lower("w.value").alias("term"))
+    words = words.join(F.broadcast(common), "term", "left_anti")
+    single = classes.where("texts = 1").select("tid", "n_e")
+    words = stored(words.join(rare, "term").select("tid", "start", "value", "term", "n_t"), "pii-words")
+
+    alone = words.join(single, "tid").select("tid", "term", _action(_share(F.col("n_e"), F.col("n_e"), F.col("n_t"), total), generalise, remove).alias("action"))
+    # classes of several texts: n(e, t) over their texts
+    several = classes.where("texts > 1")
+    pairs = (words.select("tid", "term", "n_t").distinct().join(several.select("tid", "cls", "n_e"), "tid")
+             .join(held.select("tid", "copies"), "tid"))
+    counted = (pairs.groupBy("cls", "n_e", "term", "n_t").agg(F.sum("copies").alias("n_et"))
+               .select("cls", "term", _action(_share(F.col("n_e"), F.col("n_et"), F.col("n_t"), total), generalise, remove).alias("action"))
+               .where("action is not null"))
+    shared = pairs.select("tid", "cls", "term").join(counted, ["cls", "term"]).select("tid", "term", "action")
+    actions = alone.where("action is not null").union(shared).groupBy("tid", "term").agg(F.max("action").alias("action"))
+    return words.join(actions, ["tid", "term"]).select("tid", "start", (F.col("start") + F.length("value")).alias("end"), "value", "action")
 
 
 def analyse(docs: DataFrame, **thresholds) -> DataFrame:
@@ -161,21 +214,11 @@ def analyse(docs: DataFrame, **thresholds) -> DataFrame:
     # the different texts that hold an entity, with their number of copies
     held = stored(detect(docs).where("any").select("tkey", "text", entities.alias("entities"))
                   .groupBy("tkey").agg(F.first("text").alias("text"), F.first("entities").alias("entities"),
-                                       F.count("*").alias("copies")), "pii-texts")
-    telling = stored(disclosing_terms(texts, held, **thresholds), "pii-terms")
-    terms = (held.select("tkey", F.explode("entities").alias("entity")).join(telling, "entity")
-             .groupBy("tkey", "term").agg(F.max("action").alias("action"))
-             .groupBy("tkey").agg(*[F.array_sort(F.collect_list(F.when(F.col("action") == a, F.col("term")))).alias(a)
-                                    for a in ("generalised", "removed")]))
-    edge = r"[\p{L}]"
-
-    def occurrences(kind: str) -> Column:
-        # letters only, so the words need no quoting; case as in the statistics
-        pattern = F.concat(F.lit(f"(?iu)(?<!{edge})(?:"), F.array_join(kind, "|"), F.lit(f")(?!{edge})"))
-        return spans_of(F.col("text"), pattern, F.size(kind) > 0)
-
-    more = held.select("tkey", "text").join(terms, "tkey").select(
-        "tkey", *[occurrences(a).alias(a) for a in ("generalised", "removed")])
+                                       F.count("*").alias("copies")).withColumn("tid", F.monotonically_increasing_id()), "pii-texts")
+    telling = telling_words(texts, held, **thresholds)
+    span = F.struct("start", "end", "value")
+    more = (telling.groupBy("tid").agg(*[F.array_sort(F.collect_list(F.when(F.col("action") == a, span))).alias(a) for a in ("generalised", "removed")])
+            .join(held.select("tid", "tkey"), "tid").drop("tid"))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     base = F.concat(*KINDS)
 
@@ -183,8 +226,10 @@ def analyse(docs: DataFrame, **thresholds) -> DataFrame:
         return F.filter(F.coalesce(kind, none), lambda s: ~F.exists(
             base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
 
-    return found.join(more, "tkey", "left").select(
+    # texts without entities look nothing up
+    some = found.where("tkey is not null").join(more, "tkey", "left").select(
         "doc_id", *KINDS, *[outside(a).alias(a) for a in ("generalised", "removed")])
+    return some.union(found.where("tkey is null").select("doc_id", *KINDS, none.alias("generalised"), none.alias("removed")))
 
 
 def span_list(kinds=KINDS) -> Column:
@@ -206,12 +251,17 @@ def apply_spans(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     """``doc_id, sanitised``: entities become ``[KIND]``, generalised words their
-    initial and an ellipsis, removed words nothing.  One row per document row
-    with a non-null doc_id; a doc_id should name one text."""
-    spans = analyse(docs, **thresholds)
+    initial and an ellipsis, removed words nothing.  One row per document row; null
+    texts are empty.  Rows that repeat a doc_id with other texts each get their own
+    text sanitised."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).withColumn("key", F.md5("text"))
+    # a row's spans depend on its text alone, so texts stand in for ids; copies count in the statistics
+    texts = stored(rows.groupBy("key").agg(F.first("text").alias("text")).withColumn("row", F.monotonically_increasing_id()), "pii-rows")
+    spans = analyse(rows.join(texts.select("key", "row"), "key").select(F.col("row").alias("doc_id"), "text"), **thresholds)
     puts = F.concat(*[_puts(k, lambda v, k=k: F.lit(f"[{k.upper()}]")) for k in KINDS],
                     _puts("generalised", lambda v: F.concat(F.substring(v, 1, 1), F.lit("…"))),
                     _puts("removed", lambda v: F.lit("")))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (docs.select("doc_id", text.alias("text")).distinct().join(spans.select("doc_id", puts.alias("puts")).distinct(), "doc_id")
-            .select("doc_id", apply_spans(F.col("text"), F.col("puts")).alias("sanitised")))
+    cleaned = (texts.join(spans.select(F.col("doc_id").alias("row"), puts.alias("puts")).dropDuplicates(["row"]), "row")
+               .select("key", apply_spans(F.col("text"), F.col("puts")).alias("sanitised")))
+    return rows.select("doc_id", "key").join(cleaned, "key").select("doc_id", "sanitised")

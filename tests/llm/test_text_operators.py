@@ -1,6 +1,10 @@
+import random
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
+import regex
 
 from annolink.llm import decontaminate, langid, pii, toxicity, urls
 from annolink.llm.common import byte_class, text_slices, words_of
@@ -129,16 +133,90 @@ def test_base_spans_equal_the_patterns(spark, doc_rows):
 
 
 def test_terms_that_give_an_entity_away(spark):
-    plain = [(i, f"the usual words number{i} again") for i in range(60)]
-    held = [(100 + i, f"the usual secretname{'' if i < 4 else 'x'} words v{i} mail joe@corp.example again") for i in range(5)]
+    plain = [(i, f"the usual words number{i} again") for i in range(600)]
+    held = [(1000 + i, f"the usual secretname{'' if i < 36 else 'x'} words v{i} mail joe@corp.example again") for i in range(40)]
     d = spark.createDataFrame(plain + held, "doc_id long, text string")
     rows = {r.doc_id: r for r in pii.analyse(d).collect()}
-    # whoever knows the word knows the entity: all of its information
-    assert {s.value for s in rows[101].removed} == {"secretname", "mail"}  # not the address's own words
-    assert rows[104].removed[0].value == "mail" and not rows[101].generalised and not rows[3].removed
+    # whoever knows the word knows the entity: nearly all of its information
+    assert {s.value for s in rows[1001].removed} == {"secretname", "mail"}  # not the address's own words
+    assert [s.value for s in rows[1039].removed] == ["secretnamex", "mail"] and not rows[1001].generalised and not rows[3].removed
     out = {r.doc_id: r.sanitised for r in pii.sanitise(d).collect()}
-    assert "joe@corp" not in out[101] and "secretname" not in out[101] and "[EMAIL]" in out[101]
-    assert out[3] == plain[3][1]
+    assert "joe@corp" not in out[1001] and "secretname" not in out[1001] and "[EMAIL]" in out[1001]
+    assert "secretname" not in out[1039] and out[3] == plain[3][1] and len(out) == 640
+
+
+def disclosed(rows):
+    """Counted text by text: ``doc number -> kind:start:end`` of the disclosing words."""
+    known, words, spans = [], [], []
+    for _, text in rows:
+        found, places = set(), []
+        for span in base_spans(text)[1]:
+            kind, s, e = span.split(":")
+            value = text[int(s):int(e)]
+            found.add((kind, value.lower() if kind == "email" else value if kind == "ip" else re.sub("[^0-9]", "", value)))
+            places.append((int(s), int(e)))
+        known.append(found)
+        spans.append(places)
+        words.append([(m.start(), m.end(), m[0].lower()) for m in regex.finditer(r"\p{L}{3,}", text or "")])
+    n_e, n_t, n_et = Counter(), Counter(), Counter()
+    for es, ws in zip(known, words):
+        ts = {w[2] for w in ws}
+        n_e.update(es)
+        n_t.update(ts)
+        n_et.update((e, t) for e in es for t in ts)
+    out = []
+    for es, ws, places in zip(known, words, spans):
+        here = []
+        for s, e, t in ws:
+            best = 0
+            for x in es:
+                ic = np.log2(len(rows) / n_e[x])
+                if ic > 0:
+                    best = max(best, np.log2(len(rows) * (n_et[x, t] + 0.5) / (n_e[x] * (n_t[t] + 1))) / ic)
+            if best >= pii.GENERALISE and not any(s < b and a < e for a, b in places):
+                here.append(f"{'removed' if best >= pii.REMOVE else 'generalised'}:{s}:{e}")
+        out.append(sorted(here))
+    return out
+
+
+def spans_by_row(df, rows):
+    got = {r.doc_id: sorted(f"{k}:{s.start}:{s.end}" for k in ("generalised", "removed") for s in r[k]) for r in df.collect()}
+    return [got[i] for i, _ in rows]
+
+
+def test_disclosing_words_equal_brute_force(spark, doc_rows, monkeypatch):
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("abcdeéö") for _ in range(rng.randint(2, 6))) for _ in range(80)]
+    entities = ["a@b.cd", "A@b.cd", "x.y@z.org", "10.0.0.1", "4111 1111 1111 1111", "4111-1111-1111-1111", "+1 262 555 3752", "only@one.net"]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 30))) + "\n" + (rng.choice(entities) if rng.random() < 0.3 else "")
+             + " " + (rng.choice(entities[:3]) if rng.random() < 0.2 else "")) for i in range(150)]
+    rows += [(200 + i, rows[3][1] + " copied only@two.net") for i in range(12)] + [(300, None), (301, "")] + [(400 + i, t) for i, t in doc_rows if i not in (40, 41)]
+    rows += [(500, "word@word.net word Word's " + "longtext " * 2000)]
+    rows = [(k, t) for k, (_, t) in enumerate(rows)]
+    d = spark.createDataFrame([(i, t, "x", 2) for i, t in rows], "doc_id long, text string, term string, n_t int")
+    want = disclosed(rows)
+    assert spans_by_row(pii.analyse(d), rows) == want
+    kinds = {s.split(":")[0] for w in want for s in w}
+    assert kinds == {"generalised", "removed"}
+    monkeypatch.setattr(pii, "SENT_WORDS", 1)
+    monkeypatch.setattr(pii, "PIECE", r"(?s).{1,7}\p{L}*+")
+    assert spans_by_row(pii.analyse(d), rows) == want
+
+
+def test_disclosing_words_of_the_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = disclosed(rows)
+    assert spans_by_row(pii.analyse(docs), rows) == want
+    flat = [s for w in want for s in w]
+    assert sum(s.startswith("removed") for s in flat) > 0 and sum(s.startswith("generalised") for s in flat) > 0
+
+
+def test_a_long_list_of_addresses(spark):
+    n = 40_000
+    text = ", ".join(f"10.{i % 256}.{i // 256 % 256}.{i % 199}" for i in range(n))
+    row = pii.analyse(spark.createDataFrame([(1, text), (2, "none")], "doc_id long, text string")).where("doc_id = 1").first()
+    assert len(row.ip) == n and all(text[s.start:s.end] == s.value for s in row.ip[::997]) and row.ip[-1].end == len(text)
 
 
 def test_pii_of_nothing_and_nulls(no_docs, null_docs):
@@ -272,3 +350,11 @@ def test_toxicity_of_nothing(spark, docs, no_docs, null_docs):
     rows = toxicity.score(docs, flat, name="chance").collect()
     assert len({r.chance for r in rows}) == 1 and all(not r.toxic_spans for r in rows)
     assert toxicity.score(null_docs, flat).count() == 4
+
+
+def test_new_columns_never_hide_given_ones(spark):
+    d = spark.createDataFrame([(1, "mo ta", "aa", 1, 0.5)], "doc_id long, text string, lang string, toxic int, Score double")
+    for add in (lambda: langid.predict(d, None), lambda: toxicity.score(d, toxicity.fit(d))):
+        with pytest.raises(ValueError, match="score"):
+            add()
+    assert langid.predict(d, None, score="other").first()["other"] == 0
