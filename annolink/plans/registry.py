@@ -373,7 +373,7 @@ def q_stream_enrich(spark, sf):
     table, of which every micro-batch (two files) reads the id ranges it needs."""
     from annolink.streaming import jobs
     base = _stream_source(spark, derived.envelopes_from_documents(spark, sf), "stream-enrich")
-    span = derived.max_post_id(spark, sf) // 16 + 1
+    span = derived.max_post_id(spark, sf) // 8 + 1
     table = write_links(_stored_links(spark, sf).withColumnRenamed("id", "jkey"), f"{base}/links", span)
     out = jobs.run_stored_enrich_stream(spark, f"{base}/in", f"{base}/out", table, checkpoint=f"{base}/ckpt", max_files_per_trigger=2)
     return _route_summary(out)
