@@ -9,7 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from annolink._util import col_of
+from annolink._util import bind_once, col_of
+
+
+#: ``$`` in a pattern also matches before one of these at the end.
+_LINE_ENDS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
 
 
 def java_trim(c) -> Column:
@@ -22,16 +26,29 @@ def utf16_length(c) -> Column:
     return (F.octet_length(F.encode(col_of(c), "UTF-16BE")) / 2).cast("int")
 
 
+def trimmed_longer_than(c, units: int) -> Column:
+    """Whether the trimmed text has more than ``units`` UTF-16 units.  A text has at least
+    as many bytes as units, and trimming only shortens it, so most texts need no trim."""
+    s = col_of(c)
+    return (F.octet_length(s) > units) & (utf16_length(s) > units) & (utf16_length(java_trim(s)) > units)
+
+
 def comma_list(c) -> Column:
     """Comma list -> trimmed array with the JVM ``split(",")`` rule: trailing
     empty items are dropped, ``""`` gives ``[""]`` and ``","`` gives ``[]``."""
-    s = col_of(c)
-    stripped = F.regexp_replace(s, ",+$", "")
-    parts = F.transform(F.split(stripped, ","), lambda x: java_trim(x))
-    return (F.when(s.isNull(), F.lit(None))
-            .when(s == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
-            .otherwise(parts))
+    def trim(x):        # the pattern can only match where one of these holds
+        last = F.right(x, F.lit(1))
+        return F.when((F.left(x, F.lit(1)) <= " ") | (last <= " ") | last.isin(*_LINE_ENDS), java_trim(x)).otherwise(x)
+
+    def parts(stripped):
+        return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(stripped, ","), trim))
+
+    def body(s):
+        end = F.right(s, F.lit(1))
+        stripped = F.when((end == ",") | end.isin(*_LINE_ENDS), F.regexp_replace(s, ",+$", "")).otherwise(s)
+        return F.when(s.isNull(), F.lit(None)).when(s == "", F.array(F.lit(""))).otherwise(bind_once(stripped, parts))
+
+    return bind_once(col_of(c), body)
 
 
 def pad_right_keep(c, width: int) -> Column:

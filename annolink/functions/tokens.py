@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, functions as F, types as T
 
@@ -26,7 +27,8 @@ except Exception:  # pragma: no cover - older cloudpickle
     pass
 
 WORD_PATTERN = r"[\p{L}\p{N}]+"       # letters and digits (Unicode)
-ASCII_WORD_PATTERN = r"[A-Za-z]+"
+ASCII_WORD_PATTERN = r"[A-Za-z]+"    # what ``letter_spans`` finds
+SLICE = 1024                          # texts whose bytes are looked at together
 
 SPANS_TYPE = T.StructType([
     T.StructField("words", T.ArrayType(T.StringType())),
@@ -66,3 +68,45 @@ def _spans_udf(pattern: str):
 def word_spans(text, pattern: str = WORD_PATTERN) -> Column:
     """``struct<words: array<string>, starts: array<int>>`` of every match."""
     return _spans_udf(pattern)(col_of(text))
+
+
+def _letter_runs(texts: pa.Array) -> pa.Array:
+    """Runs of ASCII letters of a few texts, found in their bytes laid end to end."""
+    words, starts = pa.array([], pa.string()), pa.array([], pa.int32())
+    missing = texts.is_null()
+    texts = texts.fill_null("").cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    at = ends - ends[0]
+    if at[-1]:
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+        letter = ((data | 32) - np.uint8(97)) < 26
+        edge = np.zeros(len(data) + 1, bool)            # a run ends with its text
+        edge[at] = True
+        first = np.flatnonzero(letter & (edge[:-1] | ~np.concatenate([[False], letter[:-1]])))
+        last = np.flatnonzero(letter & (edge[1:] | ~np.concatenate([letter[1:], [False]])))
+        units = ((data & 0xC0) != 0x80).astype(np.int32) + (data >= 0xF0)       # UTF-16 units that begin at a byte
+        before = np.concatenate([[0], np.cumsum(units, dtype=np.int32)])
+        lists = np.searchsorted(first, at)
+        ends_of = np.concatenate([[0], np.cumsum(last + 1 - first)]).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(first), pa.py_buffer(ends_of), pa.py_buffer(data[letter]))
+        starts = pa.array(before[first] - np.repeat(before[at[:-1]], np.diff(lists)), pa.int32())
+    else:
+        lists = np.zeros(len(texts) + 1, np.int64)
+    lists = pa.array(lists, pa.int32())
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(lists, words, mask=missing), pa.ListArray.from_arrays(lists, starts, mask=missing)],
+                                      ["words", "starts"])
+
+
+@lru_cache(maxsize=1)
+def _letters_udf():
+    @F.arrow_udf(SPANS_TYPE)
+    def spans(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([_letter_runs(texts.slice(k, SLICE)) for k in range(0, max(len(texts), 1), SLICE)])
+
+    return spans
+
+
+def letter_spans(text) -> Column:
+    """The same as ``word_spans(text, ASCII_WORD_PATTERN)``, found in the bytes of many texts
+    at once and kept in Arrow buffers: no Python object for a word."""
+    return _letters_udf()(col_of(text))

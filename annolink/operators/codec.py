@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from annolink import config, schema
-from annolink._util import col_of
-from annolink.functions.text import comma_list, java_trim, utf16_length
+from annolink._util import bind_once, col_of
+from annolink.functions.text import comma_list, trimmed_longer_than
 
 # Lenient reader, as the reference's parser accepts unquoted names and comments.
 JSON_OPTIONS = {
@@ -102,7 +102,7 @@ def post_checks(value: Column, w: Column, e: Column, require_user: bool,
                                             | x["display_url"].isNull()
                                             | _bad_pair(x["indices"])),
                    "invalid_url"))
-    checks.append((utf16_length(java_trim(w["text"])) > max_units, "text_too_long"))
+    checks.append((trimmed_longer_than(w["text"], max_units), "text_too_long"))
     return checks
 
 
@@ -124,7 +124,7 @@ def _bind_once(parsed, body):
     JSON parse into every reference, and stacked decode/encode stages multiply
     the plan size.  A lambda variable cannot be inlined, so each stage refers to
     its input exactly once and the parse runs once per row."""
-    return F.get(F.transform(F.array(parsed), body), 0)
+    return bind_once(parsed, body)
 
 
 def _computed_once(df: DataFrame, name: str, struct: Column) -> DataFrame:
@@ -202,11 +202,12 @@ def encode_posts(df: DataFrame, out: str = "value") -> DataFrame:
 RESPONSE_REQUIRED = ["@text", "@confidence", "@support", "@types", "@sparql", "@policy"]
 
 
-def _resource_bad(r: Column) -> Column:
-    return (r.isNull() | r["@URI"].isNull() | r["@surfaceForm"].isNull() | r["@types"].isNull()
-            | _num(r["@support"], "int").isNull() | _num(r["@offset"], "int").isNull()
-            | _num(r["@similarityScore"], "double").isNull()
-            | _num(r["@percentageOfSecondRank"], "double").isNull())
+def _annotation_bad(a: Column) -> Column:
+    """A typed annotation lacks a field: its resource is null, or the field absent or no number."""
+    bad = F.lit(False)
+    for name in schema.ANNOTATION_COLUMNS:
+        bad = bad | a[name].isNull()
+    return bad
 
 
 def annotation_struct(r: Column) -> Column:
@@ -224,24 +225,28 @@ def decode_annotation_response(df: DataFrame, response: str = "response") -> Dat
     Missing ``Resources`` decodes to an empty list (kept in response order)."""
     v = F.col(response)
 
-    def body(w):
+    def typed(w):
+        wire = F.coalesce(w["Resources"], F.array().cast(schema.WIRE_RESPONSE["Resources"].dataType))
+        return F.struct(w.alias("w"), F.transform(wire, annotation_struct).alias("resources"))
+
+    def body(x):
+        w, resources = x["w"], x["resources"]
         checks = [(v.isNull(), "null_value"),
                   (w.isNull() | w["_corrupt_record"].isNotNull(), "malformed_json")]
         for name in RESPONSE_REQUIRED:
             checks.append((w[name].isNull(), f"missing_{name.lstrip('@')}"))
         checks.append((_bad_num(w["@confidence"], "float"), "invalid_confidence"))
         checks.append((_bad_num(w["@support"], "int"), "invalid_support"))
-        checks.append((F.exists(F.coalesce(w["Resources"], F.array()), _resource_bad), "invalid_resource"))
+        checks.append((F.exists(resources, _annotation_bad), "invalid_resource"))
         reason = _first_reason(checks)
-        resources = F.transform(F.coalesce(w["Resources"], F.array().cast(
-            schema.WIRE_RESPONSE["Resources"].dataType)), annotation_struct)
         wrapper = F.struct(
             w["@text"].alias("text"), _num(w["@confidence"], "float").alias("confidence"),
             _num(w["@support"], "int").alias("support"), comma_list(w["@types"]).alias("types"),
             w["@sparql"].alias("sparql"), w["@policy"].alias("policy"), resources.alias("resources"))
         return F.struct(reason.alias("reason"), F.when(reason.isNull(), wrapper).alias("annotations"))
 
-    out = _computed_once(df, "_d", _bind_once(F.from_json(v, schema.WIRE_RESPONSE, JSON_OPTIONS), body))
+    parsed = _bind_once(F.from_json(v, schema.WIRE_RESPONSE, JSON_OPTIONS), typed)
+    out = _computed_once(df, "_d", _bind_once(parsed, body))
     return (out.withColumn("reason", F.col("_d.reason"))
             .withColumn("annotations", F.col("_d.annotations")).drop("_d"))
 

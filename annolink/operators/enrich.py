@@ -19,7 +19,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from annolink import config, schema
-from annolink.functions.text import java_trim, utf16_length
+from annolink.functions.text import trimmed_longer_than
 from annolink.operators.codec import _bind_once, decode_posts, post_json
 from annolink.operators.guard import is_json_object
 from annolink.operators.joins import distinct_texts, hot_keys, salted_join, text_key
@@ -113,7 +113,7 @@ def enrich_by_text(envelopes: DataFrame, annotator: Callable[[DataFrame], DataFr
                    strict: bool = False) -> DataFrame:
     """JSON in, JSON out, with links looked up by the post's text.
 
-    ``annotator(texts)`` gets the decoded posts' texts as one column ``text`` and
+    ``annotator(texts)`` gets the decoded posts' different texts as ``(tkey, text)`` and
     returns ``(tkey, urls, reason)`` with one row per distinct text at most
     (``annotate.dictionary_links_by_text``, ``client_links_by_text``).  A reason
     sends the post to quarantine; a text without a row gets empty links.
@@ -124,7 +124,7 @@ def enrich_by_text(envelopes: DataFrame, annotator: Callable[[DataFrame], DataFr
     path = scratch_path(envelopes.sparkSession, f"texts-{uuid.uuid4().hex}")
     distinct_texts(posts).write.parquet(path)
     uniq = envelopes.sparkSession.read.parquet(path)
-    links = annotator(uniq.select("text")).withColumnRenamed("tkey", "jkey")
+    links = annotator(uniq.select("tkey", "text")).withColumnRenamed("tkey", "jkey")
     hot = hot_keys(uniq.withColumnRenamed("tkey", "jkey"), key="jkey")
     return attach_links(decoded, links, lambda post: text_key(post["text"]), value, hot)
 
@@ -168,7 +168,7 @@ def suffix_enrichment(suffix: str, sentiment: Callable[[Column], Column], urls:
         s = sentiment(post).cast("double")
         text = F.concat(post["text"], F.lit(suffix))
         reason = (F.when(~sentiment_in_range(s), F.lit("sentiment_out_of_range"))
-                  .when(utf16_length(java_trim(text)) > max_units, F.lit("text_too_long")))
+                  .when(trimmed_longer_than(text, max_units), F.lit("text_too_long")))
         entities = F.struct(F.array(tag).alias("hashtags"), urls_col.alias("urls"))
         return post.withField("text", text).withField("entities", entities), reason
 

@@ -10,10 +10,11 @@ The recipes are deterministic arithmetic so DuckDB can compute the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from annolink import config
-from annolink.functions.tokens import ASCII_WORD_PATTERN, word_spans
+from annolink.functions.text import comma_list
+from annolink.functions.tokens import letter_spans
 from annolink.operators.codec import post_json
 from annolink.sources.scan import spread
 
@@ -87,58 +88,97 @@ def _types_csv(pos):
 def post_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, pos, word, offset)`` for every ASCII letter run of every post."""
     d = post_texts(spark, sf_dir).select("id", "text")
-    sp = d.select("id", word_spans("text", ASCII_WORD_PATTERN).alias("s"))
+    sp = d.select("id", letter_spans("text").alias("s"))
     z = sp.select("id", F.posexplode(F.arrays_zip(F.col("s.words").alias("w"),
                                                   F.col("s.starts").alias("o"))).alias("pos", "z"))
     return z.select("id", F.col("pos").cast("int").alias("pos"), F.col("z.w").alias("word"),
                     F.col("z.o").alias("offset"))
 
 
-def stored_annotations(spark: SparkSession, sf_dir: str, with_types_csv: bool = False) -> DataFrame:
-    """Stored annotation table: every word of >= 5 letters is a candidate entity."""
-    from annolink.functions.text import comma_list
-    w = post_words(spark, sf_dir).where(F.length("word") >= 5)
-    idc, pos, word = F.col("id"), F.col("pos"), F.col("word")
+def _annotation(id: Column, pos: Column, word: Column) -> dict[str, Column]:
+    """The columns of a word's stored annotation that don't come from the text."""
     m3 = pos % 3
     uri = F.concat(F.lit(RESOURCE_PREFIX),
                    F.when(m3 == 0, word).when(m3 == 1, F.reverse(word))
                    .otherwise(F.concat(word, F.lit("_"), F.lower(word))))
-    out = w.select(
-        "id", "pos", uri.alias("uri"), ((idc * 11 + pos * 7) % 60).cast("int").alias("support"),
-        comma_list(_types_csv(pos)).alias("types"), word.alias("surface_form"), "offset",
-        (((idc * 7 + pos * 13) % 100) / F.lit(100.0)).alias("similarity_score"),
-        (((idc * 3 + pos * 5) % 40) / F.lit(100.0)).alias("percentage_of_second_rank"),
+    return {"uri": uri, "support": ((id * 11 + pos * 7) % 60).cast("int"),
+            "similarity_score": ((id * 7 + pos * 13) % 100) / F.lit(100.0),
+            "percentage_of_second_rank": ((id * 3 + pos * 5) % 40) / F.lit(100.0)}
+
+
+#: A word of this many letters is a candidate entity.
+MIN_LETTERS = 5
+
+
+def stored_annotations(spark: SparkSession, sf_dir: str, with_types_csv: bool = False) -> DataFrame:
+    """Stored annotation table: every word of >= 5 letters is a candidate entity."""
+    w = post_words(spark, sf_dir).where(F.length("word") >= MIN_LETTERS)
+    pos = F.col("pos")
+    a = _annotation(F.col("id"), pos, F.col("word"))
+    return w.select(
+        "id", "pos", a["uri"].alias("uri"), a["support"].alias("support"),
+        comma_list(_types_csv(pos)).alias("types"), F.col("word").alias("surface_form"), "offset",
+        a["similarity_score"].alias("similarity_score"),
+        a["percentage_of_second_rank"].alias("percentage_of_second_rank"),
         *([_types_csv(pos).alias("types_csv")] if with_types_csv else []))
-    return out
 
 
-def annotation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, response)``: one annotation-service JSON response per post,
-    rebuilt from the stored table (numbers quoted every other row; posts
-    without candidates get no ``Resources`` key at all)."""
-    a = stored_annotations(spark, sf_dir, with_types_csv=True)
-    def res_json(quoted: bool):
-        n = (lambda c: F.col(c).cast("string")) if quoted else F.col
-        return F.to_json(F.struct(
-            F.col("uri").alias("@URI"), n("support").alias("@support"), F.col("types_csv").alias("@types"),
-            F.col("surface_form").alias("@surfaceForm"), n("offset").alias("@offset"),
-            n("similarity_score").alias("@similarityScore"),
-            n("percentage_of_second_rank").alias("@percentageOfSecondRank")))
-    # numbers quoted on even positions, bare on odd ones: both must decode alike
-    res_json = F.when(F.col("pos") % 2 == 0, res_json(True)).otherwise(res_json(False))
-    grouped = (a.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", res_json.alias("j"))))
-                                   .alias("rs")))
-    d = post_texts(spark, sf_dir).select("id", "text")
-    j = d.join(grouped, "id", "left")
-    body = F.array_join(F.transform("rs", lambda x: x["j"]), ",")
+def _resource_json(id: Column, pos: Column, word: Column, offset: Column) -> Column:
+    """Numbers quoted on even positions, bare on odd ones: both must decode alike.  The
+    texts are letters, ``_`` and the constants here, so none needs escaping."""
+    a = _annotation(id, pos, word)
+
+    def res_json(q: str):
+        return F.concat(
+            F.lit('{"@URI":"'), a["uri"], F.lit(f'","@support":{q}'), a["support"].cast("string"), F.lit(f'{q},"@types":"'), _types_csv(pos),
+            F.lit('","@surfaceForm":"'), word, F.lit(f'","@offset":{q}'), offset.cast("string"),
+            F.lit(f'{q},"@similarityScore":{q}'), a["similarity_score"].cast("string"),
+            F.lit(f'{q},"@percentageOfSecondRank":{q}'), a["percentage_of_second_rank"].cast("string"), F.lit(q + "}"))
+    return F.when(pos % 2 == 0, res_json('"')).otherwise(res_json(""))
+
+
+def _with_resources(posts: DataFrame) -> DataFrame:
+    """Adds ``rs``: a post's resources ``(pos, j)`` in order, made inside its row."""
+    w = posts.withColumn("_s", letter_spans("text"))
+    z = F.transform(F.arrays_zip(F.col("_s.words").alias("w"), F.col("_s.starts").alias("o")),
+                    lambda x, i: F.struct(i.alias("pos"), x["w"].alias("w"), x["o"].alias("o")))
+    long = F.filter(z, lambda x: F.length(x["w"]) >= MIN_LETTERS)
+    rs = F.transform(long, lambda x: F.struct(x["pos"].alias("pos"), _resource_json(F.col("id"), x["pos"], x["w"], x["o"]).alias("j")))
+    return w.withColumn("rs", F.when(F.col("id").isNotNull(), rs)).drop("_s")
+
+
+def _response(rs: Column) -> Column:
     head = F.to_json(F.struct(F.col("text").alias("@text"), F.lit("0.7").alias("@confidence"),
                               F.lit(20).alias("@support"), F.lit("").alias("@types"),
                               F.lit("").alias("@sparql"), F.lit("whitelist").alias("@policy")))
-    j = j.withColumn("h", head)
-    open_head = F.substring("h", F.lit(1), F.length("h") - 1)
-    response = F.when(F.col("rs").isNull(), F.col("h")).otherwise(
-        F.concat(open_head, F.lit(',"Resources":['), body, F.lit("]}")))
-    return j.select("id", response.alias("response"))
+    body = F.array_join(F.transform(rs, lambda x: x["j"]), ",")
+    open_head = F.substring(head, F.lit(1), F.length(head) - 1)
+    return F.when(F.size(rs) > 0, F.concat(open_head, F.lit(',"Resources":['), body, F.lit("]}"))).otherwise(head)
+
+
+def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that several documents have."""
+    d = table(spark, sf_dir, "documents", parallel=False).where("doc_id is not null")
+    return d.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+
+
+def annotation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, response)``: one annotation-service JSON response per post,
+    rebuilt from the stored table's columns (numbers quoted every other row; posts
+    without candidates get no ``Resources`` key at all).
+
+    A post's resources lie in its own row, so nothing is shuffled for them.  Only where
+    documents share an id are they those of all posts of that id, gathered by id."""
+    posts = post_texts(spark, sf_dir).select("id", "doc_id", "text")
+    shared = repeated_documents(spark, sf_dir)
+    out = ("id", _response(F.col("rs")).alias("response"))
+    if shared.isEmpty():
+        return _with_resources(posts).select(*out)
+    own = _with_resources(posts.join(shared, "doc_id", "left_anti"))
+    several = posts.join(shared, "doc_id", "left_semi")
+    grouped = (_with_resources(several).where("rs is not null").groupBy("id")
+               .agg(F.array_sort(F.flatten(F.collect_list("rs"))).alias("rs")))
+    return own.select(*out).unionByName(several.join(grouped, "id", "left").select(*out))
 
 
 def gazetteer_from_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
