@@ -18,7 +18,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, functions as F
 
 from annolink import config
-from annolink._util import col_of
+from annolink._util import bind_once, col_of
 from annolink.functions.text import page_label, page_name, utf16_chars, utf16_length
 
 REASONS = ["invalid_annotation", "low_similarity", "close_second_rank", "far_edit_distance", "keep"]
@@ -31,12 +31,17 @@ def _ratio(x) -> Fraction:
 def edit_ratio_exceeds(label, surface, ratio=config.EDIT_RATIO_MAX) -> Column:
     """``levenshtein(label, surface) / max(len) > ratio`` without dividing."""
     r = _ratio(ratio)
-    lab, sf = col_of(label), col_of(surface)
-    # characters are UTF-16 units unless a text has four-byte characters; no text of plain ASCII has
-    plain = (F.octet_length(lab) == F.length(lab)) & (F.octet_length(sf) == F.length(sf))
-    longest = F.when(plain, F.greatest(F.length(lab), F.length(sf))).otherwise(F.greatest(utf16_length(lab), utf16_length(sf)))
-    edits = F.when(plain, F.levenshtein(lab, sf)).otherwise(F.levenshtein(utf16_chars(lab), utf16_chars(sf)))
-    return edits.cast("long") * r.denominator > longest.cast("long") * r.numerator
+
+    def body(x):
+        lab, sf = x["label"], x["surface"]
+        # characters are UTF-16 units unless a text has four-byte characters; no text of plain ASCII has
+        plain = (F.octet_length(lab) == F.length(lab)) & (F.octet_length(sf) == F.length(sf))
+        longest = F.when(plain, F.greatest(F.length(lab), F.length(sf))).otherwise(F.greatest(utf16_length(lab), utf16_length(sf)))
+        edits = F.when(plain, F.levenshtein(lab, sf)).otherwise(F.levenshtein(utf16_chars(lab), utf16_chars(sf)))
+        return edits.cast("long") * r.denominator > longest.cast("long") * r.numerator
+
+    # bound once: the two texts may be computed columns, which the optimizer would copy into every reference
+    return bind_once(F.struct(col_of(label).alias("label"), col_of(surface).alias("surface")), body)
 
 
 def gate_reason(similarity="similarity_score", second_rank="percentage_of_second_rank",
