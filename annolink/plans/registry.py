@@ -98,11 +98,19 @@ def _gazetteer(spark, sf):
     return annotate.Dictionary(derived.gazetteer_from_benchmark(spark, sf))
 
 
-def _stream_source(spark, df, name, files=8):
-    """``df`` as a folder of message files in order of arrival; returns the base folder."""
+#: Bytes of documents' text for one message file.
+FILE_TEXT = 32 << 20
+
+
+def _stream_source(spark, sf, df, name, slices=8):
+    """``df`` as a folder of message files in order of arrival.  It arrives in ``slices`` of
+    as many files each as the documents' texts need.  Returns the base folder and the
+    files of a slice."""
     base = _stream_dir(spark, name)
-    df.repartitionByRange(files, "offset").write.parquet(os.path.join(base, "in"))
-    return base
+    text = derived.table(spark, sf, "documents", parallel=False).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = -(-text // (slices * FILE_TEXT)) or 1
+    df.repartitionByRange(slices * files, "offset").write.option("parquet.block.size", str(topics.ROW_GROUP)).parquet(os.path.join(base, "in"))
+    return base, files
 
 
 def _flat_post(p="post"):
@@ -346,12 +354,12 @@ def q_enrich_client(spark, sf):
 
 
 def q_stream_enrich_dictionary(spark, sf):
-    """The same as a stream, three files a trigger."""
+    """The same as a stream, three slices a trigger."""
     from annolink.streaming import jobs
-    base = _stream_source(spark, derived.envelopes_from_documents(spark, sf), "stream-dictionary")
+    base, files = _stream_source(spark, sf, derived.envelopes_from_documents(spark, sf), "stream-dictionary")
     dictionary = _gazetteer(spark, sf)
     out = jobs.run_enrich_stream(spark, f"{base}/in", f"{base}/out", lambda batch: enrich.enrich_with_dictionary(batch, dictionary),
-                                 checkpoint=f"{base}/ckpt", max_files_per_trigger=3, name="enrich_dictionary")
+                                 checkpoint=f"{base}/ckpt", max_files_per_trigger=3 * files, name="enrich_dictionary")
     return _route_summary(out)
 
 
@@ -370,12 +378,12 @@ def _stream_dir(spark, name):
 
 def q_stream_enrich(spark, sf):
     """The stored-annotation enrichment as a stream: links grouped once into a bucketed
-    table, of which every micro-batch (two files) reads the id ranges it needs."""
+    table, of which every micro-batch (two slices) reads the id ranges it needs."""
     from annolink.streaming import jobs
-    base = _stream_source(spark, derived.envelopes_from_documents(spark, sf), "stream-enrich")
+    base, files = _stream_source(spark, sf, derived.envelopes_from_documents(spark, sf), "stream-enrich")
     span = derived.max_post_id(spark, sf) // 8 + 1
     table = write_links(_stored_links(spark, sf).withColumnRenamed("id", "jkey"), f"{base}/links", span)
-    out = jobs.run_stored_enrich_stream(spark, f"{base}/in", f"{base}/out", table, checkpoint=f"{base}/ckpt", max_files_per_trigger=2)
+    out = jobs.run_stored_enrich_stream(spark, f"{base}/in", f"{base}/out", table, checkpoint=f"{base}/ckpt", max_files_per_trigger=2 * files)
     return _route_summary(out)
 
 
@@ -393,9 +401,9 @@ def q_stream_topics(spark, sf):
 def q_stream_fanout(spark, sf):
     """Every message of a stream to two topics."""
     from annolink.streaming import jobs
-    base = _stream_source(spark, derived.envelopes_from_documents(spark, sf).drop("topic"), "stream-fanout")
+    base, files = _stream_source(spark, sf, derived.envelopes_from_documents(spark, sf).drop("topic"), "stream-fanout")
     out = jobs.run_fan_out_stream(spark, f"{base}/in", f"{base}/out", f"{config.RAW_TOPIC}, {config.RICH_TOPIC}", checkpoint=f"{base}/ckpt",
-                                  max_files_per_trigger=3)
+                                  max_files_per_trigger=3 * files)
     return out.select("topic", "key", guard.is_json_object("value").alias("is_json"))
 
 

@@ -102,6 +102,10 @@ def to_kafka_records(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ files
 
+#: Bytes of a row group: a trigger takes few files, and decodes each by as many tasks as it has row groups.
+ROW_GROUP = 8 << 20
+
+
 def read_topics(spark: SparkSession, path: str, topics=None) -> DataFrame:
     """File-backed topics; the topic filter prunes partitions at the scan."""
     df = spark.read.parquet(path)
@@ -110,13 +114,13 @@ def read_topics(spark: SparkSession, path: str, topics=None) -> DataFrame:
 
 
 def write_topics(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).partitionBy("topic").parquet(path)
+    df.write.mode(mode).option("parquet.block.size", str(ROW_GROUP)).partitionBy("topic").parquet(path)
 
 
 def write_routes(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One write for every route of an enrichment (enriched, passthrough and
     quarantine land in their own folders); readers prune by ``route``."""
-    df.write.mode(mode).partitionBy("route").parquet(path)
+    df.write.mode(mode).option("parquet.block.size", str(ROW_GROUP)).partitionBy("route").parquet(path)
 
 
 def read_routes(spark: SparkSession, path: str, routes=("enriched", "passthrough")) -> DataFrame:
