@@ -366,9 +366,11 @@ CALL_ARGS = ("concurrency", "retries", "backoff")
 
 def client_links_by_text(texts: DataFrame, make_client, text: str = "text", **kw) -> DataFrame:
     """The client as an annotator of texts: ``(tkey, urls, reason)``; a failed call
-    or a bad response gives the reason and no links."""
+    or a bad response gives the reason and no links.  Texts that come with their ``tkey``
+    (``joins.distinct_texts``) are taken as different."""
     calls = {k: kw.pop(k) for k in CALL_ARGS if k in kw}
-    d = _client_decoded(texts, make_client, text, **calls)
+    uniq = texts if "tkey" in texts.columns and text == "text" else None     # already different, with their keys
+    d = _client_decoded(texts, make_client, text, uniq, **calls)
     urls = F.when(F.col("reason").isNull(), links_from_array(F.col("annotations.resources"), **kw))
     return d.select("tkey", urls.alias("urls"), "reason")
 

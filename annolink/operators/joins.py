@@ -42,7 +42,9 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, spre
     ``small`` holds a few rows per key.  Rows of hot keys on the big side are
     spread over ``_salts`` sub-keys by a deterministic hash of ``spread_by``
     (stable across task retries); the small side's rows of those keys are
-    replicated once per sub-key.  Every row is kept; nothing is sampled."""
+    replicated once per sub-key.  Every row is kept; nothing is sampled.  ``hot`` is sent
+    to the workers (one key in ``ROWS_PER_SALT`` rows at most), so ``big`` is shuffled once."""
+    hot = F.broadcast(hot)
     b = big.join(hot, key, "left")
     b = b.withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.col("_salts")).cast("int"))).drop("_salts")
