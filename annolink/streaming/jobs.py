@@ -213,7 +213,7 @@ def drain(spark: SparkSession, src: str, base: str, n: int, order: str = "offset
     if not enough.is_set():
         q = (file_stream(spark, src, max_files_per_trigger=1).writeStream.option("checkpointLocation", f"{base}/checkpoint")
              .foreachBatch(write).trigger(availableNow=True).start())
-        while not enough.is_set() and not q.awaitTermination(1):
+        while not enough.wait(0.1) and q.isActive:
             pass
         if enough.is_set():
             q.stop()        # a batch that this cuts short is repeated by the next call
