@@ -70,9 +70,12 @@ def word_spans(text, pattern: str = WORD_PATTERN) -> Column:
     return _spans_udf(pattern)(col_of(text))
 
 
-def _letter_runs(texts: pa.Array) -> pa.Array:
+LETTERS_TYPE = T.StructType([T.StructField("pos", T.ArrayType(T.IntegerType()))] + SPANS_TYPE.fields)
+
+
+def _letter_runs(texts: pa.Array, shortest: int) -> pa.Array:
     """Runs of ASCII letters of a few texts, found in their bytes laid end to end."""
-    words, starts = pa.array([], pa.string()), pa.array([], pa.int32())
+    words, starts, pos = pa.array([], pa.string()), pa.array([], pa.int32()), pa.array([], pa.int32())
     missing = texts.is_null()
     texts = texts.fill_null("").cast(pa.large_string())
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
@@ -87,26 +90,32 @@ def _letter_runs(texts: pa.Array) -> pa.Array:
         units = ((data & 0xC0) != 0x80).astype(np.int32) + (data >= 0xF0)       # UTF-16 units that begin at a byte
         before = np.concatenate([[0], np.cumsum(units, dtype=np.int32)])
         lists = np.searchsorted(first, at)
-        ends_of = np.concatenate([[0], np.cumsum(last + 1 - first)]).astype(np.int32)
-        words = pa.StringArray.from_buffers(len(first), pa.py_buffer(ends_of), pa.py_buffer(data[letter]))
+        number = np.arange(len(first)) - np.repeat(lists[:-1], np.diff(lists))
+        size = last + 1 - first
+        long = size >= shortest
+        letters = data[letter][np.repeat(long, size)]
+        first, size, number = first[long], size[long], number[long]
+        lists = np.searchsorted(first, at)
+        words = pa.StringArray.from_buffers(len(first), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(letters))
         starts = pa.array(before[first] - np.repeat(before[at[:-1]], np.diff(lists)), pa.int32())
+        pos = pa.array(number, pa.int32())
     else:
         lists = np.zeros(len(texts) + 1, np.int64)
     lists = pa.array(lists, pa.int32())
-    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(lists, words, mask=missing), pa.ListArray.from_arrays(lists, starts, mask=missing)],
-                                      ["words", "starts"])
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(lists, x, mask=missing) for x in (pos, words, starts)], LETTERS_TYPE.names)
 
 
-@lru_cache(maxsize=1)
-def _letters_udf():
-    @F.arrow_udf(SPANS_TYPE)
+@lru_cache(maxsize=16)
+def _letters_udf(shortest: int):
+    @F.arrow_udf(LETTERS_TYPE)
     def spans(texts: pa.Array) -> pa.Array:
-        return pa.concat_arrays([_letter_runs(texts.slice(k, SLICE)) for k in range(0, max(len(texts), 1), SLICE)])
+        return pa.concat_arrays([_letter_runs(texts.slice(k, SLICE), shortest) for k in range(0, max(len(texts), 1), SLICE)])
 
     return spans
 
 
-def letter_spans(text) -> Column:
-    """The same as ``word_spans(text, ASCII_WORD_PATTERN)``, found in the bytes of many texts
+def letter_spans(text, shortest: int = 1) -> Column:
+    """The matches of ``word_spans(text, ASCII_WORD_PATTERN)`` of ``shortest`` letters or more,
+    with their numbers ``pos`` among all matches.  They are found in the bytes of many texts
     at once and kept in Arrow buffers: no Python object for a word."""
-    return _letters_udf()(col_of(text))
+    return _letters_udf(shortest)(col_of(text))

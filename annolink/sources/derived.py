@@ -85,14 +85,18 @@ def _types_csv(pos):
             .otherwise(F.lit(",")))
 
 
-def post_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, pos, word, offset)`` for every ASCII letter run of every post."""
+def _words(shortest: int) -> Column:
+    """A text's ASCII letter runs as ``(pos, w, o)``."""
+    s = letter_spans("text", shortest)
+    return F.arrays_zip(s["pos"].alias("pos"), s["words"].alias("w"), s["starts"].alias("o"))
+
+
+def post_words(spark: SparkSession, sf_dir: str, shortest: int = 1) -> DataFrame:
+    """``(id, pos, word, offset)`` for every ASCII letter run of every post (those of
+    ``shortest`` letters or more, numbered among all)."""
     d = post_texts(spark, sf_dir).select("id", "text")
-    sp = d.select("id", letter_spans("text").alias("s"))
-    z = sp.select("id", F.posexplode(F.arrays_zip(F.col("s.words").alias("w"),
-                                                  F.col("s.starts").alias("o"))).alias("pos", "z"))
-    return z.select("id", F.col("pos").cast("int").alias("pos"), F.col("z.w").alias("word"),
-                    F.col("z.o").alias("offset"))
+    z = d.select("id", F.explode(_words(shortest)).alias("z"))
+    return z.select("id", F.coalesce("z.pos", F.lit(0)).alias("pos"), F.col("z.w").alias("word"), F.col("z.o").alias("offset"))
 
 
 def _annotation(id: Column, pos: Column, word: Column) -> dict[str, Column]:
@@ -112,7 +116,7 @@ MIN_LETTERS = 5
 
 def stored_annotations(spark: SparkSession, sf_dir: str, with_types_csv: bool = False) -> DataFrame:
     """Stored annotation table: every word of >= 5 letters is a candidate entity."""
-    w = post_words(spark, sf_dir).where(F.length("word") >= MIN_LETTERS)
+    w = post_words(spark, sf_dir, MIN_LETTERS)
     pos = F.col("pos")
     a = _annotation(F.col("id"), pos, F.col("word"))
     return w.select(
@@ -139,12 +143,8 @@ def _resource_json(id: Column, pos: Column, word: Column, offset: Column) -> Col
 
 def _with_resources(posts: DataFrame) -> DataFrame:
     """Adds ``rs``: a post's resources ``(pos, j)`` in order, made inside its row."""
-    w = posts.withColumn("_s", letter_spans("text"))
-    z = F.transform(F.arrays_zip(F.col("_s.words").alias("w"), F.col("_s.starts").alias("o")),
-                    lambda x, i: F.struct(i.alias("pos"), x["w"].alias("w"), x["o"].alias("o")))
-    long = F.filter(z, lambda x: F.length(x["w"]) >= MIN_LETTERS)
-    rs = F.transform(long, lambda x: F.struct(x["pos"].alias("pos"), _resource_json(F.col("id"), x["pos"], x["w"], x["o"]).alias("j")))
-    return w.withColumn("rs", F.when(F.col("id").isNotNull(), rs)).drop("_s")
+    rs = F.transform(_words(MIN_LETTERS), lambda x: F.struct(x["pos"].alias("pos"), _resource_json(F.col("id"), x["pos"], x["w"], x["o"]).alias("j")))
+    return posts.withColumn("rs", F.when(F.col("id").isNotNull(), rs))
 
 
 def _response(rs: Column) -> Column:

@@ -45,8 +45,11 @@ def test_posts_of_a_shared_id_have_the_resources_of_all(spark, tmp_path):
 def test_letter_spans_equal_regex_spans(spark):
     texts = ["", None, "one two", "one", "two", "é a𝒳b c", "𝒳𝒳 abc", "[x]", "`az{AZ@", "ends"] + [f"w{'x' * (k % 7)} é{k}" for k in range(2500)]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").coalesce(1)
-    got = df.select("k", tokens.letter_spans("t").alias("a"), tokens.word_spans("t", tokens.ASCII_WORD_PATTERN).alias("b")).collect()
-    assert len(got) == len(texts) and [x["k"] for x in got if x["a"] != x["b"]] == []
+    got = df.select("k", tokens.letter_spans("t").alias("a"), tokens.letter_spans("t", 3).alias("c"), tokens.word_spans("t", tokens.ASCII_WORD_PATTERN).alias("b")).collect()
+    assert len(got) == len(texts) and [x["k"] for x in got if (x["a"]["words"], x["a"]["starts"]) != (x["b"]["words"], x["b"]["starts"])] == []
+    for x in got:
+        long = [(k, w, s) for k, (w, s) in enumerate(zip(x["b"]["words"] or [], x["b"]["starts"] or [])) if len(w) >= 3]
+        assert [*zip(*(x["c"][f] or [] for f in ("pos", "words", "starts")))] == long and (x["c"]["pos"] is None) == (x["b"]["words"] is None)
 
 
 def test_gate_computes_its_texts_once(spark):
