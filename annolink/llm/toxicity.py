@@ -37,6 +37,7 @@ MIN_EVIDENCE, MIN_SHARE = 6.0, 0.8
 STEPS, RATE, L2 = 60, 0.5, 1e-4
 #: Tokens a side from which the field's weights are fitted, and of one sequence there.
 FIT_TOKENS, FIT_SEQUENCE = 600_000, 256
+FIT_LINES = FIT_TOKENS     # lines a side; as given never the stricter bound, a line has a token at least
 _LINE_FEED = 10
 
 
@@ -223,6 +224,7 @@ def _fit_field(model: Model, parts) -> None:
         for group in (np.flatnonzero(side), np.flatnonzero(~side)):
             order = group[np.argsort(draw[group], kind="stable")]
             stay[order[np.cumsum(size[order]) > FIT_TOKENS]] = False
+            stay[order[FIT_LINES:]] = False
         mine = np.repeat(stay, size)
         return ids[mine], tags[mine], size[stay], draw[stay], side[stay]
 
