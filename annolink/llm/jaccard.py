@@ -8,7 +8,9 @@ many as similar sets must share are asked for.  In a group a signature tree is b
 hold the members' token bitmaps, inner nodes their OR, the range of sizes and the
 largest number of tokens that share a bit.  A dual traversal drops pairs of
 nodes whose largest possible overlap is too small, or whose members are linked
-already; what is left is compared exactly.
+already; bitmaps of the first shingles tell pairs that can't share enough of them.  A task
+adds up what its groups tell of a pair; bitmaps as long as their sets then leave few
+dissimilar pairs, and these are compared exactly.
 
 Links inside large groups are first looked for along chains of likely
 neighbours, so a group of near copies is one component before the trees see it
@@ -34,10 +36,12 @@ by_value(__name__)
 #: [^\x20\x09-\x0D]
 WORD = byte_class(r"[^\x20\x09-\x0D]")
 SHINGLE, PERCENT = 3, 90
-BITMAP_WORDS = 16       # 1024 bits a document
+BITMAP_WORDS = 16       # 1024 bits a document in the trees
+TOKEN_BITS = 2          # bits a shingle, at least, of a document's whole bitmap
 CHAIN_TOKENS = 2        # shared shingles of a class that are chained first
 SALT_ROWS = 4096        # longest chain
 BLOCK, LEAF, FAN = 2048, 16, 8
+HELD_PAIRS = 1 << 18    # pairs a task holds to add up their hashes
 
 #: How often shingles occur is counted by this many bits of their hash.
 FREQUENCY_BITS = 22
@@ -45,7 +49,7 @@ FREQUENCY_BITS = 22
 COMMON = 4
 
 _SKETCH = arrow_schema(doc_id=pa.int64(), n=pa.int64(), f1=pa.int64(), f2=pa.int64(),
-                       prefix=pa.list_(pa.int64()), bits=pa.list_(pa.int64()))
+                       prefix=pa.list_(pa.int64()), bits=pa.list_(pa.int64()), marks=pa.list_(pa.int64()))
 
 
 def shingle_sets(raw: bytes, offsets: np.ndarray, k: int):
@@ -89,6 +93,18 @@ def _bitmaps(rows: np.ndarray, grams: np.ndarray, n_rows: int) -> np.ndarray:
     return out
 
 
+def _long_bitmaps(rows: np.ndarray, grams: np.ndarray, n: np.ndarray):
+    """Bitmaps of ``BITMAP_WORDS`` words, doubled until they have ``TOKEN_BITS`` bits a
+    token, one after the other, and where they begin.  Folded they are the short ones."""
+    chunks = np.maximum(1, -(-TOKEN_BITS * n // (64 * BITMAP_WORDS)))
+    words = BITMAP_WORDS << np.ceil(np.log2(chunks)).astype(np.int64)
+    at = np.append(0, np.cumsum(words))
+    out = np.zeros(at[-1], np.uint64)
+    bit = (grams >> np.uint64(11)) % (64 * words[rows]).astype(np.uint64)
+    np.bitwise_or.at(out, at[rows] + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out, at
+
+
 def _counted(k: int):
     """Texts -> ``bucket, n``: hash buckets of shingles that are common in this task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,18 +138,20 @@ def _sketch(k: int, percent: int, common):
                 size = len(offs) - 1
                 rows, grams = shingle_sets(raw, offs, k)
                 n, f1, f2 = _prints(rows, grams, size)
-                keep = n - -(-percent * n // 100) + 1
-                bits = _bitmaps(rows, grams, size)
+                keep = prefix_size(n, percent)
+                bits, ends = _long_bitmaps(rows, grams, n)
                 # each row's shingles from the rarest on, ties by hash
                 order = np.argsort(rows * 256 + common.value[(grams >> shift).astype(np.int64)], kind="stable")
                 grams = grams[order]
                 place = np.arange(len(rows)) - (np.cumsum(n) - n)[rows]
                 short = place < keep[rows]
                 held = np.bincount(rows[short], minlength=size)
+                marks = _bitmaps(rows[short], grams[short], size)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, size), pa.array(n.astype(np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held)).astype(np.int32)), pa.array(grams[short].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array((np.arange(size + 1) * BITMAP_WORDS).astype(np.int32)), pa.array(bits.ravel().view(np.int64)))],
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bits.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array((np.arange(size + 1) * BITMAP_WORDS).astype(np.int32)), pa.array(marks.ravel().view(np.int64)))],
                     schema=_SKETCH)
     return run
 
@@ -174,15 +192,31 @@ class _Tree:
         self.n, self.bits, self.comp, self.excess = n, bits, comp, excess
 
 
+def _most_common(bits_a, bits_b, excess):
+    return excess + np.bitwise_count(bits_a & bits_b).sum(axis=-1).astype(np.int64)
+
+
 def _overlap_enough(bits_a, bits_b, excess, least, percent):
     """Can sets below two nodes overlap enough? ``least``: sum of the least sizes."""
-    most = excess + np.bitwise_count(bits_a & bits_b).sum(axis=-1).astype(np.int64)
-    return (100 + percent) * most >= percent * least
+    return (100 + percent) * _most_common(bits_a, bits_b, excess) >= percent * least
+
 
+def prefix_size(n, percent: int):
+    """How many first shingles of a set of ``n`` are looked at."""
+    return n - -(-percent * n // 100) + 1
 
-def dual_traversal(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, percent: int):
-    """Index pairs (i < j) of members that may be similar and are not in one component."""
+
+def least_shared(a, b, percent: int):
+    """First shingles that similar sets of sizes ``a`` and ``b`` share at least: with an
+    overlap of o, prefixes of n - o + l share l; ours are of ``prefix_size``."""
+    return -(-percent * (a + b) // (100 + percent)) - -(-percent * np.maximum(a, b) // 100) + 1
+
+
+def dual_traversal(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, percent: int, marks: np.ndarray | None = None):
+    """Index pairs (i < j) of members that may be similar and are not in one component.
+    ``bits`` are of the whole sets, ``marks`` (if any) of their first shingles."""
     tree = _Tree(n, bits, comp)
+    spare = None if marks is None else prefix_size(n, percent) - np.bitwise_count(marks).sum(axis=1).astype(np.int64)
     top = len(tree.levels) - 1
     stack, left, right = [(top, 0, 0)], [], []
     while stack:
@@ -209,20 +243,56 @@ def dual_traversal(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, percent: i
             c = b[b > a]
             if len(c):
                 good = (tree.comp[c] != tree.comp[a]) & (100 * n[c] >= percent * n[a]) & (100 * n[a] >= percent * n[c])
-                good &= _overlap_enough(bits[c], bits[a], np.minimum(tree.excess[c], tree.excess[a]), n[c] + n[a], percent)
                 c = c[good]
+                c = c[_overlap_enough(bits[c], bits[a], np.minimum(tree.excess[c], tree.excess[a]), n[c] + n[a], percent)]
+                if marks is not None:
+                    c = c[_most_common(marks[c], marks[a], np.minimum(spare[c], spare[a])) >= least_shared(n[c], n[a], percent)]
                 left += [a] * len(c)
                 right += c.tolist()
     return np.array(left, int), np.array(right, int)
 
 
-def _candidates(percent: int, words: int):
-    """Rows sorted by group; each group's trees give ``a, b`` pairs of classes and
-    their sizes.  ``side`` tells the blocks of a pair of blocks apart; of two
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The longs of a list column and where each row's begin."""
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), (offsets - offsets[0]).astype(np.int64)
+
+
+def _folded(bits: np.ndarray, at: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+    """Long bitmaps as ones of ``words`` words."""
+    return np.bitwise_or.reduceat(bits.reshape(-1, words), at[:-1] // words, axis=0) if len(at) > 1 else np.empty((0, words), np.uint64)
+
+
+def _possible(percent: int):
+    """Rows ``a, b, na, nb, ba, bb, ma, mb`` -> the pairs whose bitmaps (the longer one
+    folded) and marks allow a link."""
+    ones = lambda x: np.bitwise_count(x).sum(axis=1).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            (left, la), (right, lb) = _words(batch.column(4)), _words(batch.column(5))
+            ma, mb = (_words(batch.column(i))[0].reshape(-1, BITMAP_WORDS) for i in (6, 7))
+            held = np.minimum(prefix_size(na, percent) - ones(ma), prefix_size(nb, percent) - ones(mb))
+            good = _most_common(ma, mb, held) >= least_shared(na, nb, percent)
+            words = np.minimum(np.diff(la), np.diff(lb))
+            for w in np.unique(words[good]):
+                rows = np.flatnonzero(good & (words == w))
+                x, y = (_folded(np.concatenate([bits[at[i]:at[i + 1]] for i in rows]), np.append(0, np.cumsum(np.diff(at)[rows])), w)
+                        for bits, at in ((left, la), (right, lb)))
+                excess = np.minimum(na[rows] - ones(x), nb[rows] - ones(y))
+                good[rows] = _overlap_enough(x, y, excess, na[rows] + nb[rows], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
+    return run
+
+
+def _candidates(percent: int, words: bool):
+    """Rows sorted by group; each group's trees give ``a, b`` pairs of classes, their sizes
+    and the number of the task's groups they were found in.  ``side`` tells the blocks of a pair of blocks apart; of two
     visitors from the band below, that band's own group takes care."""
-    def pairs(cid, n, comp, side, own, bits, band, both):
+    def pairs(cid, n, comp, side, own, bits, marks, band, both):
         keep = np.argsort(n, kind="stable") if len(n) <= LEAF else np.lexsort((n, bits[:, 0]))
-        i, j = dual_traversal(n[keep], bits[keep], comp[keep], percent)
+        i, j = dual_traversal(n[keep], bits[keep], comp[keep], percent, marks[keep])
         i, j = keep[i], keep[j]
         fit = (own[i] == band) | (own[j] == band)
         if both:  # pairs within a block belong to that block's own group
@@ -232,23 +302,44 @@ def _candidates(percent: int, words: int):
         return cid[i], cid[j], n[i], n[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, found, many = None, [], 0
         for batch in batches:
             key = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)], 1)
             cols = [key] + [batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5, 6, 7, 8)]
-            cols.append(batch.column(9).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(key), words)
-                        if words else np.empty((len(key), 0), np.uint64))
+            if words:
+                cols += [_folded(*_words(batch.column(9))), _words(batch.column(10))[0].reshape(-1, BITMAP_WORDS)]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
             key = cols[0]
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             last = cuts[-1] if len(cuts) else 0
-            yield from emit([c[:last] for c in cols], cuts[:-1] if len(cuts) else cuts)
+            new = pairs_of([c[:last] for c in cols], cuts[:-1] if len(cuts) else cuts)
             held = [c[last:] for c in cols]
+            found += new
+            many += sum(len(x[0]) for x in new)
+            if many > HELD_PAIRS:
+                found = [summed(found)]
+                many = len(found[0][0])
+                if many > HELD_PAIRS // 2:
+                    yield batch_of(found)
+                    found, many = [], 0
         if held is not None:
-            yield from emit(held, np.empty(0, int))
-
-    def leaves(key, cid, n, comp, side, own, bits):
+            found += pairs_of(held, np.empty(0, int))
+        if found:
+            yield batch_of([summed(found)])
+
+    def summed(found):
+        """Each pair once, with the sum of its counts."""
+        a, b, na, nb, times = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[:len(a)])
+        return a[first], b[first], na[order][first], nb[order][first], np.add.reduceat(times[order], first) if len(first) else times
+
+    def batch_of(found):
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in found[0]], names=["a", "b", "na", "nb", "times"])
+
+    def leaves(key, cid, n, comp, side, own):
         """All groups of one leaf at once: each member and the one ``d`` places behind."""
         group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
         found = []
@@ -265,22 +356,18 @@ def _candidates(percent: int, words: int):
             found.append((cid[i], cid[j], n[i], n[j]))
         return found
 
-    def emit(cols, cuts):
+    def pairs_of(cols, cuts):
         key = cols[0]
         if not len(key):
-            return
-        if not words:
-            found = leaves(*cols)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], names=["a", "b", "na", "nb"])
-            return
-        out = [pairs(*[c[lo:hi] for c in cols[1:]], key[lo, 1], key[lo, 2] != key[lo, 3])
-               for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(key)))]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out)], names=["a", "b", "na", "nb"])
+            return []
+        found = (leaves(*cols) if not words else
+                 [pairs(*[c[lo:hi] for c in cols[1:]], key[lo, 1], key[lo, 2] != key[lo, 3])
+                  for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(key)))])
+        return [(*x, np.ones(len(x[0]), np.int64)) for x in found]
     return run
 
 
-_PAIR = "a long, b long, na long, nb long"
+_PAIR = "a long, b long, na long, nb long, times long"
 
 # ------------------------------------------------------------------ the join
 
@@ -293,8 +380,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     wanted = stored(classes.join(ids, "cid").select("cid", "n", "f1", "f2", F.col("rep").alias("rep_id")), "wanted")
     texts = with_possible(docs, "doc_id", blocks_of(wanted, "rep_id"), "maybe").where("maybe")
-    sets = stored(texts.join(wanted, texts.doc_id == wanted.rep_id).select("cid", "n", "f1", "f2", "text")
-                  .mapInArrow(_sets(k), "cid long, tokens array<long>").dropDuplicates(["cid"]), "sets")
+    # not stored: one shuffle by class serves the copies' removal and both joins
+    sets = (texts.join(wanted, texts.doc_id == wanted.rep_id).select("cid", "n", "f1", "f2", "text")
+            .mapInArrow(_sets(k), "cid long, tokens array<long>").dropDuplicates(["cid"]))
     both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
             .select("a", "b", (F.size("ta") + F.size("tb")).alias("sum"), F.size(F.array_intersect("ta", "tb")).alias("common")))
@@ -315,10 +403,10 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     common = docs.sparkSession.sparkContext.broadcast(common_buckets(docs, k))  # 4 MB
     sketch = stored(docs.mapInArrow(
-        _sketch(k, percent, common), "doc_id long, n long, f1 long, f2 long, prefix array<long>, bits array<long>"), "sketch")
+        _sketch(k, percent, common), "doc_id long, n long, f1 long, f2 long, prefix array<long>, bits array<long>, marks array<long>"), "sketch")
     classes = stored(sketch.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2")
-                     .agg(F.min(F.struct("doc_id", "prefix", "bits")).alias("one"))
-                     .select("n", "f1", "f2", F.col("one.doc_id").alias("rep"), F.col("one.prefix").alias("prefix"), F.col("one.bits").alias("bits"))
+                     .agg(F.min(F.struct("doc_id", "prefix", "bits", "marks")).alias("one"))
+                     .select("n", "f1", "f2", F.col("one.doc_id").alias("rep"), F.col("one.prefix").alias("prefix"), F.col("one.bits").alias("bits"), F.col("one.marks").alias("marks"))
                      .withColumn("cid", F.monotonically_increasing_id()), "classes")
     tokens = classes.select("cid", "n", F.get("prefix", F.lit(0)).alias("lead"), F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
@@ -328,7 +416,13 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     nth = F.row_number().over(Window.partitionBy("cid").orderBy("token"))
     salt = F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / SALT_ROWS))
     chain = Window.partitionBy("token", "salt").orderBy("lead", "n", "cid")
-    of = classes.select("cid", "n", "bits")
+    of = classes.select("cid", "n", "bits", "marks")
+
+    def possible(pairs: DataFrame, kind: str) -> DataFrame:
+        """The pairs ``a, b`` of classes whose bitmaps allow a link."""
+        one, other = (of.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}"), F.col("marks").alias(f"m{x}")) for x in "ab")
+        return stored(pairs.join(one, "a").join(other, "b").select("a", "b", "na", "nb", "ba", "bb", "ma", "mb")
+                      .mapInArrow(_possible(percent), "a long, b long"), kind)
 
     def chained(rows: DataFrame, kind: str) -> DataFrame:
         """Neighbours in a chain (``comp``: of different components) whose bitmaps allow a link."""
@@ -338,12 +432,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
                         of_before("comp").alias("ca"), F.col("comp").alias("cb"))
                 .where(F.col("a").isNotNull() & (F.col("ca") != F.col("cb")) & _similar_size(F.col("na"), F.col("nb"), percent))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        bounded = (near.join(of.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), "a")
-                   .join(of.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb")), "b"))
-        ones = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + F.bit_count(v))
-        common = F.aggregate(F.zip_with("ba", "bb", lambda x, y: x.bitwiseAND(y)), F.lit(0), lambda s, v: s + F.bit_count(v))
-        most = F.least(F.col("na") - ones(F.col("ba")), F.col("nb") - ones(F.col("bb"))) + common
-        return stored(bounded.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b"), kind)
+        return possible(near, kind)
 
     some = groups.withColumn("nth", nth).where(F.col("nth") <= CHAIN_TOKENS).withColumn("comp", F.col("cid"))
     parts = components(_verified(chained(some, "near"), classes, docs, k, percent))
@@ -370,20 +459,17 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     zero = F.lit(0).cast("long")
     # a group of one leaf has nothing to prune and needs no bitmaps
     small = (rows.where(F.col("size") <= LEAF).select("token", "band", zero.alias("lo"), zero.alias("hi"), "cid", "n", "comp", zero.alias("side"), "own")
-             .repartition(*group).sortWithinPartitions(*group).mapInArrow(_candidates(percent, 0), _PAIR))
+             .repartition(*group).sortWithinPartitions(*group).mapInArrow(_candidates(percent, False), _PAIR))
     block = F.pmod(F.xxhash64(F.lit(5), "cid"), F.col("blocks"))
     large = (rows.where(F.col("size") > LEAF).withColumn("side", block)
              .withColumn("other", F.explode(F.sequence(zero, F.col("blocks") - 1)))
              .select("token", "band", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "cid", "n", "comp", "side", "own")
-             .join(of.select("cid", "bits"), "cid").select(*group, "cid", "n", "comp", "side", "own", "bits")
-             .repartition(*group).sortWithinPartitions(*group).mapInArrow(_candidates(percent, BITMAP_WORDS), _PAIR))
-    # sets with an overlap of o share at least the first l tokens that both have
-    # within prefixes of n - o + l; ours are of n - ceil(s n) + 1
-    overlap = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    spare = lambda n: overlap - F.ceil(percent * F.col(n) / 100) + 1
-    pairs = (small.union(large).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-             .where(F.col("common") >= F.least(spare("na"), spare("nb"))).select("a", "b"))
-    second = _verified(stored(pairs, "pairs"), classes, docs, k, percent)
+             .join(of.select("cid", "bits", "marks"), "cid").select(*group, "cid", "n", "comp", "side", "own", "bits", "marks")
+             .repartition(*group).sortWithinPartitions(*group).mapInArrow(_candidates(percent, True), _PAIR))
+    shared = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent)) - F.ceil(percent * F.greatest("na", "nb") / 100) + 1  # ``least_shared``
+    pairs = (small.union(large).groupBy("a", "b", "na", "nb").agg(F.sum("times").alias("common"))
+             .where(F.col("common") >= shared).select("a", "b"))
+    second = _verified(possible(pairs, "pairs"), classes, docs, k, percent)
 
     linked = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second))
     smallest = (linked.withColumnRenamed("node", "cid").join(classes.select("cid", "rep"), "cid")
