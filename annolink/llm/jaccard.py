@@ -13,7 +13,7 @@ adds up what its groups tell of a pair; bitmaps as long as their sets then leave
 dissimilar pairs, and these are compared exactly.
 
 Links inside large groups are first looked for along chains of likely
-neighbours, so a group of near copies is one component before the trees see it
+neighbours and around the member that shares most, so a group of near copies is one component before the trees see it
 and its pairs are never made.  Groups over ``BLOCK`` members are dealt out as
 pairs of blocks.
 """
@@ -424,13 +424,18 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         return stored(pairs.join(one, "a").join(other, "b").select("a", "b", "na", "nb", "ba", "bb", "ma", "mb")
                       .mapInArrow(_possible(percent), "a long, b long"), kind)
 
-    def chained(rows: DataFrame, kind: str) -> DataFrame:
-        """Neighbours in a chain (``comp``: of different components) whose bitmaps allow a link."""
+    def chained(rows: DataFrame, kind: str, around: bool = False) -> DataFrame:
+        """Neighbours in a chain (``comp``: of different components) whose bitmaps allow a link.
+        ``around``: each member also with the one of its chain whose hashes are shared most."""
         of_before = lambda c: F.lag(c).over(chain)
-        near = (rows.withColumn("salt", salt)
-                .select(of_before("cid").alias("a"), F.col("cid").alias("b"), of_before("n").alias("na"), F.col("n").alias("nb"),
-                        of_before("comp").alias("ca"), F.col("comp").alias("cb"))
-                .where(F.col("a").isNotNull() & (F.col("ca") != F.col("cb")) & _similar_size(F.col("na"), F.col("nb"), percent))
+        one = [F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")]
+        rows = rows.withColumn("salt", salt)
+        near = rows.select(of_before("cid").alias("a"), of_before("n").alias("na"), of_before("comp").alias("ca"), *one)
+        if around:
+            centre = F.max(F.struct("weight", "cid", "n", "comp")).over(Window.partitionBy("token", "salt"))
+            near = near.union(rows.withColumn("weight", F.sum("c").over(Window.partitionBy("cid"))).withColumn("centre", centre)
+                              .select("centre.cid", "centre.n", "centre.comp", *one))
+        near = (near.where(F.col("a").isNotNull() & (F.col("ca") != F.col("cb")) & _similar_size(F.col("na"), F.col("nb"), percent))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         return possible(near, kind)
 
@@ -439,7 +444,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     # what the large groups still hold apart, along all their hashes
     large = (groups.where(F.col("c") > LEAF).join(parts.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("comp", F.coalesce("component", "cid")))
-    more = _verified(chained(large, "near-more"), classes, docs, k, percent)
+    more = _verified(chained(large, "near-more", True), classes, docs, k, percent)
     parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     # signature trees over what is not linked yet

@@ -100,3 +100,26 @@ def test_long_documents_equal_brute_force(spark, monkeypatch):
             rows.append((len(rows), " ".join(w[:size - rng.randint(0, 9)])))
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(map(tuple, got)) == jaccard_classes(rows, 3, 90)
+
+
+def test_copies_of_one_text_are_linked_around_it(spark, monkeypatch):
+    """Copies similar to their original, but just not to each other: their pairs are not made."""
+    made, stored = {}, jaccard.stored
+
+    def counted(df, kind):
+        out = stored(df, kind)
+        made[kind] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 101):
+        w = list(base)
+        for k, at in enumerate(rng.sample(range(2, 298, 4), 3)):
+            w[at] = f"v{i}x{k}"
+        rows.append((i, " ".join(w)))
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == jaccard_classes(rows, 3, 90) == [(i, 298, 0) for i in range(101)]
+    assert made["pairs"] < 100 and made["near-more"] <= 300
