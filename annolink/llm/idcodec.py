@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from annolink.llm.common import by_value, shared_dir
-from annolink.llm.tokens import END_BYTES, VOCABULARY, encoder
+from annolink.llm.tokens import VOCABULARY, column_encoder
 
 by_value(__name__)
 
@@ -36,52 +36,70 @@ SHARES, ORDER0_BITS = 16, 20     # sixteenths of 2^24, 2^20 of them for order 0
 _CONFIDENT = 7
 _RATE = np.float32(1 / 16)
 _U = np.uint64
-_TOP, _BOT, _LOW16 = _U(1 << 48), _U(1 << 32), _U((1 << 32) - 1)
+_WORD, _BOT, _LOW = _U(32), _U(1 << 32), _U((1 << 32) - 1)
 
 _ROW = ("part int, strip int, n long, doc_ids binary, lengths binary, symbols binary, counts binary, block int, "
         "blocks array<binary>, checks array<long>")
 
 
 class _Lanes:
-    """The mixing model of all blocks of a strip, at one position of each."""
+    """The mixing model of all blocks of a strip, at one position of each; the
+    first row of its arrays is order 2, the second order 1."""
 
     def __init__(self, lanes: int, block: int):
         size = 1 << max(6, (block - 1).bit_length())
-        self.mask = np.uint32(size - 1)
-        self.base = np.arange(lanes, dtype=np.int64) * size
-        self.row = np.arange(lanes, dtype=np.int64) * (_CONFIDENT + 1)
+        self.mask = size - 1
+        self.base = np.arange(2 * lanes, dtype=np.int64).reshape(2, lanes) * size
+        self.row = np.arange(2 * lanes, dtype=np.int64).reshape(2, lanes) * (_CONFIDENT + 1)
         # the id that last followed a context, above three bits of confidence
-        self.table = [np.zeros(lanes * size, np.uint32) for _ in range(2)]
+        self.table = np.zeros(2 * lanes * size, np.uint32)
         # chance that a prediction of each confidence comes true
         start = np.array([0, .3, .5, .6, .7, .75, .8, .85], np.float32)
-        self.right = [np.tile(start * s, lanes) for s in (np.float32(1), np.float32(0.7))]
-        self.p1, self.p2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.right = np.concatenate([np.tile(start * s, lanes) for s in (np.float32(1), np.float32(0.7))])
+        self.p1, self.p2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
     def predict(self, n: int):
         """Predicted ids and sixteenths of orders 2 and 1 for the first ``n`` lanes."""
-        p1, p2 = self.p1[:n], self.p2[:n]
-        h1 = (p1 * np.uint32(2654435761)) >> np.uint32(12)
-        h2 = (p1 * np.uint32(2246822519) + p2 * np.uint32(3266489917)) >> np.uint32(12)
-        self.at = [self.base[:n] + (h2 & self.mask), self.base[:n] + (h1 & self.mask)]
-        self.old = [t.take(a) for t, a in zip(self.table, self.at)]
-        self.got = [t >> np.uint32(3) for t in self.old]
-        self.sure = [t & np.uint32(7) for t in self.old]
-        self.slot = [self.row[:n] + c for c in self.sure]
-        self.p = [r.take(s) for r, s in zip(self.right, self.slot)]
-        k2 = np.minimum(self.p[0] * np.float32(SHARES), np.float32(14)).astype(np.uint64)
-        k1 = (self.p[1] * (np.float32(SHARES - 1) - k2.astype(np.float32))).astype(np.uint64)
-        k1[self.got[0] == self.got[1]] = 0
-        return self.got[0], k2, self.got[1], k1
-
-    def update(self, x: np.ndarray) -> None:
-        n = len(x)
-        for o in (0, 1):
-            hit, sure, p = self.got[o] == x, self.sure[o], self.p[o]
-            # nothing is predicted at confidence 0, where the chance stays 0
-            self.right[o][self.slot[o]] = (p + (hit - p) * _RATE) * (sure > 0)
-            now = np.where(hit, np.minimum(sure + np.uint32(1), np.uint32(_CONFIDENT)), sure >> np.uint32(1))
-            kept = (self.old[o] & np.uint32(0xFFFFFFF8)) | now
-            self.table[o][self.at[o]] = np.where(now == 0, (x << np.uint32(3)) | np.uint32(1), kept)
+        p1 = self.p1[:n]
+        at = np.empty((2, n), np.int64)
+        np.multiply(p1, 2246822519, out=at[0])
+        at[0] += self.p2[:n] * 3266489917
+        np.multiply(p1, 2654435761, out=at[1])
+        at >>= 12
+        at &= self.mask
+        at += self.base[:, :n]
+        self.at = at
+        self.old = self.table.take(at)
+        self.got = self.old >> np.uint32(3)
+        self.sure = self.old & np.uint32(7)
+        self.slot = self.sure.astype(np.int64)
+        self.slot += self.row[:, :n]
+        self.p = self.right.take(self.slot)
+        k2 = np.floor(np.minimum(self.p[0] * np.float32(SHARES), np.float32(14)))
+        k1 = (self.p[1] * (np.float32(SHARES - 1) - k2)).astype(np.int32)
+        k1 *= self.got[0] != self.got[1]
+        return self.got, k2.astype(np.int32), k1
+
+    def update(self, x: np.ndarray, hit: np.ndarray) -> None:
+        """The ids that came, and which of the predicted ids equal them."""
+        n, sure = len(x), self.sure
+        p = hit.astype(np.float32)
+        p -= self.p
+        p *= _RATE
+        p += self.p
+        # nothing is predicted at confidence 0, where the chance stays 0
+        p *= sure > 0
+        self.right[self.slot] = p
+        # the confidence rises by one or is halved; at none the new id takes the place
+        now = np.minimum(sure + np.uint32(1), np.uint32(_CONFIDENT))
+        less = sure >> np.uint32(1)
+        now -= less
+        now *= hit.astype(np.uint32)
+        now += less
+        gone = now == 0
+        now += self.old - sure
+        now = np.where(gone, (x << np.uint32(3)) | np.uint32(1), now)
+        self.table[self.at] = now
         self.p2[:n] = self.p1[:n]
         self.p1[:n] = x
 
@@ -106,117 +124,112 @@ def _widths(n: int, block: int) -> list[int]:
     return [lanes if t < last else lanes - 1 for t in range(min(block, n))]
 
 
-def _open(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
-    """Lanes whose top 16 bits are settled or whose range has become too small."""
-    return np.flatnonzero(((low ^ (low + rng)) < _TOP) | (rng < _BOT))
+def _order0_lines(symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and the counts before, by id."""
+    freq, cum = np.zeros((2, int(symbols[-1]) + 1), np.int32)
+    freq[symbols], cum[symbols] = counts, np.cumsum(counts) - counts
+    return freq, cum
 
 
-def _narrow(low: np.ndarray, rng: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A range too small, with its top bits open, is cut at the next carry."""
-    return low, np.where((low ^ (low + rng)) < _TOP, rng, (_U(0) - low) & _LOW16)
+def _span(x: np.ndarray, hit: np.ndarray, k2: np.ndarray, k1: np.ndarray, freq: np.ndarray, cum: np.ndarray):
+    """Where the ids ``x`` begin on the probability line, and their widths."""
+    k = k1 + k2
+    rest = SHARES - k
+    start = rest * cum.take(x) + (k << ORDER0_BITS)
+    width = rest * freq.take(x)
+    some = np.flatnonzero(hit[0] | hit[1])
+    if len(some):
+        s2, s1 = k2[some], k1[some]
+        two = hit[0][some] & (s2 > 0)
+        one = hit[1][some] & (s1 > 0) & ~two
+        start[some] = np.where(two, 0, np.where(one, s2 << ORDER0_BITS, start[some]))
+        width[some] = np.where(two, s2 << ORDER0_BITS, np.where(one, s1 << ORDER0_BITS, width[some]))
+    return start.astype(np.uint64), width.astype(np.uint64)
+
+
+def _shift(low: np.ndarray, rng: np.ndarray, go: np.ndarray):
+    """Lanes ``go``, whose range has fallen below 2^32, give out a word: the top of
+    ``low``, which is settled, or the range is cut at the next carry."""
+    a, b = low[go], rng[go]
+    word = a >> _WORD
+    b = np.where((a ^ (a + b)) < _BOT, b, (_U(0) - a) & _LOW)
+    low[go], rng[go] = a << _WORD, b << _WORD
+    return word
 
 
 def encode_strip(ids: np.ndarray, block: int, symbols: np.ndarray, counts: np.ndarray) -> list[bytes]:
     """Payload of each block of ``ids``."""
     n = len(ids)
     lanes = -(-n // block)
-    size = int(symbols[-1]) + 1
-    freq, cum = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
-    freq[symbols] = counts.astype(np.uint64)
-    cum[symbols] = (np.cumsum(counts) - counts).astype(np.uint64)
+    freq, cum = _order0_lines(symbols, counts)
     model = _Lanes(lanes, block)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    cap = 2 * block + 8
-    out, pos = np.zeros(lanes * cap, np.uint16), np.zeros(lanes, np.int64)
-    first = np.arange(lanes, dtype=np.int64) * block
-    place = np.arange(lanes, dtype=np.int64) * cap
+    cap = block + 2  # at most a word an id, and two at the end
+    out, pos = np.zeros(lanes * cap, np.uint32), np.arange(lanes, dtype=np.int64) * cap
+    padded = np.zeros(lanes * block, np.uint32)
+    padded[:n] = ids
+    at = np.ascontiguousarray(padded.reshape(lanes, block).T)
     with np.errstate(over="ignore"):
         for t, w in enumerate(_widths(n, block)):
-            x = ids[first[:w] + t]
-            c2, k2, c1, k1 = model.predict(w)
-            k = k1 + k2
-            rest = _U(SHARES) - k
-            hit2 = (c2 == x) & (k2 > 0)
-            hit1 = (c1 == x) & (k1 > 0) & ~hit2
-            start = (k << _U(ORDER0_BITS)) + rest * cum[x]
-            width = rest * freq[x]
-            start[hit2] = 0
-            width = np.where(hit2, k2 << _U(ORDER0_BITS), width)
-            start = np.where(hit1, k2 << _U(ORDER0_BITS), start)
-            width = np.where(hit1, k1 << _U(ORDER0_BITS), width)
+            x = at[t, :w]
+            got, k2, k1 = model.predict(w)
+            hit = got == x
+            start, width = _span(x.astype(np.int64), hit, k2, k1, freq, cum)
             lo, r = low[:w], rng[:w]
             r >>= _U(ORDER0_BITS + 4)
             lo += r * start
             r *= width
-            go = _open(lo, r)
-            while len(go):
-                a, b = _narrow(lo[go], r[go])
-                out[place[go] + pos[go]] = (a >> _U(48)).astype(np.uint16)
-                pos[go] += 1
-                a, b = a << _U(16), b << _U(16)
-                lo[go], r[go] = a, b
-                go = go[_open(a, b)]
-            model.update(x)
-        for _ in range(4):
-            out[place + pos] = (low >> _U(48)).astype(np.uint16)
+            go = np.flatnonzero(r < _BOT)
+            out[pos[go]] = _shift(lo, r, go)
+            pos[go] += 1
+            model.update(x, hit)
+        for _ in range(2):
+            out[pos] = low >> _WORD
             pos += 1
-            low <<= _U(16)
-    return [out[p:p + k].tobytes() for p, k in zip(place.tolist(), pos.tolist())]
+            low <<= _WORD
+    return [out[k * cap:to].tobytes() for k, to in enumerate(pos.tolist())]
 
 
 def decode_strip(payloads: list[bytes], n: int, block: int, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The ids back from the blocks' payloads."""
     lanes = -(-n // block)
-    size = int(symbols[-1]) + 1
-    freq, cum = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
-    freq[symbols] = counts.astype(np.uint64)
-    cum[symbols] = (np.cumsum(counts) - counts).astype(np.uint64)
-    symbol_at = np.repeat(symbols, counts)
-    # four words more than written: the decoder reads that far ahead
-    words = np.concatenate([np.frombuffer(p + bytes(16), np.uint16) for p in payloads]).astype(np.uint64)
-    lens = np.array([len(p) // 2 + 8 for p in payloads], np.int64)
+    freq, cum = _order0_lines(symbols, counts)
+    symbol_at = np.repeat(symbols.astype(np.min_scalar_type(int(symbols[-1]))), counts)
+    # two words more than written: the decoder reads that far ahead
+    words = np.frombuffer(b"".join([p + bytes(8) for p in payloads]), np.uint32)
+    lens = np.array([len(p) // 4 + 2 for p in payloads], np.int64)
     pos = np.cumsum(lens) - lens
     code = np.zeros(lanes, np.uint64)
     model = _Lanes(lanes, block)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out = np.zeros(lanes * block, np.uint32)
-    first = np.arange(lanes, dtype=np.int64) * block
+    out = np.zeros((min(block, n), lanes), np.uint32)
     with np.errstate(over="ignore"):
-        for _ in range(4):
-            code = (code << _U(16)) | words[pos]
+        for _ in range(2):
+            code = (code << _WORD) | words[pos]
             pos += 1
         for t, w in enumerate(_widths(n, block)):
-            c2, k2, c1, k1 = model.predict(w)
-            k = k1 + k2
-            rest = _U(SHARES) - k
+            got, k2, k1 = model.predict(w)
             lo, r, cd = low[:w], rng[:w], code[:w]
             r >>= _U(ORDER0_BITS + 4)
-            v = (cd - lo) // r
-            share = v >> _U(ORDER0_BITS)
-            hit2, hit = share < k2, share < k
-            slot = (v - np.minimum(k << _U(ORDER0_BITS), v)) // rest
-            np.putmask(slot, hit, _U(0))
-            x = symbol_at[np.minimum(slot, _U((1 << ORDER0_BITS) - 1))]
-            start = (k << _U(ORDER0_BITS)) + rest * cum[x]
-            width = rest * freq[x]
-            some = np.flatnonzero(hit)
-            two = hit2[some]
-            x[some] = np.where(two, c2[some], c1[some])
-            start[some] = np.where(two, _U(0), k2[some] << _U(ORDER0_BITS))
-            width[some] = np.where(two, k2[some], k1[some]) << _U(ORDER0_BITS)
+            # a damaged payload may point beyond the line
+            v = np.minimum((cd - lo) // r, _U((SHARES << ORDER0_BITS) - 1)).astype(np.int32)
+            k = k1 + k2
+            share = v >> ORDER0_BITS
+            some = np.flatnonzero(share < k)
+            slot = (np.maximum(v - (k << ORDER0_BITS), 0) / (SHARES - k)).astype(np.int64)
+            x = symbol_at.take(slot).astype(np.uint32)
+            x[some] = np.where(share[some] < k2[some], got[0][some], got[1][some])
+            hit = got == x
+            start, width = _span(x.astype(np.int64), hit, k2, k1, freq, cum)
             lo += r * start
             r *= width
-            go = _open(lo, r)
-            while len(go):
-                a, b = _narrow(lo[go], r[go])
-                cd[go] = (cd[go] << _U(16)) | words[pos[go]]
-                pos[go] += 1
-                a, b = a << _U(16), b << _U(16)
-                lo[go], r[go] = a, b
-                go = go[_open(a, b)]
-            out[first[:w] + t] = x
-            model.update(x)
-    return out[:n] if lanes * block == n else np.concatenate([out[:(lanes - 1) * block], out[(lanes - 1) * block:][:n - (lanes - 1) * block]])
+            go = np.flatnonzero(r < _BOT)
+            _shift(lo, r, go)
+            cd[go] = (cd[go] << _WORD) | words[pos[go]]
+            pos[go] += 1
+            out[t, :w] = x
+            model.update(x, hit)
+    return np.ascontiguousarray(out.T).ravel()[:n]
 
 
 # --------------------------------------------------------------------- Spark
@@ -239,24 +252,29 @@ _ARROW = pa.schema([("part", pa.int32()), ("strip", pa.int32()), ("n", pa.int64(
 
 def _write(vocabulary: str, strip_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = column_encoder(vocabulary)
         part, strip = TaskContext.get().partitionId(), 0
         docs, lengths, held, total = [], [], [], 0
 
         def close():
-            ids = np.frombuffer(b"".join(held), "<u4").astype(np.uint32)
-            return pa.RecordBatch.from_pylist([_strip_row(part, strip, docs, lengths, ids)], schema=_ARROW)
+            return pa.RecordBatch.from_pylist([_strip_row(part, strip, docs, lengths, np.concatenate(held))], schema=_ARROW)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = encode(text.as_py()) + END_BYTES
-                docs.append(doc_id)
-                lengths.append(len(data) // 4)
-                held.append(data)
-                total += len(data) // 4
-                if total >= strip_ids:
-                    yield close()
-                    docs, lengths, held, total, strip = [], [], [], 0, strip + 1
+            doc_ids = batch.column(0).to_pylist()
+            for at, ids, sizes in encode(batch.column(1)):
+                ends, done, to = np.cumsum(sizes), 0, 0
+                while done < len(sizes):
+                    # up to the document that fills the strip, or all
+                    so = to
+                    upto = min(int(np.searchsorted(ends, so + strip_ids - total)) + 1, len(sizes))
+                    to = int(ends[upto - 1])
+                    docs += doc_ids[at + done:at + upto]
+                    lengths += sizes[done:upto].tolist()
+                    held.append(ids[so:to])
+                    total, done = total + to - so, upto
+                    if total >= strip_ids:
+                        yield close()
+                        docs, lengths, held, total, strip = [], [], [], 0, strip + 1
         if docs:
             yield close()
     return run

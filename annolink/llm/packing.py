@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from annolink.llm.common import by_value, stored
-from annolink.llm.tokens import END_BYTES, VOCABULARY, encoder
+from annolink.llm.tokens import VOCABULARY, column_encoder
 
 by_value(__name__)
 
@@ -51,26 +51,29 @@ def cut(n: int, capacity: int = CAPACITY, min_piece: int = MIN_PIECE) -> list[in
 
 def _pieces(vocabulary: str, capacity: int, min_piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = column_encoder(vocabulary)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for batch in batches:
             cols: list[list[int]] = [[] for _ in range(7)]
-            cls, rank, ids, starts, lens, crcs, totals = cols
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = encode(text.as_py()) + END_BYTES
-                n, at = len(data) // 4, 0
-                for size in cut(n, capacity, min_piece):
-                    r = seen.get(size, 0)
-                    seen[size] = r + 1
-                    cls.append(size)
-                    rank.append(r)
-                    ids.append(doc_id)
-                    starts.append(at)
-                    lens.append(size)
-                    crcs.append(zlib.crc32(data[4 * at:4 * (at + size)]))
-                    totals.append(n)
-                    at += size
+            cls, rank, docs, starts, lens, crcs, totals = cols
+            doc_ids = batch.column(0).to_pylist()
+            for first, ids, sizes in encode(batch.column(1)):
+                data, base = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0
+                for doc_id, n in zip(doc_ids[first:], sizes.tolist()):
+                    at = 0
+                    for size in cut(n, capacity, min_piece):
+                        r = seen.get(size, 0)
+                        seen[size] = r + 1
+                        cls.append(size)
+                        rank.append(r)
+                        docs.append(doc_id)
+                        starts.append(at)
+                        lens.append(size)
+                        crcs.append(zlib.crc32(data[4 * (base + at):4 * (base + at + size)]))
+                        totals.append(n)
+                        at += size
+                    base += n
             if not cls:
                 continue
             yield pa.RecordBatch.from_arrays(

@@ -131,3 +131,43 @@ def test_files_of_nothing_and_nulls(no_docs, null_docs):
     rows = idcodec.round_trip(null_docs).collect()
     assert sorted(r.start for r in rows)[0] == 0 and len(rows) == 4
     assert max(rows, key=lambda r: r.start).doc_id == 9  # no id comes first
+
+
+def test_frequent_words_stay_known(monkeypatch):
+    """Many more rare words than a worker remembers; the frequent ones go to the library once."""
+    from annolink.llm import common, tokens
+    rare = ["".join(chr(97 + (i // 26 ** k) % 26) for k in range(4)) for i in range(4000)]
+    texts = [" ".join(w for r in rare[at:at + 50] for w in ("Often, seen", r)) for at in range(0, 4000, 50)]
+    common.process_cache("encoders").clear()
+    for name in ("MAX_PARTS", "MAX_CHUNKS", "MAX_WORDS"):
+        monkeypatch.setattr(tokens, name, 500, raising=False)
+    encode = encoder()
+    box, asked = common.process_cache("encoders")["word_bpe_49k.json"], []
+
+    class Model:
+        def tokenize(self, word, model=box.model):
+            asked.append(word)
+            return model.tokenize(word)
+
+    box.model = Model()
+    try:
+        for text in texts:
+            encode(text)
+    finally:
+        common.process_cache("encoders").clear()
+    assert asked.count("often") == asked.count("seen") == 1
+
+
+def test_strips_close_with_the_document_that_fills_them():
+    import pyarrow as pa
+    from unittest import mock
+    texts = ["a b c", None, "d e f g h", "i", "", "j k l m", "n"]
+    batches = [pa.record_batch([pa.array([4, None, 6], pa.int64()), pa.array(texts[:3])], names=["doc_id", "text"]),
+               pa.record_batch([pa.array([7, 8, 9, 10], pa.int64()), pa.array(texts[3:])], names=["doc_id", "text"])]
+    with mock.patch.object(idcodec.TaskContext, "get") as context:
+        context.return_value.partitionId.return_value = 3
+        rows = [r for b in idcodec._write("word_bpe_49k.json", 6)(iter(batches)) for r in b.to_pylist()]
+    back = [idcodec.read_strip(r) for r in rows]
+    assert [b[0] for b in back] == [[4, None, 6], [7, 8, 9], [10]]
+    assert [b[1].tolist() for b in back] == [[4, 1, 6], [2, 1, 5], [2]]
+    assert [(r["part"], r["strip"], r["n"]) for r in rows] == [(3, 0, 11), (3, 1, 8), (3, 2, 2)]
