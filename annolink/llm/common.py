@@ -175,15 +175,45 @@ def words_of(text: bytes, offsets: np.ndarray, word_byte: bytes, fold: bytes = L
     return row, start, end, span_hash(raw, start, end)
 
 
-def span_hash(raw: bytes, start: np.ndarray, end: np.ndarray, base: int = 0) -> np.ndarray:
-    """64-bit hashes of the byte spans ``raw[start:end]``, one pass for all."""
+def prefix_sums(raw: bytes, base: int = 0) -> np.ndarray:
+    """The sums of which ``sums_hash`` takes differences."""
     n = len(raw)
-    p, q = _powers(n + 1, base)
+    p, _ = _powers(n + 1, base)
     acc = np.empty(n + 1, np.uint64)
     acc[0] = 0
     with np.errstate(over="ignore"):
-        np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * p[:n], dtype=np.uint64, out=acc[1:])
-        return mix64((acc[end] - acc[start]) * q[start] + (end - start).astype(np.uint64))
+        terms = np.frombuffer(raw, np.uint8).astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= p[:n]
+        np.cumsum(terms, dtype=np.uint64, out=acc[1:])
+    return acc
+
+
+def sums_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans ``[start:end]`` of the text that ``sums`` were made of."""
+    _, q = _powers(len(sums), base)
+    with np.errstate(over="ignore"):
+        return mix64((sums[end] - sums[start]) * q[start] + (end - start).astype(np.uint64))
+
+
+def runs_hash(sums: np.ndarray, length: int, base: int = 0) -> np.ndarray:
+    """The same of all spans of one length, wherever they begin."""
+    n = max(len(sums) - length, 0)
+    _, q = _powers(len(sums), base)
+    with np.errstate(over="ignore"):
+        out = sums[length:] - sums[:n]
+        out *= q[:n]
+        out += np.uint64(length)
+        for shift, by in ((30, _M1), (27, _M2)):
+            out ^= out >> np.uint64(shift)
+            out *= by
+        out ^= out >> np.uint64(31)
+    return out
+
+
+def span_hash(raw: bytes, start: np.ndarray, end: np.ndarray, base: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans ``raw[start:end]``, one pass for all."""
+    return sums_hash(prefix_sums(raw, base), start, end, base)
 
 
 def gram_hash(h: np.ndarray, k: int) -> np.ndarray:

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from annolink.llm.bloom import blocks_of, with_possible
-from annolink.llm.common import (LOWER_AZ, arrow_schema, byte_class, by_value, mix64, span_hash, stored,
-                                 text_slices, unused, words_of)
+from annolink.llm.common import (LOWER_AZ, arrow_schema, by_value, mix64, prefix_sums, runs_hash, span_hash, stored,
+                                 sums_hash, text_slices, unused)
 from annolink.llm.components import components
 from annolink.llm.jaccard import _bitmaps, _overlap_enough
 
@@ -31,51 +31,73 @@ SHINGLE, PERCENT = 8, 80
 #: Twelve bands of five: a pair at 0.8 is found with 99.1 %, at 0.85 with 99.9 %.
 BANDS, ROWS = 12, 5
 #: Text signed at once: the shingles' arrays stay in the processor's cache.
-CACHED_BYTES = 1 << 18
+CACHED_BYTES = 1 << 17
 #: Most members and bytes of a block, on average; up to ``LEAF`` members are compared without bitmaps.
 BLOCK, BLOCK_BYTES, LEAF = 2048, 1 << 24, 16
 #: Shingle sets kept while a group is compared, in bytes of their texts.
 KEPT_BYTES = 1 << 20
-LINE = byte_class(r"[^\n]")
-_INK = byte_class(r"[^\x00-\x20]")
 
 
 def split_lines(raw: bytes, offsets: np.ndarray):
     """Non-blank lines of a slice: row, number in the row, byte start and end, two
-    hashes; and the folded bytes."""
+    hashes; the folded bytes and their prefix sums."""
     folded = raw.translate(LOWER_AZ)
-    row, start, end, h1 = words_of(raw, offsets, LINE)
     data = np.frombuffer(folded, np.uint8)
-    ink = np.concatenate([[0], np.cumsum(np.frombuffer(folded.translate(_INK), np.uint8), dtype=np.int64)])
-    feeds = np.concatenate([[0], np.cumsum(data == 10)])
-    some = ink[end] > ink[start]
-    row, start, end, h1 = row[some], start[some], end[some], h1[some]
-    number = feeds[start] - feeds[offsets[row]]
-    return row, number, start, end, h1, span_hash(folded, start, end, 1), folded
-
-
-def shingle_hashes(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int):
-    """The hash of every shingle, line by line; the number of each line's and where they begin."""
+    feeds = np.flatnonzero(data == 10)
+    # a line begins with its row or behind a feed, and ends with its row or before one
+    start, end = np.sort(np.concatenate([offsets[:-1], feeds + 1])), np.sort(np.concatenate([offsets[1:], feeds]))
+    some = start < end
+    start, end = start[some], end[some]
+    if len(start):  # only feeds lie between one line and the next
+        some = np.maximum.reduceat(data, start) > 0x20
+        start, end = start[some], end[some]
+    row = np.searchsorted(offsets, start, "right") - 1
+    number = np.searchsorted(feeds, start) - np.searchsorted(feeds, offsets[row])
+    sums = prefix_sums(folded)
+    return row, number, start, end, sums_hash(sums, start, end), span_hash(folded, start, end, 1), folded, sums
+
+
+def shingle_hashes(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int, sums: np.ndarray | None = None):
+    """The hash of every shingle, line by line (in their order in ``folded``); the
+    number of each line's and where they begin."""
+    sums = prefix_sums(folded) if sums is None else sums
     count = np.maximum(end - start - shingle + 1, 1)
     first = np.cumsum(count) - count
-    at = np.repeat(start, count) + np.arange(int(count.sum())) - np.repeat(first, count)
     # a line shorter than a shingle is one shingle
-    return span_hash(folded, at, np.minimum(at + shingle, np.repeat(end, count))), count, first
-
-
-def band_keys(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int, bands: int, rows: int) -> np.ndarray:
+    short = np.flatnonzero(end - start < shingle)
+    long = np.ones(len(start), bool)
+    long[short] = False
+    edge = np.zeros(len(folded) + 1, np.int8)
+    edge[start[long]] = 1
+    edge[(start + count)[long]] -= 1
+    inner = runs_hash(sums, shingle)
+    inner = inner[np.cumsum(edge[:len(inner)], dtype=np.int8).astype(bool)]
+    if not len(short):
+        return inner, count, first
+    out = np.empty(int(count.sum()), np.uint64)
+    whole = np.zeros(len(out), bool)
+    whole[first[short]] = True
+    out[whole] = sums_hash(sums, start[short], end[short])
+    out[~whole] = inner
+    return out, count, first
+
+
+def band_keys(folded: bytes, start: np.ndarray, end: np.ndarray, shingle: int, bands: int, rows: int,
+              sums: np.ndarray | None = None) -> np.ndarray:
     """(lines, bands): one 64-bit key per band of the MinHash signature."""
-    g, _, first = shingle_hashes(folded, start, end, shingle)
+    g, _, first = shingle_hashes(folded, start, end, shingle, sums)
     g = (g >> np.uint64(32)).astype(np.uint32)
     rng = np.random.default_rng(41)
     flips = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
     odd = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32) | np.uint32(1)
-    keys = np.empty((len(start), bands), np.uint64)
+    keys, mixed = np.empty((len(start), bands), np.uint64), np.empty_like(g)
     with np.errstate(over="ignore"):
         for b in range(bands):
             key = np.full(len(start), b + 1, np.uint64)
             for r in range(b * rows, (b + 1) * rows):
-                low = np.minimum.reduceat((g ^ flips[r]) * odd[r], first) if len(first) else np.empty(0, np.uint32)
+                np.bitwise_xor(g, flips[r], out=mixed)
+                np.multiply(mixed, odd[r], out=mixed)
+                low = np.minimum.reduceat(mixed, first) if len(first) else np.empty(0, np.uint32)
                 key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + low)
             keys[:, b] = key
     return keys
@@ -89,11 +111,11 @@ def _lines(signed: bool, shingle: int = SHINGLE, bands: int = BANDS, rows: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, raw, offs in text_slices(batch.column(1), CACHED_BYTES):
-                row, number, start, end, h1, h2, folded = split_lines(raw, offs)
+                row, number, start, end, h1, h2, folded, sums = split_lines(raw, offs)
                 cols = [batch.column(0).take(pa.array(row + at)), pa.array(number.astype(np.int32)), pa.array(h1.view(np.int64)),
                         pa.array(h2.view(np.int64)), pa.array((end - start).astype(np.int32))]
                 if signed:
-                    keys = band_keys(folded, start, end, shingle, bands, rows)
+                    keys = band_keys(folded, start, end, shingle, bands, rows, sums)
                     cols.append(pa.ListArray.from_arrays(pa.array((np.arange(len(row) + 1) * bands).astype(np.int32)),
                                                          pa.array(keys.ravel().view(np.int64))))
                 yield pa.RecordBatch.from_arrays(cols, names=_SIGNED.names[:len(cols)])

@@ -266,3 +266,27 @@ def test_stages_decide_by_row_without_ids_or_with_repeated_ones(spark, tmp_path)
     leak = "ba be bi bo bu da de di do du ga ge gi"
     leaks = [("x", None, leak), ("x", 3, "not in the list"), ("x", 3, leak + " more"), ("x", None, "nor this")]
     assert stay("decontamination", leaks) == ["nor this", "not in the list"]
+
+
+def test_a_slice_is_hashed_in_two_passes(monkeypatch):
+    """Lines and shingles share the prefix sums of their slice; the hashes are those of the spans."""
+    from annolink.llm import common
+    raw = "Abcdefgh ijk\n \n\nxy\nabcdefgh\nÉté à la plage\n".encode() + b"\n\t\nlast line of all"
+    offsets = np.array([0, 0, 13, 20, 20, len(raw)])
+    passes, powers = [], common._powers
+    monkeypatch.setattr(common, "_powers", lambda n, base=0: passes.append(n) or powers(n, base))
+    sums_made, cumsum = [], np.cumsum
+    monkeypatch.setattr(common.np, "cumsum", lambda a, *b, **k: sums_made.append(len(a)) or cumsum(a, *b, **k))
+    row, number, start, end, h1, h2, folded, *sums = lines.split_lines(raw, offsets)
+    g, count, first = lines.shingle_hashes(folded, start, end, 8, *sums)
+    # one sum over the bytes for each of two hashes, one over the places of the shingles
+    assert sum(n >= len(raw) - 8 for n in sums_made) <= 3
+    monkeypatch.undo()
+    texts = [folded[a:b] for a, b in zip(start, end)]
+    rows = [raw[a:b] for a, b in zip(offsets, offsets[1:])]
+    assert [(r, k, t) for r, k, t in zip(row, number, texts)] == [
+        (i, k, x.translate(common.LOWER_AZ)) for i, t in enumerate(rows) for k, x in enumerate(t.split(b"\n")) if x.strip(bytes(range(33)))]
+    for at, n, t, a, b in zip(first, count, texts, h1, h2):
+        spans = [t[i:i + 8] for i in range(max(1, len(t) - 7))]
+        assert n == len(spans) and all(g[at + i] == common.span_hash(x, np.array([0]), np.array([len(x)]))[0] for i, x in enumerate(spans))
+        assert (a, b) == tuple(common.span_hash(t, np.array([0]), np.array([len(t)]), k)[0] for k in (0, 1))
